@@ -10,15 +10,15 @@ from pyspark.sql import functions as F
 PATIENT_COLUMNS = ("patient_id", "name", "gender", "birth_date", "address")
 
 
-def latest_by_key(versions: DataFrame, key: str, sequence: str) -> DataFrame:
-    """Last row per key by `sequence`; a NULL or empty key is not stored.
+def latest_by_key(versions: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """Last row per key by the `order` columns; a NULL or empty key is not stored.
 
     The maximum is combined before the shuffle, so a key with very many versions costs no more
     than one row per map task.
     """
-    rest = [c for c in versions.columns if c != key]
+    rest = [c for c in versions.columns if c != key and c not in order]
     stored = versions.where(F.col(key).isNotNull() & (F.col(key).cast("string") != ""))
-    ordered = F.struct(F.col(sequence), *[F.col(c) for c in rest if c != sequence])
+    ordered = F.struct(*order, *rest)
     return (
         stored.groupBy(key)
         .agg(F.max(ordered).alias("_last"))
@@ -31,9 +31,11 @@ def append_versions(batch: DataFrame, path: str, batch_id: int, fmt: str = "parq
     batch.write.format(fmt).mode("overwrite").save(f"{path}/batch_id={int(batch_id)}")
 
 
-def current_patients(spark: SparkSession, path: str, sequence: str = "sequence", fmt: str = "parquet") -> DataFrame:
-    log = spark.read.format(fmt).option("basePath", path).load(path)
-    return latest_by_key(log, "patient_id", sequence)
+def current_patients(
+    spark: SparkSession, path: str, order: Sequence[str] = ("batch_id", "sequence"), fmt: str = "parquet"
+) -> DataFrame:
+    """The store's state: later batches win, within a batch the later row."""
+    return latest_by_key(spark.read.format(fmt).load(path), "patient_id", order)
 
 
 def find_patient(patients: DataFrame, patient_id: str) -> DataFrame:

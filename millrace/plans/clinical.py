@@ -26,7 +26,7 @@ def store_batch(
     """
     ordered = resources
     if sequence is None:
-        ordered = resources.withColumn("sequence", F.lit(batch_id) * F.lit(1 << 50) + F.monotonically_increasing_id())
+        ordered = resources.withColumn("sequence", F.monotonically_increasing_id())
     elif sequence != "sequence":
         ordered = resources.withColumn("sequence", F.col(sequence))
     spark = resources.sparkSession
