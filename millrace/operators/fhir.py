@@ -1,7 +1,9 @@
 """Clinical JSON resources: dispatch, structural validation, normalisation to flat tables.
 
 One strict parse per row feeds everything. Per field the type text of the parsed value tells
-absent, null and wrongly typed apart, which a typed JSON read cannot.
+absent, null and wrongly typed apart, which a typed JSON read cannot. The work is laid out in
+projections that each use what the one before computed, and ends in a generator, so that a
+filter on the outcome reads a finished column and never repeats the parse.
 """
 
 from __future__ import annotations
@@ -44,6 +46,7 @@ _STAMP = (
     r"([Zz]|[+\-−](?:[01]\d|2[0-3]):?[0-5]\d)?)?$"
 )
 _NUMBER = r"^[+-]?\d+(\.\d+)?$"
+_NUMERIC_KIND = "^(BIGINT|DOUBLE|FLOAT|DECIMAL)"
 
 
 def _at(v: Column, path: str) -> Column:
@@ -63,10 +66,6 @@ def _has(v: Column, path: str) -> Column:
     return _at(v, path).isNotNull()
 
 
-def _group(text: Column, i: int) -> Column:
-    return F.regexp_extract(text, _STAMP, i)
-
-
 def _instant(text: Column) -> Column:
     """Seconds or, beyond 2e10, milliseconds since the epoch, as a timestamp."""
     number = text.cast("double")
@@ -74,54 +73,68 @@ def _instant(text: Column) -> Column:
     return F.timestamp_micros(F.round(micros).cast("long"))
 
 
-def _local(text: Column) -> Column:
-    """Wall-clock time of an ISO text without its offset; NULL when it names no real time."""
-    second = F.when(_group(text, 3) == "", F.lit("00")).otherwise(_group(text, 3))
-    minute = F.when(_group(text, 2) == "", F.lit("00:00")).otherwise(_group(text, 2))
-    return F.when(
-        text.rlike(_STAMP),
-        F.concat(_group(text, 1), F.lit(" "), minute, F.lit(":"), second).try_cast("timestamp_ntz"),
-    )
-
-
-def _fraction(text: Column) -> Column:
-    """Six digits of the fraction, or empty when they are all zero."""
-    digits = F.rpad(F.substring(_group(text, 4), 1, 6), 6, "0")
-    return F.when(digits == "000000", F.lit("")).otherwise(F.concat(F.lit("."), digits))
-
-
-def _offset(text: Column) -> Column:
-    raw = F.regexp_replace(_group(text, 5), "−", "-")
-    signed = F.concat(F.substring(raw, 1, 3), F.lit(":"), F.regexp_extract(raw, r"(\d{2})$", 1))
-    return (
-        F.when(raw == "", F.lit(""))
-        .when(F.upper(raw) == "Z", F.lit("+00:00"))
-        .otherwise(F.regexp_replace(signed, r"^-00:00$", "+00:00"))
-    )
-
-
-def _readable(text: Column) -> Column:
-    return F.when(text.rlike(_NUMBER), _instant(text).isNotNull()).otherwise(_local(text).isNotNull())
-
-
-def render_date(text: Column) -> Column:
-    """yyyy-MM-dd of a date, a midnight time or a whole number of days since the epoch."""
-    return F.when(text.rlike(_NUMBER), F.date_format(_instant(text), "yyyy-MM-dd")).otherwise(
-        F.substring(text, 1, 10)
-    )
+class _Moment:
+    """A date or time field: its text and the pieces that two projections take from it."""
+
+    def __init__(self, field: str) -> None:
+        self.name = field
+        self.text = F.col(f"_text_{field}")
+        self.parts = F.col(f"_parts_{field}")
+        self.local = F.col(f"_local_{field}")
+        self.instant = F.col(f"_instant_{field}")
+
+    def pieces(self) -> dict[str, Column]:
+        """Date, minutes, seconds, fraction and offset of an ISO text; NULL for other texts."""
+        split = F.split(F.regexp_replace(self.text, _STAMP, "$1|$2|$3|$4|$5"), r"\|")
+        return {f"_parts_{self.name}": F.when(self.text.rlike(_STAMP), split)}
+
+    def times(self) -> dict[str, Column]:
+        """Wall-clock text of an ISO text without its offset, and the time of a number."""
+        minute = F.when(self.parts[1] == "", F.lit("00:00")).otherwise(self.parts[1])
+        second = F.when(self.parts[2] == "", F.lit("00")).otherwise(self.parts[2])
+        return {
+            f"_local_{self.name}": F.concat(self.parts[0], F.lit(" "), minute, F.lit(":"), second),
+            f"_instant_{self.name}": F.when(self.text.rlike(_NUMBER), _instant(self.text)),
+        }
+
+    def readable(self) -> Column:
+        return self.local.try_cast("timestamp_ntz").isNotNull() | self.instant.isNotNull()
+
+    def fraction(self) -> Column:
+        """Six digits of the fraction, or empty when they are all zero."""
+        digits = F.rpad(F.substring(self.parts[3], 1, 6), 6, "0")
+        return F.when(digits == "000000", F.lit("")).otherwise(F.concat(F.lit("."), digits))
+
+    def offset(self) -> Column:
+        raw = F.translate(self.parts[4], "−", "-")
+        signed = F.concat(F.substring(raw, 1, 3), F.lit(":"), F.right(raw, F.lit(2)))
+        return (
+            F.when(raw == "", F.lit(""))
+            .when(F.upper(raw) == "Z", F.lit("+00:00"))
+            .when(signed == "-00:00", F.lit("+00:00"))
+            .otherwise(signed)
+        )
 
+    def midnight(self) -> Column:
+        local = self.local.endswith(" 00:00:00") & (self.fraction() == "")
+        return F.when(self.instant.isNull(), local).otherwise(
+            F.date_format(self.instant, "HH:mm:ss.SSSSSS") == "00:00:00.000000"
+        )
 
-def render_datetime(text: Column) -> Column:
-    """`yyyy-MM-dd HH:mm:ss[.ffffff][+hh:mm]`, with the offset that the source text has."""
-    moment = _instant(text)
-    micros = F.date_format(moment, "SSSSSS")
-    numeric = F.concat(
-        F.date_format(moment, "yyyy-MM-dd HH:mm:ss"),
-        F.when(micros == "000000", F.lit("")).otherwise(F.concat(F.lit("."), micros)),
-        F.lit("+00:00"),
-    )
-    written = F.concat(F.date_format(_local(text), "yyyy-MM-dd HH:mm:ss"), _fraction(text), _offset(text))
-    return F.when(text.rlike(_NUMBER), numeric).otherwise(written)
+    def as_date(self) -> Column:
+        """yyyy-MM-dd of a date, a midnight time or a whole number of days since the epoch."""
+        return F.when(self.instant.isNull(), self.parts[0]).otherwise(F.date_format(self.instant, "yyyy-MM-dd"))
+
+    def as_datetime(self) -> Column:
+        """`yyyy-MM-dd HH:mm:ss[.ffffff][+hh:mm]`, with the offset that the source text has."""
+        micros = F.date_format(self.instant, "SSSSSS")
+        numeric = F.concat(
+            F.date_format(self.instant, "yyyy-MM-dd HH:mm:ss"),
+            F.when(micros == "000000", F.lit("")).otherwise(F.concat(F.lit("."), micros)),
+            F.lit("+00:00"),
+        )
+        written = F.concat(self.local, self.fraction(), self.offset())
+        return F.when(self.instant.isNull(), written).otherwise(numeric)
 
 
 def _issue(loc: str | Column, kind: str | Column) -> Column:
@@ -132,73 +145,72 @@ def _issue(loc: str | Column, kind: str | Column) -> Column:
 _NO_ISSUES = "array<struct<loc:string,type:string>>"
 
 
-def _moment_issue(v: Column, field: str, kind: str) -> Column:
-    found, text = _kind(v, f"$.{field}"), _text(v, f"$.{field}")
-    scalar = (found == "STRING") | found.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+def _moment_issue(found: Column, m: _Moment, kind: str) -> Column:
+    scalar = (found == "STRING") | found.rlike(_NUMERIC_KIND)
     if kind == "datetime":
-        return F.when(~scalar, "datetime_type").when(~F.coalesce(_readable(text), F.lit(False)), "datetime_from_date_parsing")
-    midnight = F.when(text.rlike(_NUMBER), F.date_format(_instant(text), "HH:mm:ss.SSSSSS") == "00:00:00.000000").otherwise(
-        (F.date_format(_local(text), "HH:mm:ss") == "00:00:00") & (_fraction(text) == "")
-    )
+        return F.when(~scalar, "datetime_type").when(~m.readable(), "datetime_from_date_parsing")
     return (
         F.when(~scalar, "date_type")
-        .when(~F.coalesce(_readable(text), F.lit(False)), "date_from_datetime_parsing")
-        .when(~midnight, "date_from_datetime_inexact")
+        .when(~m.readable(), "date_from_datetime_parsing")
+        .when(~m.midnight(), "date_from_datetime_inexact")
     )
 
 
-def _field_issues(v: Column, field: str, declared: str) -> Column:
-    """Array of issues of one field, empty when it is fine."""
+def _fault(v: Column, field: str, declared: str) -> Column:
+    """Name of what is wrong with a field, NULL when it is fine."""
     optional, kind = declared.endswith("?"), declared.rstrip("?")
-    found = _kind(v, f"$.{field}")
-    none = F.array().cast(_NO_ISSUES)
-
-    def one(name: str | Column) -> Column:
-        return F.array(_issue(field, name))
-
-    if kind == "string":
-        typed = F.when(found != "STRING", one("string_type")).otherwise(none)
-    elif kind == "dict":
-        typed = F.when(~found.startswith("OBJECT"), one("dict_type")).otherwise(none)
-    elif kind == "list":
-        items = F.try_variant_get(v, f"$.{field}", "array<variant>")
-        per_item = F.transform(
-            items,
-            lambda x, i: F.when(
-                ~F.coalesce(F.schema_of_variant(x).startswith("OBJECT"), F.lit(False)),
-                _issue(F.concat(F.lit(f"{field}."), i.cast("string")), "dict_type"),
-            ),
-        )
-        typed = F.when(~found.startswith("ARRAY"), one("list_type")).otherwise(
-            F.filter(per_item, lambda x: x.isNotNull())
-        )
-    else:
-        problem = _moment_issue(v, field, kind)
-        typed = F.when(problem.isNotNull(), one(problem)).otherwise(none)
-    absent = none if optional else one("missing")
+    found = F.col(f"_kind_{field}")
+    fine = F.lit(None).cast("string")
+    name = F.when(found.isNull(), fine if optional else F.lit("missing"))
     if optional:
-        typed = F.when(found == "VOID", none).otherwise(typed)
-    return F.when(found.isNull(), absent).otherwise(typed)
+        name = name.when(found == "VOID", fine)
+    typed_as = {"string": "STRING", "dict": "OBJECT", "list": "ARRAY"}
+    if kind not in typed_as:
+        return name.otherwise(F.col(f"_problem_{field}"))
+    name = name.when(~found.startswith(typed_as[kind]), f"{kind}_type")
+    if kind == "list":
+        name = name.when(F.exists(_items(v, field), lambda x: ~_object_item(x)), _ITEMS)
+    return name
+
 
+_ITEMS = "items"
 
-def _issues(v: Column, resource: str) -> Column:
-    return F.concat(*[_field_issues(v, f, k) for f, k in FIELDS[resource].items()])
+
+def _items(v: Column, field: str) -> Column:
+    return F.try_variant_get(v, f"$.{field}", "array<variant>")
+
+
+def _object_item(x: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(x).startswith("OBJECT"), F.lit(False))
+
+
+def _issues(v: Column, field: str, declared: str) -> Column:
+    """Array of the issues of a field."""
+    fault = F.col(f"_fault_{field}")
+    own = F.array(F.when(fault.isNotNull(), _issue(field, fault)))
+    if not declared.startswith("list"):
+        return own
+    items = F.transform(
+        _items(v, field),
+        lambda x, i: F.when(~_object_item(x), _issue(F.concat(F.lit(f"{field}."), i.cast("string")), "dict_type")),
+    )
+    return F.when(fault == _ITEMS, items).otherwise(own)
 
 
 def _first_code(v: Column, field: str) -> Column:
     return F.when(_kind(v, f"$.{field}.coding").startswith("ARRAY"), _text(v, f"$.{field}.coding[0].code"))
 
 
-def _empty(v: Column, path: str) -> Column:
+def _empty(found: Column, v: Column, path: str) -> Column:
     """Absent, null, false, zero, empty text, empty list or empty object."""
-    found, text = _kind(v, path), _text(v, path)
+    text = _text(v, path)
     return F.coalesce(
         (found == "VOID")
         | ((found == "BOOLEAN") & (text == "false"))
         | ((found == "STRING") & (text == ""))
         | (found == "OBJECT<>")
         | (found.startswith("ARRAY") & _at(v, f"{path}[0]").isNull())
-        | (found.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)") & (text.try_cast("double") == 0)),
+        | (found.rlike(_NUMERIC_KIND) & (text.try_cast("double") == 0)),
         F.lit(True),
     )
 
@@ -209,7 +221,7 @@ def _is_object(v: Column, path: str) -> Column:
 
 def _code_breaks(v: Column) -> Column:
     """A coding that is there but is not a list that starts with an object."""
-    return ~_empty(v, "$.code.coding") & ~_is_object(v, "$.code.coding[0]")
+    return ~_empty(F.col("_kind_coding"), v, "$.code.coding") & ~_is_object(v, "$.code.coding[0]")
 
 
 def _status_breaks(v: Column, field: str) -> Column:
@@ -233,7 +245,7 @@ def _patient(v: Column) -> dict[str, Column]:
         "patient_id": _text(v, "$.id"),
         "name": _text(v, "$.name[0].text"),
         "gender": _text(v, "$.gender"),
-        "birth_date": render_date(_text(v, "$.birthDate")),
+        "birth_date": _Moment("birthDate").as_date(),
         "address": _text(v, "$.address[0].text"),
     }
 
@@ -256,28 +268,26 @@ def _observation(v: Column) -> dict[str, Column]:
         .when(F.length(written) > 0, written)
         .when(_has(v, "$.valueCodeableConcept.text"), _text(v, "$.valueCodeableConcept.text"))
     )
-    effective = _text(v, "$.effectiveDateTime")
     return {
         "observation_id": _text(v, "$.id"),
         "patient_id": _text(v, "$.subject.reference"),
         "code": _first_code(v, "code"),
         "value": value,
         "value_num": value.try_cast("double"),
-        "effective": render_datetime(effective),
-        "effective_ts": render_datetime(effective).try_cast("timestamp"),
+        "effective": F.col("_shown_effectiveDateTime"),
+        "effective_ts": F.col("_shown_effectiveDateTime").try_cast("timestamp"),
     }
 
 
 def _condition(v: Column) -> dict[str, Column]:
-    onset = _text(v, "$.onsetDateTime")
     return {
         "condition_id": _text(v, "$.id"),
         "patient_id": _text(v, "$.subject.reference"),
         "code": _first_code(v, "code"),
-        "onset": render_datetime(onset),
+        "onset": F.col("_shown_onsetDateTime"),
         "clinical_status": _first_code(v, "clinicalStatus"),
         "verification_status": _first_code(v, "verificationStatus"),
-        "onset_ts": render_datetime(onset).try_cast("timestamp"),
+        "onset_ts": F.col("_shown_onsetDateTime").try_cast("timestamp"),
     }
 
 
@@ -296,23 +306,48 @@ def classify(df: DataFrame, column: str = "value", envelope: bool = False) -> Da
     `envelope` unwraps a `{"resource": ...}` request body.
     """
     parsed = F.try_parse_json(F.col(column).cast("string"))
-    v = F.col("_resource")
-    kind = F.col("resource_type")
+    v, kind = F.col("_resource"), F.col("resource_type")
+    every = {f: k for fields in FIELDS.values() for f, k in fields.items()}
+    moments = [(_Moment(f), k.rstrip("?")) for f, k in every.items() if k.startswith("date")]
+
     rows = df.withColumn("_resource", _at(parsed, "$.resource") if envelope else parsed)
-    rows = rows.withColumn("resource_type", _text(v, "$.resourceType")).withColumn(
-        "_object", _is_object(v, "$")
+    # One pass over the object takes out all fields: NULL when absent, a null variant for null.
+    members = ", ".join(f"`{f}`: variant" for f in ("resourceType", *every))
+    rows = rows.withColumn("_member", F.try_variant_get(v, "$", f"struct<{members}>"))
+    member = F.col("_member")
+    rows = rows.withColumns(
+        {
+            "resource_type": _text(member["resourceType"], "$"),
+            "_object": member.isNotNull(),
+            "_named": F.coalesce(F.schema_of_variant(member["resourceType"]) == "STRING", F.lit(False)),
+            "_kind_coding": _kind(member["code"], "$.coding"),
+            **{f"_kind_{f}": F.schema_of_variant(member[f]) for f in every},
+            **{f"_text_{m.name}": _text(member[m.name], "$") for m, _ in moments},
+        }
+    ).drop("_member")
+    rows = rows.withColumns({n: e for m, _ in moments for n, e in m.pieces().items()})
+    rows = rows.withColumns({n: e for m, _ in moments for n, e in m.times().items()})
+    rows = rows.withColumns(
+        {
+            **{f"_problem_{m.name}": _moment_issue(F.col(f"_kind_{m.name}"), m, k) for m, k in moments},
+            **{f"_shown_{m.name}": m.as_datetime() for m, k in moments if k == "datetime"},
+        }
     )
-    issues, broken = F.array().cast(_NO_ISSUES), F.lit(False)
+    rows = rows.withColumns({f"_fault_{f}": _fault(v, f, k) for f, k in every.items()})
+    invalid, broken, details = F.lit(False), F.lit(False), F.lit(None).cast(_NO_ISSUES)
     for name, breaks in _breaks(v).items():
-        issues = F.when(kind == name, _issues(v, name)).otherwise(issues)
+        faults = [F.col(f"_fault_{f}") for f in FIELDS[name]]
+        invalid = F.when(kind == name, F.coalesce(*faults).isNotNull()).otherwise(invalid)
         broken = F.when(kind == name, breaks).otherwise(broken)
-    rows = rows.withColumn("_issues", issues)
-    known = F.coalesce(kind.isin(*FIELDS) & (_kind(v, "$.resourceType") == "STRING"), F.lit(False))
+        listed = F.flatten(F.array(*[_issues(v, f, k) for f, k in FIELDS[name].items()]))
+        details = F.when(kind == name, listed).otherwise(details)
+    rows = rows.withColumns({"_invalid": invalid, "_broken": broken})
+    known = F.coalesce(kind.isin(*FIELDS), F.lit(False)) & F.col("_named")
     error = (
         F.when(~F.col("_object"), "Resource is not a JSON object")
         .when(~known, F.concat(F.lit("Unsupported resourceType: "), F.coalesce(kind, F.lit("None"))))
-        .when(F.size("_issues") > 0, "Validation failed")
-        .when(broken, "Normalization failed")
+        .when(F.col("_invalid"), "Validation failed")
+        .when(F.col("_broken"), "Normalization failed")
     )
     rows = rows.withColumn("error", error)
     outcome = F.when(F.col("error").isNotNull(), ERRORS)
@@ -325,14 +360,14 @@ def classify(df: DataFrame, column: str = "value", envelope: bool = False) -> Da
         ).alias(table)
         for name, table in TABLES.items()
     ]
-    return rows.select(
-        *df.columns,
+    finished = F.struct(
         outcome.alias("outcome"),
-        "resource_type",
-        "error",
-        F.when(F.col("error") == "Validation failed", F.col("_issues")).alias("details"),
+        kind.alias("resource_type"),
+        F.col("error"),
+        F.when(F.col("error") == "Validation failed", F.array_compact(details)).alias("details"),
         *flat,
     )
+    return rows.select(*[F.col(c) for c in df.columns], F.inline(F.array(finished)))
 
 
 def table_of(classified: DataFrame, table: str, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -9,12 +9,14 @@ end are counted, never gathered, so a value shared by a third of all rows costs
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.columns import col, present
 from millrace.plans.scratch import materialize
@@ -44,24 +46,17 @@ def quantile_rank(column: str, p: float) -> Rank:
     )
 
 
-def _pin(state: DataFrame, by: Sequence[str]) -> DataFrame | Row:
-    """Without groups the brackets are one row of numbers; with groups they stay a table."""
-    return materialize(state, "brackets") if by else state.first()
+def _numbers(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> tuple[DataFrame, dict[str, str]]:
+    slot = {c: f"_x{i}" for i, c in enumerate(columns)}
+    return df.select(*[col(b) for b in by], *[present(df, c).cast("double").alias(slot[c]) for c in columns]), slot
 
 
-def _widest(state: DataFrame | Row, rooms: Sequence[str]) -> int:
-    if isinstance(state, Row):
-        return max(state[r] or 0 for r in rooms)
-    return state.agg(F.max(F.greatest(*[F.col(r) for r in rooms], F.lit(0)))).first()[0] or 0
+def _slack(accuracy: int) -> float:
+    return 4.0 / accuracy
 
 
-def _attach(
-    rows: DataFrame, state: DataFrame | Row, by: Sequence[str], names: Sequence[str]
-) -> DataFrame:
-    """Give every row the bracket of its group: literals for one group, a join for many."""
-    if isinstance(state, Row):
-        kinds = {"n": "long", "lo": "double", "hi": "double"}
-        return rows.select("*", *[F.lit(state[n]).cast(kinds[n.split("_")[0]]).alias(n) for n in names])
+def _attach(rows: DataFrame, state: DataFrame, by: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Give every row the bracket of its group."""
     keys = state.select(*[col(b).alias(f"_key_{i}") for i, b in enumerate(by)], *names)
     same = reduce(
         lambda a, b: a & b,
@@ -73,15 +68,14 @@ def _attach(
 def order_statistics(
     df: DataFrame,
     ranks: Sequence[Rank],
-    by: Sequence[str] = (),
+    by: Sequence[str],
     accuracy: int = ACCURACY,
     gather_limit: int = GATHER_LIMIT,
 ) -> DataFrame:
     """One row per group: `by`, then per rank t the columns `n_t`, `first_t`, `last_t`."""
     columns = list(dict.fromkeys(r.column for r in ranks))
-    slot = {c: f"_x{i}" for i, c in enumerate(columns)}
-    rows = df.select(*[col(b) for b in by], *[present(df, c).cast("double").alias(slot[c]) for c in columns])
-    slack = 4.0 / accuracy
+    rows, slot = _numbers(df, columns, by)
+    slack = _slack(accuracy)
 
     sketches = []
     for c in columns:
@@ -111,12 +105,13 @@ def order_statistics(
             F.when(small | F.lit(r.share >= 1 - slack), F.lit(float("inf"))).otherwise(q[at + 1]).alias(f"hi_{t}"),
             F.when(small, n).otherwise(F.ceil(n * (2 * slack + 2.0 / accuracy)) + 2).alias(f"room_{t}"),
         ]
-    state = _pin(sketched.select(*[col(b) for b in by], *opened), by)
+    state = materialize(sketched.select(*[col(b) for b in by], *opened), "brackets")
 
     every = range(len(ranks))
     kept = [f"{k}_{t}" for t in every for k in ("n", "lo", "hi")]
     while True:
-        last_pass = _widest(state, [f"room_{t}" for t in every]) <= gather_limit
+        room = F.max(F.greatest(*[F.col(f"room_{t}") for t in every], F.lit(0)))
+        last_pass = (state.agg(room).first()[0] or 0) <= gather_limit
         held = _attach(rows, state, by, kept)
         parts = []
         for t, r in enumerate(ranks):
@@ -139,7 +134,7 @@ def order_statistics(
         counted = held.groupBy(*[col(b) for b in by]).agg(*parts)
         if last_pass:
             return _read_off(counted, ranks, by)
-        state = _pin(_narrow(counted, ranks, by), by)
+        state = materialize(_narrow(counted, ranks, by), "brackets")
 
 
 def _narrow(counted: DataFrame, ranks: Sequence[Rank], by: Sequence[str]) -> DataFrame:
@@ -191,6 +186,143 @@ def _read_off(counted: DataFrame, ranks: Sequence[Rank], by: Sequence[str]) -> D
     return listed.select(*[col(b) for b in by], *out)
 
 
+@dataclass
+class _Bracket:
+    """Search for two neighbouring ranks of one column of a whole table."""
+
+    x: str
+    share: float
+    n: int
+    first: int
+    last: int
+    lo: float
+    hi: float
+    below: int = 0
+    inside: int = 0
+    found: dict[int, float] | None = None
+
+
+def _count(rows: DataFrame, open_ones: Sequence[_Bracket]) -> None:
+    """Place the wanted ranks relative to the bracket ends, in one code-generated aggregation."""
+    counts = rows.agg(
+        *[
+            F.count_if(test).alias(f"{k}{i}")
+            for i, b in enumerate(open_ones)
+            for k, test in (
+                ("lt", F.col(b.x) < b.lo),
+                ("le", F.col(b.x) <= b.lo),
+                ("ltu", F.col(b.x) < b.hi),
+                ("leu", F.col(b.x) <= b.hi),
+            )
+        ]
+    ).first()
+    for i, b in enumerate(open_ones):
+        lt, le, ltu, leu = (counts[f"{k}{i}"] for k in ("lt", "le", "ltu", "leu"))
+        if not lt < b.first <= b.last <= leu:
+            raise RuntimeError("rank outside its bracket")
+        b.below, b.inside, b.found = le, ltu - le, {}
+        for k in {b.first, b.last}:
+            if k <= le:
+                b.found[k] = b.lo
+            elif k > ltu:
+                b.found[k] = b.hi
+
+
+def _settled(b: _Bracket) -> bool:
+    return b.found is not None and {b.first, b.last} <= set(b.found)
+
+
+def _strictly_inside(b: _Bracket) -> Column:
+    return (F.col(b.x) > b.lo) & (F.col(b.x) < b.hi)
+
+
+def _refine(rows: DataFrame, wide: Sequence[_Bracket], accuracy: int) -> None:
+    grids = rows.agg(
+        *[
+            F.percentile_approx(F.when(_strictly_inside(b), F.col(b.x)), [g / GRID for g in range(GRID + 1)], accuracy).alias(f"g{i}")
+            for i, b in enumerate(wide)
+        ]
+    ).first()
+    for i, b in enumerate(wide):
+        down = math.floor((b.first - b.below - 1) / b.inside * GRID) - 1
+        up = math.ceil((b.last - b.below) / b.inside * GRID) + 1
+        # A rank that already equals an end stays reachable: that end is kept.
+        if b.first > b.below and down >= 0:
+            b.lo = grids[f"g{i}"][down]
+        if b.last <= b.below + b.inside and up <= GRID:
+            b.hi = grids[f"g{i}"][up]
+
+
+def _gather(rows: DataFrame, narrow: Sequence[_Bracket]) -> None:
+    """Read the ranks off the few values inside each bracket."""
+    near = rows.where(reduce(lambda a, b: a | b, [_strictly_inside(b) for b in narrow]))
+    cells = near.select(
+        F.explode(
+            F.array(*[F.when(_strictly_inside(b), F.struct(F.lit(i).alias("t"), F.col(b.x).alias("x"))) for i, b in enumerate(narrow)])
+        ).alias("cell")
+    )
+    held = cells.where(F.col("cell").isNotNull()).groupBy("cell.t").agg(F.sort_array(F.collect_list("cell.x")).alias("xs"))
+    places = F.create_map(
+        *[
+            e
+            for i, b in enumerate(narrow)
+            for e in (F.lit(i), F.array(F.lit(b.first - b.below - 1), F.lit(b.last - b.below - 1)))
+        ]
+    )[F.col("t")]
+    for r in held.select("t", F.transform(places, lambda p: F.get("xs", p)).alias("values")).collect():
+        b = narrow[r["t"]]
+        for k, v in zip((b.first, b.last), r["values"]):
+            b.found.setdefault(k, v)
+
+
+def _table_quantiles(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int, gather_limit: int
+) -> DataFrame:
+    rows, slot = _numbers(df, columns)
+    slack = _slack(accuracy)
+    points = [q for p in probabilities for q in (max(p - slack, 0.0), min(p + slack, 1.0))]
+    sketch = rows.agg(
+        *[F.count(slot[c]).alias(f"n{slot[c]}") for c in columns],
+        *[F.percentile_approx(slot[c], points, accuracy).alias(f"q{slot[c]}") for c in columns],
+    ).first()
+
+    small = [c for c in columns if sketch[f"n{slot[c]}"] <= gather_limit]
+    searches: dict[str, list[_Bracket]] = {}
+    for c in columns:
+        if c in small:
+            continue
+        n, q = sketch[f"n{slot[c]}"], sketch[f"q{slot[c]}"]
+        searches[c] = []
+        for j, p in enumerate(probabilities):
+            place = p * (n - 1)
+            lo = float("-inf") if p <= slack else q[2 * j]
+            hi = float("inf") if p >= 1 - slack else q[2 * j + 1]
+            searches[c].append(_Bracket(slot[c], p, n, math.floor(place) + 1, math.ceil(place) + 1, lo, hi))
+    searching = [b for bs in searches.values() for b in bs]
+    while searching:
+        _count(rows, searching)
+        searching = [b for b in searching if not _settled(b)]
+        narrow = [b for b in searching if b.inside <= gather_limit]
+        if narrow:
+            _gather(rows, narrow)
+        searching = [b for b in searching if b.inside > gather_limit]
+        if searching:
+            _refine(rows, searching, accuracy)
+
+    values = {}
+    if small:
+        # At most `gather_limit` values per column: the built-in exact percentile is bounded.
+        exact = rows.agg(*[F.percentile(slot[c], list(probabilities)).alias(slot[c]) for c in small]).first()
+        values = {c: exact[slot[c]] or [None] * len(probabilities) for c in small}
+    for c, brackets in searches.items():
+        values[c] = []
+        for b in brackets:
+            low, high, place = b.found[b.first], b.found[b.last], b.share * (b.n - 1)
+            values[c].append(low if low == high else low + (high - low) * (place - math.floor(place)))
+    schema = T.StructType([T.StructField(c, T.ArrayType(T.DoubleType())) for c in columns])
+    return df.sparkSession.createDataFrame([tuple(values[c] for c in columns)], schema)
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -200,6 +332,8 @@ def exact_quantiles(
     gather_limit: int = GATHER_LIMIT,
 ) -> DataFrame:
     """Linear-interpolation quantiles: `by`, then one array of doubles per column."""
+    if not by:
+        return _table_quantiles(df, columns, probabilities, accuracy, gather_limit)
     ranks = [quantile_rank(c, p) for c in columns for p in probabilities]
     found = order_statistics(df, ranks, by, accuracy, gather_limit)
 
