@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import col, string_columns, with_columns
+from millrace.functions.columns import col, missing, string_columns, with_columns
 
 AUDIT_COLUMN = "etl_timestamp"
 
@@ -40,3 +42,20 @@ def clean(df: DataFrame, at: Column | None = None) -> DataFrame:
     normalised after the duplicates are gone, so rows that only then become equal both stay.
     """
     return stamp(normalise_text(drop_duplicates(drop_incomplete(df))), at)
+
+
+def clean_and_count(df: DataFrame, seen: Observation, at: Column | None = None) -> DataFrame:
+    """`clean`, with the numbers of rows read ("extracted") and kept ("loaded") observed on the way.
+
+    Incomplete rows are blanked instead of dropped, so they fold into one all-NULL group and the
+    grouping that removes duplicates also counts every row. The numbers are taken after the
+    shuffle, in the stage that writes: a map task that runs again cannot count twice.
+    """
+    incomplete = reduce(lambda a, b: a | b, [missing(df, c) for c in df.columns])
+    blanked = df.select(*[F.when(~incomplete, col(c)).alias(c) for c in df.columns])
+    groups = blanked.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
+    kept = col(df.columns[0]).isNotNull()
+    counted = groups.observe(
+        seen, F.coalesce(F.sum("_copies"), F.lit(0)).alias("extracted"), F.count_if(kept).alias("loaded")
+    )
+    return stamp(normalise_text(counted.where(kept).drop("_copies")), at)

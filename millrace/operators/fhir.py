@@ -8,7 +8,7 @@ filter on the outcome reads a finished column and never repeats the parse.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -299,11 +299,11 @@ NORMALISERS: dict[str, Callable[[Column], dict[str, Column]]] = {
 }
 
 
-def classify(df: DataFrame, column: str = "value", envelope: bool = False) -> DataFrame:
-    """Add `outcome` (a table name or "errors"), `resource_type`, `error`, `details` and one
-    struct per table; all other columns are kept.
+def _staged(df: DataFrame, column: str, envelope: bool) -> DataFrame:
+    """Source columns, `outcome`, and what validation found out about each resource.
 
-    `envelope` unwraps a `{"resource": ...}` request body.
+    The outcome comes out of a generator, which a filter cannot be moved past: a filter on it
+    compares a finished column, and only rows that pass it are normalised.
     """
     parsed = F.try_parse_json(F.col(column).cast("string"))
     v, kind = F.col("_resource"), F.col("resource_type")
@@ -334,13 +334,11 @@ def classify(df: DataFrame, column: str = "value", envelope: bool = False) -> Da
         }
     )
     rows = rows.withColumns({f"_fault_{f}": _fault(v, f, k) for f, k in every.items()})
-    invalid, broken, details = F.lit(False), F.lit(False), F.lit(None).cast(_NO_ISSUES)
+    invalid, broken = F.lit(False), F.lit(False)
     for name, breaks in _breaks(v).items():
         faults = [F.col(f"_fault_{f}") for f in FIELDS[name]]
         invalid = F.when(kind == name, F.coalesce(*faults).isNotNull()).otherwise(invalid)
         broken = F.when(kind == name, breaks).otherwise(broken)
-        listed = F.flatten(F.array(*[_issues(v, f, k) for f, k in FIELDS[name].items()]))
-        details = F.when(kind == name, listed).otherwise(details)
     rows = rows.withColumns({"_invalid": invalid, "_broken": broken})
     known = F.coalesce(kind.isin(*FIELDS), F.lit(False)) & F.col("_named")
     error = (
@@ -353,21 +351,39 @@ def classify(df: DataFrame, column: str = "value", envelope: bool = False) -> Da
     outcome = F.when(F.col("error").isNotNull(), ERRORS)
     for name, table in TABLES.items():
         outcome = outcome.when(kind == name, table)
-    flat = [
-        F.when(
-            F.col("error").isNull() & (kind == name),
-            F.struct(*[e.alias(n) for n, e in NORMALISERS[name](v).items()]),
-        ).alias(table)
-        for name, table in TABLES.items()
-    ]
-    finished = F.struct(
-        outcome.alias("outcome"),
-        kind.alias("resource_type"),
-        F.col("error"),
-        F.when(F.col("error") == "Validation failed", F.array_compact(details)).alias("details"),
-        *flat,
+    return rows.withColumn("outcome", F.explode(F.array(outcome)))
+
+
+def _details() -> Column:
+    """Issues of a failed validation in schema order; evaluated for failing rows only."""
+    v, kind = F.col("_resource"), F.col("resource_type")
+    details = F.lit(None).cast(_NO_ISSUES)
+    for name, fields in FIELDS.items():
+        listed = F.flatten(F.array(*[_issues(v, f, k) for f, k in fields.items()]))
+        details = F.when(kind == name, F.array_compact(listed)).otherwise(details)
+    return F.when(F.col("error") == "Validation failed", details)
+
+
+def _flat(table: str) -> list[Column]:
+    name = next(n for n, t in TABLES.items() if t == table)
+    return [e.alias(n) for n, e in NORMALISERS[name](F.col("_resource")).items()]
+
+
+def classify(df: DataFrame, column: str = "value", envelope: bool = False) -> DataFrame:
+    """Add `outcome` (a table name or "errors"), `resource_type`, `error`, `details` and one
+    struct per table; all other columns are kept.
+
+    `envelope` unwraps a `{"resource": ...}` request body.
+    """
+    staged = _staged(df, column, envelope)
+    return staged.select(
+        *[F.col(c) for c in df.columns],
+        "outcome",
+        "resource_type",
+        "error",
+        _details().alias("details"),
+        *[F.when(F.col("outcome") == t, F.struct(*_flat(t))).alias(t) for t in TABLES.values()],
     )
-    return rows.select(*[F.col(c) for c in df.columns], F.inline(F.array(finished)))
 
 
 def table_of(classified: DataFrame, table: str, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -381,11 +397,17 @@ def errors_of(classified: DataFrame, column: str = "value", keep: tuple[str, ...
     )
 
 
-def ingest(df: DataFrame, column: str = "value", envelope: bool = False) -> dict[str, DataFrame]:
-    """Four normalised tables and the error table."""
-    classified = classify(df, column, envelope)
-    out = {t: table_of(classified, t) for t in TABLES.values()}
-    out[ERRORS] = errors_of(classified, column)
+def ingest(
+    df: DataFrame, column: str = "value", envelope: bool = False, only: Sequence[str] | None = None
+) -> dict[str, DataFrame]:
+    """Four normalised tables and the error table, or those named in `only`."""
+    staged = _staged(df, column, envelope)
+    wanted = only or (*TABLES.values(), ERRORS)
+    out = {t: staged.where(F.col("outcome") == t).select(*_flat(t)) for t in TABLES.values() if t in wanted}
+    if ERRORS in wanted:
+        out[ERRORS] = staged.where(F.col("outcome") == ERRORS).select(
+            F.col(column).alias("raw"), "resource_type", "error", _details().alias("details")
+        )
     return out
 
 

@@ -44,11 +44,11 @@ def find_patient(patients: DataFrame, patient_id: str) -> DataFrame:
 
 
 def find_patients(patients: DataFrame, ids: DataFrame) -> DataFrame:
-    return patients.join(ids.select("patient_id"), "patient_id", "left_semi").select(*PATIENT_COLUMNS)
+    return patients.join(ids.select("patient_id").distinct(), "patient_id", "left_semi").select(*PATIENT_COLUMNS)
 
 
 def unknown_patients(patients: DataFrame, ids: DataFrame) -> DataFrame:
-    return ids.select("patient_id").join(patients.select("patient_id"), "patient_id", "left_anti")
+    return ids.select("patient_id").distinct().join(patients.select("patient_id"), "patient_id", "left_anti")
 
 
 def bare_id(reference: Column) -> Column:

@@ -6,10 +6,9 @@ import time
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, Observation, SparkSession
 
-from millrace.operators.cleaning import clean
+from millrace.operators.cleaning import clean_and_count
 from millrace.operators.quality import CRITICAL_COLUMNS, validate
 from millrace.operators.runlog import append_run
 from millrace.sinks.tables import write_table
@@ -38,14 +37,13 @@ def run_etl(
     name = run_id or uuid.uuid4().hex
     started = time.monotonic()
     try:
-        taken, kept = Observation(), Observation()
-        raw = read_files(spark, source_path, file_format, schema).observe(taken, F.count(F.lit(1)).alias("n"))
-        cleaned = clean(raw, at).observe(kept, F.count(F.lit(1)).alias("n"))
+        seen = Observation()
+        cleaned = clean_and_count(read_files(spark, source_path, file_format, schema), seen, at)
         if replay_safe:
             write_table(cleaned, f"{target_path}/run_id={name}", "overwrite", target_format, partition_by)
         else:
             write_table(cleaned, target_path, write_mode, target_format, partition_by)
-        result = {"run_id": name, "rows_extracted": taken.get["n"], "rows_loaded": kept.get["n"]}
+        result = {"run_id": name, "rows_extracted": seen.get["extracted"], "rows_loaded": seen.get["loaded"]}
     except Exception:
         if run_log:
             append_run(spark, run_log, name, False, duration_seconds=time.monotonic() - started)

@@ -24,6 +24,8 @@ from millrace.plans.scratch import materialize
 ACCURACY = 10_000
 GATHER_LIMIT = 50_000
 GRID = 512
+BROADCAST_GROUPS = 100_000
+HOT_SHARE = 10_000
 
 
 @dataclass(frozen=True)
@@ -55,14 +57,27 @@ def _slack(accuracy: int) -> float:
     return 4.0 / accuracy
 
 
-def _attach(rows: DataFrame, state: DataFrame, by: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """Give every row the bracket of its group."""
-    keys = state.select(*[col(b).alias(f"_key_{i}") for i, b in enumerate(by)], *names)
-    same = reduce(
-        lambda a, b: a & b,
-        [col(b).eqNullSafe(F.col(f"_key_{i}")) for i, b in enumerate(by)],
+def _attach(
+    rows: DataFrame, state: DataFrame, by: Sequence[str], names: Sequence[str], n_groups: int, n_rows: int
+) -> DataFrame:
+    """Give every row the bracket of its group.
+
+    The brackets are broadcast while there are at most `BROADCAST_GROUPS` of them. Beyond that
+    only the groups with more than 1/`HOT_SHARE` of all rows are, which can be no more than
+    `HOT_SHARE` per column; all other groups are too small to skew a shuffled join.
+    """
+    renamed = [f"_key_{i}" for i in range(len(by))]
+    keys = state.select(*[col(b).alias(k) for b, k in zip(by, renamed)], *names)
+    same = reduce(lambda a, b: a & b, [col(b).eqNullSafe(F.col(k)) for b, k in zip(by, renamed)])
+    if n_groups <= BROADCAST_GROUPS:
+        return rows.join(F.broadcast(keys), same).drop(*renamed)
+    counts = [n for n in names if n.startswith("n_")]
+    is_hot = F.greatest(*[F.col(n) for n in counts], F.lit(0)) > n_rows / HOT_SHARE
+    hot = F.broadcast(keys.where(is_hot))
+    held = rows.join(hot, same).unionByName(
+        rows.join(hot.select(*renamed), same, "left_anti").join(keys.where(~is_hot), same)
     )
-    return rows.join(keys, same).drop(*[f"_key_{i}" for i in range(len(by))])
+    return held.drop(*renamed)
 
 
 def order_statistics(
@@ -110,9 +125,13 @@ def order_statistics(
     every = range(len(ranks))
     kept = [f"{k}_{t}" for t in every for k in ("n", "lo", "hi")]
     while True:
-        room = F.max(F.greatest(*[F.col(f"room_{t}") for t in every], F.lit(0)))
-        last_pass = (state.agg(room).first()[0] or 0) <= gather_limit
-        held = _attach(rows, state, by, kept)
+        size = state.agg(
+            F.max(F.greatest(*[F.col(f"room_{t}") for t in every], F.lit(0))).alias("room"),
+            F.count(F.lit(1)).alias("groups"),
+            F.sum(F.greatest(*[F.col(f"n_{t}") for t in every], F.lit(0))).alias("rows"),
+        ).first()
+        last_pass = (size["room"] or 0) <= gather_limit
+        held = _attach(rows, state, by, kept, size["groups"], size["rows"] or 0)
         parts = []
         for t, r in enumerate(ranks):
             x, lo, hi = F.col(slot[r.column]), F.col(f"lo_{t}"), F.col(f"hi_{t}")
@@ -286,7 +305,7 @@ def _table_quantiles(
         *[F.percentile_approx(slot[c], points, accuracy).alias(f"q{slot[c]}") for c in columns],
     ).first()
 
-    small = [c for c in columns if sketch[f"n{slot[c]}"] <= gather_limit]
+    small = [c for c in columns if sketch[f"n{slot[c]}"] <= 5 * gather_limit]
     searches: dict[str, list[_Bracket]] = {}
     for c in columns:
         if c in small:
@@ -311,7 +330,7 @@ def _table_quantiles(
 
     values = {}
     if small:
-        # At most `gather_limit` values per column: the built-in exact percentile is bounded.
+        # So few values per column bound what the built-in exact percentile holds.
         exact = rows.agg(*[F.percentile(slot[c], list(probabilities)).alias(slot[c]) for c in small]).first()
         values = {c: exact[slot[c]] or [None] * len(probabilities) for c in small}
     for c, brackets in searches.items():

@@ -32,3 +32,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a scan to all cores when it has fewer partitions than there are cores.
+
+    For costly work per row on a small or unsplittable file; a scan that is large enough is left
+    as it is. Not for plans with a shuffle or for streams.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

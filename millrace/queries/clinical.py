@@ -10,7 +10,7 @@ from millrace.functions.columns import iso_utc
 from millrace.operators import fhir, patients
 from millrace.plans.clinical import store_batch
 from millrace.plans.scratch import scratch_path
-from millrace.queries.registry import query, table
+from millrace.queries.registry import query, spread_table, table
 
 
 def _json(**fields):
@@ -48,7 +48,7 @@ _PATIENTS = """SELECT CAST(c_custkey AS VARCHAR) AS patient_id, c_name AS name,
 
 def _encounter_json(spark, sf):
     start = iso_utc(F.col("o_orderdate"))
-    return table(spark, sf, "orders").select(
+    return spread_table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate").select(
         _json(
             resourceType=F.lit("Encounter"),
             id=F.concat(F.lit("enc"), F.col("o_orderkey").cast("string")),
@@ -62,7 +62,7 @@ def _encounter_json(spark, sf):
 
 def _observation_json(spark, sf):
     seen = F.col("event_type") == "view"
-    return table(spark, sf, "events").select(
+    return spread_table(spark, sf, "events", "event_id", "event_type", "user_id", "ts", "value").select(
         _json(
             resourceType=F.lit("Observation"),
             id=F.concat(F.lit("obs"), F.col("event_id").cast("string")),
@@ -81,7 +81,9 @@ def _condition_json(spark, sf):
     status = F.when(F.col("l_discount") == 0, F.array().cast("array<struct<code:string>>")).otherwise(
         F.array(F.struct(F.col("l_linestatus").alias("code")))
     )
-    return table(spark, sf, "lineitem").select(
+    return spread_table(
+        spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag", "l_linestatus", "l_discount", "l_shipdate"
+    ).select(
         _json(
             resourceType=F.lit("Condition"),
             id=F.concat_ws("-", F.lit("cond"), F.col("l_orderkey"), F.col("l_linenumber")),
@@ -99,9 +101,13 @@ def _organization_json(spark, sf):
     )
 
 
+def _only(resources, name: str):
+    return fhir.ingest(resources, only=[name])[name]
+
+
 @query(_PATIENTS)
 def fhir_patients(spark, sf):
-    return fhir.ingest(_patient_json(spark, sf))["patients"]
+    return _only(_patient_json(spark, sf), "patients")
 
 
 @query("""
@@ -110,7 +116,7 @@ SELECT 'enc' || o_orderkey AS encounter_id, 'Patient/' || o_custkey AS patient_i
 FROM orders WHERE o_orderstatus <> 'P'
 """)
 def fhir_encounters(spark, sf):
-    return fhir.ingest(_encounter_json(spark, sf))["encounters"]
+    return _only(_encounter_json(spark, sf), "encounters")
 
 
 @query("""
@@ -121,7 +127,7 @@ SELECT 'obs' || event_id AS observation_id, 'Patient/' || user_id AS patient_id,
 FROM events
 """)
 def fhir_observations(spark, sf):
-    found = fhir.ingest(_observation_json(spark, sf))["observations"]
+    found = _only(_observation_json(spark, sf), "observations")
     return found.select(
         "observation_id", "patient_id", "code", F.when(F.col("value_num").isNull(), F.col("value")).alias("value_text"),
         "value_num", "effective", F.col("effective_ts").cast("timestamp_ntz").alias("effective_ts"),
@@ -134,7 +140,7 @@ SELECT 'cond-' || l_orderkey || '-' || l_linenumber AS condition_id, 'Patient/'
 FROM lineitem WHERE l_discount <> 0
 """)
 def fhir_conditions(spark, sf):
-    return fhir.ingest(_condition_json(spark, sf))["conditions"].drop("onset_ts")
+    return _only(_condition_json(spark, sf), "conditions").drop("onset_ts")
 
 
 @query("""
@@ -154,7 +160,7 @@ def fhir_errors(spark, sf):
             _organization_json(spark, sf),
         ],
     )
-    errors = fhir.ingest(everything)["errors"]
+    errors = _only(everything, "errors")
     listed = F.array_join(F.transform("details", lambda d: F.concat(d["loc"], F.lit(":"), d["type"])), ",")
     return errors.groupBy("resource_type", "error", listed.alias("details")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -163,7 +169,7 @@ def fhir_errors(spark, sf):
 SELECT patient_id, name || ' v2' AS name, gender, birth_date, address FROM ({_PATIENTS})
 """)
 def fhir_latest_patient(spark, sf):
-    found = fhir.ingest(_patient_json(spark, sf))["patients"]
+    found = _only(_patient_json(spark, sf), "patients")
     versions = found.withColumn("sequence", F.lit(1)).unionAll(
         found.withColumn("name", F.concat("name", F.lit(" v2"))).withColumn("sequence", F.lit(2))
     )
@@ -185,7 +191,7 @@ SELECT p.patient_id, name, gender, birth_date, address FROM p JOIN o USING (pati
 """)
 def patient_lookup(spark, sf):
     ids = table(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("patient_id"))
-    return patients.find_patients(fhir.ingest(_patient_json(spark, sf))["patients"], ids)
+    return patients.find_patients(_only(_patient_json(spark, sf), "patients"), ids)
 
 
 @query(f"""
@@ -194,7 +200,7 @@ WHERE CAST(o_custkey AS VARCHAR) NOT IN (SELECT patient_id FROM ({_PATIENTS}))
 """)
 def patient_not_found(spark, sf):
     ids = table(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("patient_id"))
-    return patients.unknown_patients(fhir.ingest(_patient_json(spark, sf))["patients"], ids).distinct()
+    return patients.unknown_patients(_only(_patient_json(spark, sf), "patients"), ids)
 
 
 @query(f"""
@@ -208,10 +214,10 @@ FROM p LEFT JOIN e USING (patient_id) LEFT JOIN o USING (patient_id) LEFT JOIN c
 """)
 def fhir_patient_view(spark, sf):
     return patients.patient_view(
-        fhir.ingest(_patient_json(spark, sf))["patients"],
-        fhir.ingest(_encounter_json(spark, sf))["encounters"],
-        fhir.ingest(_observation_json(spark, sf))["observations"],
-        fhir.ingest(_condition_json(spark, sf))["conditions"],
+        _only(_patient_json(spark, sf), "patients"),
+        _only(_encounter_json(spark, sf), "encounters"),
+        _only(_observation_json(spark, sf), "observations"),
+        _only(_condition_json(spark, sf), "conditions"),
     )
 
 
@@ -222,6 +228,6 @@ FROM orders LEFT JOIN p ON p.patient_id = CAST(o_custkey AS VARCHAR) WHERE o_ord
 """)
 def fhir_encounter_facts(spark, sf):
     facts = patients.patient_facts(
-        fhir.ingest(_patient_json(spark, sf))["patients"], fhir.ingest(_encounter_json(spark, sf))["encounters"]
+        _only(_patient_json(spark, sf), "patients"), _only(_encounter_json(spark, sf), "encounters")
     )
     return facts.select("encounter_id", "patient_id", "status", "name", "gender", "birth_date")

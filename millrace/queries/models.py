@@ -11,7 +11,7 @@ from millrace.operators.feature_store import FeatureStore
 from millrace.operators.split import stratified_split
 from millrace.plans.risk import explain_rows, run_risk
 from millrace.plans.scratch import scratch_path
-from millrace.queries.registry import query, table
+from millrace.queries.registry import query, spread_table, table
 
 
 @query("""
@@ -164,7 +164,7 @@ _LINEAR = {"l_quantity": (0.1, 25.0), "l_extendedprice": (0.0001, 50000.0), "l_d
 def _linear(spark, sf):
     """Contributions of a linear score: weight times distance from a reference point."""
     parts = [F.lit(w) * (F.col(c) - F.lit(m)) for c, (w, m) in _LINEAR.items()]
-    return table(spark, sf, "lineitem").select(
+    return spread_table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", *_LINEAR).select(
         "l_orderkey", "l_linenumber", F.lit(2).alias("class"), F.array(*parts).alias("contributions")
     )
 

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.plans.scratch import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -25,3 +27,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def spread_table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table for queries that work hard on every row."""
+    return spread(table(spark, sf, name).select(*columns))

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from millrace.plans import quantiles
 from millrace.plans.quantiles import approx_quantiles, exact_quantiles
 from millrace.plans.slices import dense_position
 
@@ -22,8 +23,10 @@ def test_exact_quantiles_match_numpy_with_a_hot_value(spark, limit):
     assert got == pytest.approx(list(np.quantile(values, P)), abs=1e-9)
 
 
-@pytest.mark.parametrize("limit", [5, 50_000])
-def test_exact_quantiles_by_group_with_a_hot_group(spark, limit):
+@pytest.mark.parametrize("limit,broadcast", [(5, 100), (50_000, 100), (50_000, 1)])
+def test_exact_quantiles_by_group_with_a_hot_group(spark, monkeypatch, limit, broadcast):
+    monkeypatch.setattr(quantiles, "BROADCAST_GROUPS", broadcast)
+    monkeypatch.setattr(quantiles, "HOT_SHARE", 3)
     groups = {"a": _hot(3000, 2), "b": _hot(60, 3), None: _hot(7, 4), "c": [1.5]}
     rows = [(g, v) for g, vs in groups.items() for v in vs] + [("a", None), ("d", None), ("a", float("nan"))]
     df = spark.createDataFrame(rows, "g string, x double").repartition(5)
