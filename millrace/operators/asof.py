@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,42 +26,67 @@ def as_of(
     """Left join of each spine row with the last feature row of its key where
     `feature_ts <= spine_ts`; of several at one time the greatest counts.
 
-    Features and distinct (key, time) points are merged and the last feature is carried forward.
-    When some key holds more rows than `hot_key_rows`, the merged rows are cut into range slices
-    that may split a key, and each slice starts from the last feature of the slices before it.
+    Spine and features are merged and the last feature is carried forward per key: one shuffle.
+    Spine rows without key or time can match nothing and skip it. When some key holds more rows
+    than `hot_key_rows`, the work goes through range slices instead.
     """
     names = list(values or [c for c in features.columns if c not in keys and c != feature_ts])
     clash = set(names) & set(spine.columns)
     if clash:
         raise ValueError(f"Feature columns already in the spine: {sorted(clash)}")
     on = [col(k) for k in keys]
-    known = features.where(col(feature_ts).isNotNull())
-    for k in keys:
-        known = known.where(col(k).isNotNull())
-    latest = known.groupBy(*on, col(feature_ts).alias("_ts")).agg(
-        F.max(F.struct(*[col(n) for n in names])).alias("_feature")
+    known = features.select(
+        *on,
+        col(feature_ts).cast(spine.schema[spine_ts].dataType).alias("_ts"),
+        F.struct(*[col(n) for n in names]).alias("_feature"),
     )
+    known = known.where(reduce(lambda a, b: a & b, [F.col("_ts").isNotNull(), *[k.isNotNull() for k in on]]))
+    sizes = known.select(*on).unionAll(spine.select(*on)).groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
+    most = sizes.agg(F.max("n")).first()[0] or 0
+    if most > hot_key_rows:
+        return _through_slices(spine, known, keys, spine_ts, names)
+
+    complete = reduce(lambda a, b: a & b, [col(spine_ts).isNotNull(), *[k.isNotNull() for k in on]])
+    rows = spine.where(complete).select(
+        *on, col(spine_ts).alias("_ts"), F.struct(*[col(c) for c in spine.columns]).alias("_row")
+    )
+    merged = known.withColumn("_side", F.lit(0)).unionByName(rows.withColumn("_side", F.lit(1)), allowMissingColumns=True)
+    so_far = Window.partitionBy(*on).orderBy("_ts", "_side", "_feature").rowsBetween(Window.unboundedPreceding, 0)
+    carried = merged.withColumn("_found", F.last("_feature", ignorenulls=True).over(so_far))
+    matched = carried.where(F.col("_side") == 1).select("_row.*", *[F.col("_found")[n].alias(n) for n in names])
+    unmatched = spine.where(~complete).select(
+        "*", *[F.lit(None).cast(features.schema[n].dataType).alias(n) for n in names]
+    )
+    return matched.unionByName(unmatched)
+
+
+def _through_slices(
+    spine: DataFrame, known: DataFrame, keys: Sequence[str], spine_ts: str, names: Sequence[str]
+) -> DataFrame:
+    """The same for keys too large for one task.
+
+    Features fold to one per (key, time) and spine rows to distinct (key, time) points. The
+    merged rows are cut into range slices that may split a key; each slice starts from the last
+    feature of the slices before it. The answers are joined back to the spine.
+    """
+    on = [col(k) for k in keys]
+    latest = known.groupBy(*on, "_ts").agg(F.max("_feature").alias("_feature"))
     points = spine.select(*on, col(spine_ts).alias("_ts")).where(F.col("_ts").isNotNull()).distinct()
     merged = latest.withColumn("_side", F.lit(0)).unionByName(
         points.withColumn("_side", F.lit(1)), allowMissingColumns=True
     )
-    most = merged.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    if most <= hot_key_rows:
-        so_far = Window.partitionBy(*on).orderBy("_ts", "_side")
-        found = merged.withColumn("_found", F.last("_feature", ignorenulls=True).over(so_far))
-    else:
-        cut = range_slices(merged, [*keys, "_ts", "_side"])
-        within = Window.partitionBy(*on, "_slice").orderBy("_ts", "_side")
-        earlier = Window.partitionBy(*on).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-        ends = cut.groupBy(*on, "_slice").agg(
-            F.max(F.when(F.col("_feature").isNotNull(), F.struct("_ts", "_feature"))).alias("_end")
-        )
-        carried = ends.select(*on, "_slice", F.last("_end", ignorenulls=True).over(earlier).alias("_carried"))
-        found = (
-            cut.withColumn("_here", F.last("_feature", ignorenulls=True).over(within))
-            .join(carried.where(F.col("_carried").isNotNull()), [*keys, "_slice"], "left")
-            .withColumn("_found", F.coalesce(F.col("_here"), F.col("_carried._feature")))
-        )
+    cut = range_slices(merged, [*keys, "_ts", "_side"])
+    within = Window.partitionBy(*on, "_slice").orderBy("_ts", "_side")
+    earlier = Window.partitionBy(*on).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    ends = cut.groupBy(*on, "_slice").agg(
+        F.max(F.when(F.col("_feature").isNotNull(), F.struct("_ts", "_feature"))).alias("_end")
+    )
+    carried = ends.select(*on, "_slice", F.last("_end", ignorenulls=True).over(earlier).alias("_carried"))
+    found = (
+        cut.withColumn("_here", F.last("_feature", ignorenulls=True).over(within))
+        .join(carried.where(F.col("_carried").isNotNull()), [*keys, "_slice"], "left")
+        .withColumn("_found", F.coalesce(F.col("_here"), F.col("_carried._feature")))
+    )
     answers = found.where((F.col("_side") == 1) & F.col("_found").isNotNull()).select(
         *on, F.col("_ts").alias(spine_ts), F.col("_found")
     )

@@ -14,22 +14,28 @@ from millrace.plans.slices import dense_position
 
 NULL_CLASS = "nan"
 RANK_LIMIT = 1_000_000
-BROADCAST_LIMIT = 200_000
+BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
 class LabelEncoder:
-    """`entries` is (column, value, code); `sizes` counts the classes of each column."""
+    """`entries` is (column, value, code); `sizes` and `text_bytes` tell how many classes each
+    column has and how long their texts are together."""
 
     columns: tuple[str, ...]
     entries: DataFrame
     sizes: Mapping[str, int]
+    text_bytes: Mapping[str, int]
     null_class: str = NULL_CLASS
 
     def classes(self, column: str) -> DataFrame:
         """(value, code) of one column, marked for broadcast only while it is small."""
         found = self.entries.where(F.col("column") == column).select("value", "code")
-        return F.broadcast(found) if self.sizes.get(column, 0) <= BROADCAST_LIMIT else found
+        small = (
+            self.sizes.get(column, 0) <= BROADCAST_ROWS and self.text_bytes.get(column, 0) <= BROADCAST_BYTES
+        )
+        return F.broadcast(found) if small else found
 
 
 def _text(name: str, null_class: str) -> Column:
@@ -51,14 +57,17 @@ def fit_encoder(
         ).alias("cell")
     ).select("cell.column", "cell.value")
     values = materialize(cells.distinct(), "classes")
-    sizes = {r["column"]: r["count"] for r in values.groupBy("column").count().collect()}
+    measured = values.groupBy("column").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("value")).alias("bytes")
+    ).collect()
+    sizes = {r["column"]: r["n"] for r in measured}
     if max(sizes.values(), default=0) <= rank_limit:
         order = Window.partitionBy("column").orderBy("value")
         entries = values.withColumn("code", F.row_number().over(order) - 1)
     else:
         entries = dense_position(values, ["value"], "code", by=["column"])
     entries = entries.select("column", "value", F.col("code").cast("int").alias("code"))
-    return LabelEncoder(tuple(names), entries, sizes, null_class)
+    return LabelEncoder(tuple(names), entries, sizes, {r["column"]: r["bytes"] for r in measured}, null_class)
 
 
 def encode(df: DataFrame, encoder: LabelEncoder, columns: Sequence[str] | None = None, unseen: str = "error") -> DataFrame:

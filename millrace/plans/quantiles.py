@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +25,7 @@ ACCURACY = 10_000
 GATHER_LIMIT = 50_000
 GRID = 512
 BROADCAST_GROUPS = 100_000
+BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 10_000
 
 
@@ -58,21 +59,21 @@ def _slack(accuracy: int) -> float:
 
 
 def _attach(
-    rows: DataFrame, state: DataFrame, by: Sequence[str], names: Sequence[str], n_groups: int, n_rows: int
+    rows: DataFrame, state: DataFrame, by: Sequence[str], names: Sequence[str], size: Row
 ) -> DataFrame:
     """Give every row the bracket of its group.
 
-    The brackets are broadcast while there are at most `BROADCAST_GROUPS` of them. Beyond that
+    The brackets are broadcast while they are few and their keys short. Beyond that
     only the groups with more than 1/`HOT_SHARE` of all rows are, which can be no more than
     `HOT_SHARE` per column; all other groups are too small to skew a shuffled join.
     """
     renamed = [f"_key_{i}" for i in range(len(by))]
     keys = state.select(*[col(b).alias(k) for b, k in zip(by, renamed)], *names)
     same = reduce(lambda a, b: a & b, [col(b).eqNullSafe(F.col(k)) for b, k in zip(by, renamed)])
-    if n_groups <= BROADCAST_GROUPS:
+    if size["groups"] <= BROADCAST_GROUPS and (size["bytes"] or 0) <= BROADCAST_BYTES:
         return rows.join(F.broadcast(keys), same).drop(*renamed)
     counts = [n for n in names if n.startswith("n_")]
-    is_hot = F.greatest(*[F.col(n) for n in counts], F.lit(0)) > n_rows / HOT_SHARE
+    is_hot = F.greatest(*[F.col(n) for n in counts], F.lit(0)) > (size["rows"] or 0) / HOT_SHARE
     hot = F.broadcast(keys.where(is_hot))
     held = rows.join(hot, same).unionByName(
         rows.join(hot.select(*renamed), same, "left_anti").join(keys.where(~is_hot), same)
@@ -129,9 +130,10 @@ def order_statistics(
             F.max(F.greatest(*[F.col(f"room_{t}") for t in every], F.lit(0))).alias("room"),
             F.count(F.lit(1)).alias("groups"),
             F.sum(F.greatest(*[F.col(f"n_{t}") for t in every], F.lit(0))).alias("rows"),
+            F.sum(F.octet_length(F.concat_ws("", *[col(b).cast("string") for b in by]))).alias("bytes"),
         ).first()
         last_pass = (size["room"] or 0) <= gather_limit
-        held = _attach(rows, state, by, kept, size["groups"], size["rows"] or 0)
+        held = _attach(rows, state, by, kept, size)
         parts = []
         for t, r in enumerate(ranks):
             x, lo, hi = F.col(slot[r.column]), F.col(f"lo_{t}"), F.col(f"hi_{t}")
