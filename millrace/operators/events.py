@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.columns import iso_utc
 from millrace.sources.topics import TOPIC_OF
 
 REQUIRED = ("event_id", "event_type", "timestamp")
@@ -19,6 +20,53 @@ def event_json(fields: Mapping[str, Column]) -> Column:
     return F.to_json(F.struct(*[e.alias(n) for n, e in fields.items()]))
 
 
+def action_fields(event_id: Column, user_id: Column, action: Column, at: Column) -> dict[str, Column]:
+    """Fields of a user action."""
+    return {
+        "event_type": F.lit("user_action"),
+        "event_id": event_id.cast("string"),
+        "user_id": user_id.cast("string"),
+        "action": action,
+        "timestamp": iso_utc(at),
+    }
+
+
+def order_fields(
+    event_id: Column,
+    order_id: Column,
+    user_id: Column,
+    amount: Column,
+    status: Column,
+    at: Column,
+    currency: str = "USD",
+) -> dict[str, Column]:
+    """Fields of an order, the amount rounded to cents."""
+    return {
+        "event_type": F.lit("order"),
+        "event_id": event_id.cast("string"),
+        "order_id": order_id.cast("string"),
+        "user_id": user_id.cast("string"),
+        "amount": F.round(amount.cast("double"), 2),
+        "currency": F.lit(currency),
+        "status": status,
+        "timestamp": iso_utc(at),
+    }
+
+
+def page_view_fields(
+    event_id: Column, user_id: Column, page: Column, duration_ms: Column, at: Column
+) -> dict[str, Column]:
+    """Fields of a page view."""
+    return {
+        "event_type": F.lit("page_view"),
+        "event_id": event_id.cast("string"),
+        "user_id": user_id.cast("string"),
+        "page": page,
+        "duration_ms": duration_ms.cast("int"),
+        "timestamp": iso_utc(at),
+    }
+
+
 def topic_for(event_type: Column) -> Column:
     """Topic of an event type, NULL for an unknown type."""
     routed = F.lit(None).cast("string")

@@ -86,6 +86,18 @@ def dq_results(spark, sf):
     return quality.evaluate(events, rules).withColumn("unexpected_percent", F.round("unexpected_percent", 6))
 
 
+@query("""
+SELECT 'value' AS "column", 'expect_column_values_to_not_be_null' AS expectation_type, count(*) FILTER (WHERE event_type = 'error') AS unexpected_count
+FROM events HAVING count(*) FILTER (WHERE event_type = 'error') > 0
+""")
+def dq_failures(spark, sf):
+    events = table(spark, sf, "events").select(
+        "event_id", F.when(F.col("event_type") != "error", F.col("value")).alias("value")
+    )
+    failed = quality.failures(quality.evaluate(events, quality.suite(["event_id", "value"])))
+    return failed.select("column", "expectation_type", "unexpected_count")
+
+
 @query("""
 SELECT 0 AS rule, 'o_orderstatus' AS "column", count(DISTINCT o_orderstatus) AS element_count,
        count(DISTINCT o_orderstatus) BETWEEN 1 AND 3 AS success FROM orders

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import iso_utc
 from millrace.operators import events as ev
 from millrace.plans.scratch import scratch_path
 from millrace.queries.registry import query, table
@@ -33,38 +32,24 @@ def _parsed(spark, raw, topic):
 
 
 def _action(source):
-    return _envelope(
-        source,
-        ev.event_json({
-            "event_id": _text("event_id"), "event_type": F.lit("user_action"), "user_id": _text("user_id"),
-            "action": F.col("event_type"), "timestamp": iso_utc(F.col("ts")),
-        }),
-        "user-actions",
-    )
+    fields = ev.action_fields(F.col("event_id"), F.col("user_id"), F.col("event_type"), F.col("ts"))
+    return _envelope(source, ev.event_json(fields), "user-actions")
 
 
 def _order(source):
-    return _envelope(
-        source,
-        ev.event_json({
-            "event_id": _text("event_id"), "event_type": F.lit("order"), "order_id": F.md5(_text("event_id")),
-            "user_id": _text("user_id"), "amount": F.col("value"), "currency": F.lit("USD"),
-            "status": F.when(F.col("event_type") == "purchase", "placed"), "timestamp": iso_utc(F.col("ts")),
-        }),
-        "orders",
+    status = F.when(F.col("event_type") == "purchase", "placed")
+    fields = ev.order_fields(
+        F.col("event_id"), F.md5(_text("event_id")), F.col("user_id"), F.col("value"), status, F.col("ts")
     )
+    return _envelope(source, ev.event_json(fields), "orders")
 
 
 def _page_view(source):
-    return _envelope(
-        source,
-        ev.event_json({
-            "event_id": _text("event_id"), "event_type": F.lit("page_view"), "user_id": _text("user_id"),
-            "page": F.concat(F.lit("/"), F.col("event_type")),
-            "duration_ms": F.get_json_object("props", "$.k").cast("int"), "timestamp": iso_utc(F.col("ts")),
-        }),
-        "page-views",
+    page = F.concat(F.lit("/"), F.col("event_type"))
+    fields = ev.page_view_fields(
+        F.col("event_id"), F.col("user_id"), page, F.get_json_object("props", "$.k"), F.col("ts")
     )
+    return _envelope(source, ev.event_json(fields), "page-views")
 
 
 _ISO = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00'"

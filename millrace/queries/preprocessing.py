@@ -200,7 +200,7 @@ def encode_through_slices(spark, sf):
     return encoding.encode(documents, encoder)
 
 
-@query("""
+_PREPROCESSED = """
 WITH e AS (SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value,
                   CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k,
                   CASE WHEN event_type = 'view' THEN NULL ELSE event_type END AS kind FROM events),
@@ -213,18 +213,32 @@ WITH e AS (SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE value
 SELECT event_id, round((value - vm) / vd, 5) AS value, round((k - km) / kd, 5) AS k,
        CAST(dense_rank() OVER (ORDER BY kind) - 1 AS INTEGER) AS kind
 FROM c, s
-""")
-def preprocess_health(spark, sf):
-    raw = table(spark, sf, "events").select(
+"""
+
+
+def _raw_health(spark, sf):
+    return table(spark, sf, "events").select(
         "event_id",
         F.when(F.col("event_type") != "error", F.col("value")).alias("value"),
         F.get_json_object("props", "$.k").cast("double").alias("k"),
         F.when(F.col("event_type") != "view", F.col("event_type")).alias("kind"),
     )
-    done = preprocess(raw, not_null=["value", "kind"], exclude=["event_id"]).dataframe
+
+
+@query(_PREPROCESSED)
+def preprocess_health(spark, sf):
+    done = preprocess(_raw_health(spark, sf), not_null=["value", "kind"], exclude=["event_id"]).dataframe
     return done.withColumns({c: F.round(c, 5) for c in ("value", "k")})
 
 
+@query(_PREPROCESSED)
+def preprocess_new_rows(spark, sf):
+    """A fitted model applied to rows as if they were new."""
+    raw = _raw_health(spark, sf)
+    applied = preprocess(raw, exclude=["event_id"]).apply(raw)
+    return applied.withColumns({c: F.round(c, 5) for c in ("value", "k")})
+
+
 def _describe_sql(name: str) -> str:
     return f"""SELECT '{name}' AS "column", count({name}) AS "count", round(avg({name}), 4) AS mean, round(stddev_samp({name}), 4) AS std,
        CAST(min({name}) AS DOUBLE) AS "min", round(quantile_cont({name}, 0.25), 6) AS p25, round(quantile_cont({name}, 0.5), 6) AS p50,

@@ -84,3 +84,9 @@ def read_file_stream(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(path)
+
+
+def first_messages(raw: DataFrame, n: int | None) -> DataFrame:
+    """At most n messages of a batch, all when n is None. A stream is bounded per trigger by
+    `max_offsets_per_trigger` or `max_files_per_trigger`."""
+    return raw if n is None else raw.limit(n)

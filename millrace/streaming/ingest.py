@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.events import check_events, dead_letters, parse_events, valid_events
+from millrace.operators.runlog import SUCCESS
 from millrace.sources.topics import schema_of, topic_names
 
 log = logging.getLogger(__name__)
@@ -143,3 +144,16 @@ def progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     """(batch_id, n_rows, duration_ms) of the batches the query still remembers."""
     rows = [(p.batchId, p.numInputRows, p.batchDuration) for p in query.recentProgress]
     return spark.createDataFrame(rows, "batch_id bigint, n_rows bigint, duration_ms bigint")
+
+
+def log_progress(spark: SparkSession, query: StreamingQuery, run_log: str) -> None:
+    """Append the batches of a query to a run log, one run per batch."""
+    runs = progress(spark, query).select(
+        F.concat_ws("-", F.lit(query.id), "batch_id").alias("run_id"),
+        F.lit(SUCCESS).alias("status"),
+        F.col("n_rows").alias("rows_extracted"),
+        F.col("n_rows").alias("rows_loaded"),
+        (F.col("duration_ms") / 1000.0).alias("duration_seconds"),
+        F.current_timestamp().alias("run_ts"),
+    )
+    runs.write.mode("append").parquet(run_log)

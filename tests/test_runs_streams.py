@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 from millrace.operators import cleaning
 from millrace.operators.events import to_messages, unroutable
 from millrace.operators.patients import current_patients
+from millrace.operators.runlog import status_counts
 from millrace.plans.clinical import start_clinical_stream, store_batch
 from millrace.plans.etl import run_etl, validate_then_run
 from millrace.plans.health import preprocess
 from millrace.sinks import tables
 from millrace.sources.files import merge_sources, read_files, read_resources
-from millrace.sources.topics import ENVELOPE, read_file_stream
+from millrace.sources.topics import ENVELOPE, first_messages, read_file_stream
 from millrace.streaming import ingest
 
 CSV = "id,event_date,value,name\n1,2024-01-01,1.5, ann \n1,2024-01-01,1.5, ann \n2,2024-01-02,,bob\n3,2024-01-03,2.5,\tcy\n4,2024-01-01,1.5,ANN\n"
@@ -55,6 +56,10 @@ def test_cleaning_options(spark):
     assert cleaning.clean(df, F.lit("2024-01-01").cast("timestamp")).columns == ["k", "s", "etl_timestamp"]
 
 
+def test_first_messages(spark):
+    assert first_messages(spark.range(5), 2).count() == 2 and first_messages(spark.range(5), None).count() == 5
+
+
 def test_sources(spark, tmp_path):
     df = spark.createDataFrame([(1, "x")], "a int, b string")
     df.write.json(str(tmp_path / "j"))
@@ -97,6 +102,9 @@ def test_topic_ingest(spark, tmp_path):
     orders = spark.read.parquet(str(tmp_path / "out" / "orders"))
     assert orders.count() == 3 and orders.where("amount = 5.5").count() == 1
     assert ingest.progress(spark, started["orders"]).agg(F.sum("n_rows")).first()[0] >= 1
+    log = str(tmp_path / "log")
+    ingest.log_progress(spark, started["orders"], log)
+    assert status_counts(spark.read.parquet(log)).first()["status"] == "success"
     united = ingest.union_topics({t: spark.read.parquet(str(tmp_path / "out" / t)).drop("topic") for t in started})
     assert united.count() == 4 and {"action", "amount"} <= set(united.columns)
 
