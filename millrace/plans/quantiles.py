@@ -21,8 +21,9 @@ from pyspark.sql import types as T
 from millrace.functions.columns import col, present
 from millrace.plans.scratch import materialize
 
-ACCURACY = 10_000
+ACCURACY = 2_500
 GATHER_LIMIT = 50_000
+SMALL_FACTOR = 5
 GRID = 512
 BROADCAST_GROUPS = 100_000
 BROADCAST_BYTES = 64 << 20
@@ -130,7 +131,7 @@ def order_statistics(
             F.max(F.greatest(*[F.col(f"room_{t}") for t in every], F.lit(0))).alias("room"),
             F.count(F.lit(1)).alias("groups"),
             F.sum(F.greatest(*[F.col(f"n_{t}") for t in every], F.lit(0))).alias("rows"),
-            F.sum(F.octet_length(F.concat_ws("", *[col(b).cast("string") for b in by]))).alias("bytes"),
+            _text_bytes(by).alias("bytes"),
         ).first()
         last_pass = (size["room"] or 0) <= gather_limit
         held = _attach(rows, state, by, kept, size)
@@ -155,18 +156,23 @@ def order_statistics(
         counted = held.groupBy(*[col(b) for b in by]).agg(*parts)
         if last_pass:
             return _read_off(counted, ranks, by)
-        state = materialize(_narrow(counted, ranks, by), "brackets")
+        state = materialize(_narrow(counted, ranks, by, accuracy), "brackets")
 
 
-def _narrow(counted: DataFrame, ranks: Sequence[Rank], by: Sequence[str]) -> DataFrame:
-    """Next brackets: the grid points one step outside the wanted ranks."""
-    out = []
+def _margin(accuracy: int) -> int:
+    """Grid steps that cover the sketch's rank error."""
+    return math.ceil(GRID / accuracy) + 1
+
+
+def _narrow(counted: DataFrame, ranks: Sequence[Rank], by: Sequence[str], accuracy: int) -> DataFrame:
+    """Next brackets: the grid points just outside the wanted ranks."""
+    margin, out = _margin(accuracy), []
     for t, r in enumerate(ranks):
         n, le, inside = F.col(f"n_{t}"), F.col(f"le_{t}"), F.col(f"in_{t}")
         lo, hi, grid = F.col(f"lo_{t}"), F.col(f"hi_{t}"), F.col(f"got_{t}")
         first, last = r.first(n) - le, r.last(n) - le
-        down = (F.floor((first - 1) / inside * GRID) - 1).cast("int")
-        up = (F.ceil(last / inside * GRID) + 1).cast("int")
+        down = (F.floor((first - 1) / inside * GRID) - margin).cast("int")
+        up = (F.ceil(last / inside * GRID) + margin).cast("int")
         settled = (last <= 0) | (first > inside) | (inside == 0)
         new_lo = F.when(settled | (down < 0), lo).otherwise(F.get(grid, down))
         new_hi = F.when(settled | (up > GRID), hi).otherwise(F.get(grid, up))
@@ -176,7 +182,7 @@ def _narrow(counted: DataFrame, ranks: Sequence[Rank], by: Sequence[str]) -> Dat
             F.when(settled & (first > inside), hi).otherwise(new_lo).alias(f"lo_{t}"),
             F.when(settled & (last <= 0), lo).otherwise(new_hi).alias(f"hi_{t}"),
             F.when(settled, F.lit(0))
-            .otherwise(F.ceil(inside * ((up - down) / F.lit(float(GRID)) + 2.0 / ACCURACY)) + 2)
+            .otherwise(F.ceil(inside * ((up - down) / F.lit(float(GRID)) + 2.0 / accuracy)) + 2)
             .cast("long")
             .alias(f"room_{t}"),
         ]
@@ -265,8 +271,8 @@ def _refine(rows: DataFrame, wide: Sequence[_Bracket], accuracy: int) -> None:
         ]
     ).first()
     for i, b in enumerate(wide):
-        down = math.floor((b.first - b.below - 1) / b.inside * GRID) - 1
-        up = math.ceil((b.last - b.below) / b.inside * GRID) + 1
+        down = math.floor((b.first - b.below - 1) / b.inside * GRID) - _margin(accuracy)
+        up = math.ceil((b.last - b.below) / b.inside * GRID) + _margin(accuracy)
         # A rank that already equals an end stays reachable: that end is kept.
         if b.first > b.below and down >= 0:
             b.lo = grids[f"g{i}"][down]
@@ -307,7 +313,7 @@ def _table_quantiles(
         *[F.percentile_approx(slot[c], points, accuracy).alias(f"q{slot[c]}") for c in columns],
     ).first()
 
-    small = [c for c in columns if sketch[f"n{slot[c]}"] <= 5 * gather_limit]
+    small = [c for c in columns if sketch[f"n{slot[c]}"] <= SMALL_FACTOR * gather_limit]
     searches: dict[str, list[_Bracket]] = {}
     for c in columns:
         if c in small:
@@ -355,6 +361,46 @@ def exact_quantiles(
     """Linear-interpolation quantiles: `by`, then one array of doubles per column."""
     if not by:
         return _table_quantiles(df, columns, probabilities, accuracy, gather_limit)
+    keys = [col(b) for b in by]
+    bound = SMALL_FACTOR * gather_limit
+    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > bound)
+    size = large.agg(F.count(F.lit(1)).alias("groups"), _text_bytes(by).alias("bytes")).first()
+    if not size["groups"]:
+        return _small_groups(df, columns, probabilities, by)
+    if size["groups"] > BROADCAST_GROUPS or (size["bytes"] or 0) > BROADCAST_BYTES:
+        return _large_groups(df, columns, probabilities, by, accuracy, gather_limit)
+    known = materialize(large.select(*[k.alias(f"_key_{i}") for i, k in enumerate(keys)]), "groups")
+    same = reduce(lambda a, b: a & b, [k.eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)])
+    few = df.join(F.broadcast(known), same, "left_anti")
+    many = df.join(F.broadcast(known), same, "left_semi")
+    return _small_groups(few, columns, probabilities, by).unionByName(
+        _large_groups(many, columns, probabilities, by, accuracy, gather_limit)
+    )
+
+
+def _text_bytes(by: Sequence[str]) -> Column:
+    return F.sum(F.octet_length(F.concat_ws("", *[col(b).cast("string") for b in by])))
+
+
+def _small_groups(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: Sequence[str]
+) -> DataFrame:
+    """The built-in exact percentile, for groups whose values may be kept in one task."""
+    rows, slot = _numbers(df, columns, by)
+    keys = [col(b) for b in by]
+    exact = [F.percentile(slot[c], list(probabilities)).alias(c) for c in columns]
+    empty = F.lit([None] * len(probabilities)).cast("array<double>")
+    return rows.groupBy(*keys).agg(*exact).select(*keys, *[F.coalesce(col(c), empty).alias(c) for c in columns])
+
+
+def _large_groups(
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    by: Sequence[str],
+    accuracy: int,
+    gather_limit: int,
+) -> DataFrame:
     ranks = [quantile_rank(c, p) for c in columns for p in probabilities]
     found = order_statistics(df, ranks, by, accuracy, gather_limit)
 
@@ -378,7 +424,7 @@ def approx_quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     by: Sequence[str] = (),
-    accuracy: int = ACCURACY,
+    accuracy: int = 10_000,
 ) -> DataFrame:
     """Single-pass sketch with rank error 1/accuracy, in the same shape."""
     return df.groupBy(*[col(b) for b in by]).agg(

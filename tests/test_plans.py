@@ -15,15 +15,15 @@ def _hot(n, seed):
     return [7.0 if rnd.random() < 0.4 else round(rnd.gauss(0, 50), 2) for _ in range(n)]
 
 
-@pytest.mark.parametrize("limit", [5, 40, 50_000])
+@pytest.mark.parametrize("limit", [5, 40, 700, 50_000])
 def test_exact_quantiles_match_numpy_with_a_hot_value(spark, limit):
-    values = _hot(4000, 1)
+    values = _hot(4000, 1)  # more than five times the smaller limits
     df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
     got = exact_quantiles(df, ["x"], P, accuracy=200, gather_limit=limit).first()["x"]
     assert got == pytest.approx(list(np.quantile(values, P)), abs=1e-9)
 
 
-@pytest.mark.parametrize("limit,broadcast", [(5, 100), (50_000, 100), (50_000, 1)])
+@pytest.mark.parametrize("limit,broadcast", [(5, 100), (500, 100), (500, 0), (5, 1), (50_000, 100)])
 def test_exact_quantiles_by_group_with_a_hot_group(spark, monkeypatch, limit, broadcast):
     monkeypatch.setattr(quantiles, "BROADCAST_GROUPS", broadcast)
     monkeypatch.setattr(quantiles, "HOT_SHARE", 3)
