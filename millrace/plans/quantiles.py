@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -385,12 +385,45 @@ def _text_bytes(by: Sequence[str]) -> Column:
 def _small_groups(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: Sequence[str]
 ) -> DataFrame:
-    """The built-in exact percentile, for groups whose values may be kept in one task."""
+    """Sort inside each group and take the wanted positions, for groups that one task may hold.
+
+    One shuffle serves all columns; the aggregation that follows reuses its partitioning.
+    """
     rows, slot = _numbers(df, columns, by)
     keys = [col(b) for b in by]
-    exact = [F.percentile(slot[c], list(probabilities)).alias(c) for c in columns]
-    empty = F.lit([None] * len(probabilities)).cast("array<double>")
-    return rows.groupBy(*keys).agg(*exact).select(*keys, *[F.coalesce(col(c), empty).alias(c) for c in columns])
+    whole = Window.partitionBy(*keys)
+    placed = rows.select(
+        "*",
+        *[F.count(x).over(whole).alias(f"n{x}") for x in slot.values()],
+        *[F.row_number().over(whole.orderBy(F.asc_nulls_last(x))).alias(f"at{x}") for x in slot.values()],
+    )
+    picks = []
+    for c in columns:
+        x, n, at = slot[c], F.col(f"n{slot[c]}"), F.col(f"at{slot[c]}")
+        picks.append(F.max(n).alias(f"n{x}"))
+        for j, p in enumerate(probabilities):
+            r = quantile_rank(c, p)
+            picks.append(F.max(F.when(at == r.first(n), F.col(x))).alias(f"low{x}_{j}"))
+            picks.append(F.max(F.when(at == r.last(n), F.col(x))).alias(f"high{x}_{j}"))
+    picked = placed.groupBy(*keys).agg(*picks)
+    return picked.select(
+        *keys,
+        *[
+            F.array(
+                *[
+                    _between(F.col(f"low{slot[c]}_{j}"), F.col(f"high{slot[c]}_{j}"), F.col(f"n{slot[c]}"), p)
+                    for j, p in enumerate(probabilities)
+                ]
+            ).alias(c)
+            for c in columns
+        ],
+    )
+
+
+def _between(low: Column, high: Column, n: Column, p: float) -> Column:
+    """Linear interpolation between the values at two neighbouring ranks."""
+    place = F.lit(p) * (n - 1)
+    return F.when(low == high, low).otherwise(low + (high - low) * (place - F.floor(place)))
 
 
 def _large_groups(
@@ -405,9 +438,7 @@ def _large_groups(
     found = order_statistics(df, ranks, by, accuracy, gather_limit)
 
     def value(t: int) -> Column:
-        low, high, n = F.col(f"first_{t}"), F.col(f"last_{t}"), F.col(f"n_{t}")
-        place = F.lit(ranks[t].share) * (n - 1)
-        return F.when(low == high, low).otherwise(low + (high - low) * (place - F.floor(place)))
+        return _between(F.col(f"first_{t}"), F.col(f"last_{t}"), F.col(f"n_{t}"), ranks[t].share)
 
     width = len(probabilities)
     return found.select(
