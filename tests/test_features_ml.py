@@ -5,7 +5,6 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from millrace.operators import attributions, boosting, metrics
