@@ -8,11 +8,13 @@ unsure as those on new rows. Models are fitted on a bounded sample of the labell
 from __future__ import annotations
 
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
 from millrace.llm.common import WORDS, carried, map_batches, restored, texts, with_columns
 
@@ -21,13 +23,27 @@ SAMPLE = 4000
 FOLDS = 3
 #: A word is a feature if it stands in so many rows of the sample.
 LEAST_ROWS = 4
-PENALTY = 6e-4
-ROUNDS = 150
-THRESHOLD = 0.5
-
-
-def _words(text: bytes) -> set[bytes]:
-    return set(text.translate(WORDS).split())
+PENALTY = 2e-3
+REFIT = 2e-4
+ROUNDS = 80
+#: Word beginnings of so many characters count too, by whether they occur at least so many times.
+PREFIXES = (5, 7)
+STEPS = (1, 2, 4)
+THRESHOLD = 0.4
+
+
+def _features(text: bytes) -> set[str]:
+    """Words, and how often word beginnings occur, as one name for each step reached."""
+    words = Counter(text.translate(WORDS).decode(errors="replace").split())
+    out = set(words)
+    for k in PREFIXES:
+        heads: Counter[str] = Counter()
+        for w, n in words.items():
+            if len(w) >= k:
+                heads[w[:k]] += n
+        for head, n in heads.items():
+            out.update(f"{s} {head}" for s in STEPS if n >= s)
+    return out
 
 
 class Rows:
@@ -58,11 +74,26 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def fit(rows: Rows, y: np.ndarray) -> np.ndarray:
+    """Weights of the words, the extra columns and the intercept: selected under PENALTY, then fitted again under REFIT,
+    so that the words which matter are not shrunk."""
+    first = _lasso(rows, y, PENALTY)
+    chosen = np.flatnonzero(first[: rows.width])
+    place = np.full(rows.width, -1)
+    place[chosen] = np.arange(len(chosen))
+    use = place[rows.index] >= 0
+    few = Rows(place[rows.index[use]], np.bincount(rows.row[use], minlength=len(rows.lengths)).astype(np.int64), len(chosen), rows.extra)
+    again = _lasso(few, y, REFIT)
+    out = np.concatenate([np.zeros(rows.width), again[len(chosen) :]])
+    out[chosen] = again[: len(chosen)]
+    return out
+
+
+def _lasso(rows: Rows, y: np.ndarray, strength: float) -> np.ndarray:
     """Logistic regression with an L1 penalty by accelerated proximal gradient; last weight is the intercept."""
     n = rows.width + rows.extra.shape[1] + 1
     w = look = np.zeros(n)
     speed, size = 1.0, 8.0
-    penalty = np.full(n, PENALTY)
+    penalty = np.full(n, strength)
     penalty[-1] = 0
 
     def loss(w: np.ndarray) -> float:
@@ -107,12 +138,12 @@ def _chain(rows: Rows, labels: np.ndarray, fold: np.ndarray) -> list[np.ndarray]
 class Chain:
     """Fitted models of the categories: word weights that are not 0, weights of earlier probabilities, intercept."""
 
-    def __init__(self, categories: list[str], models: list[tuple[dict[bytes, float], list[float], float]]):
+    def __init__(self, categories: list[str], models: list[tuple[dict[str, float], list[float], float]]):
         self.categories, self.models = categories, models
         self.known = [frozenset(words) for words, _, _ in models]
 
     def probabilities(self, text: bytes) -> list[float]:
-        words, out = _words(text), []
+        words, out = _features(text), []
         for known, (weights, before, intercept) in zip(self.known, self.models):
             z = intercept + sum(weights[x] for x in sorted(words & known)) + sum(w * p for w, p in zip(before, out))
             out.append(float(_sigmoid(np.float64(z))))
@@ -130,29 +161,31 @@ def train(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = ("qu
     rows = carried(docs, id, text).join(F.broadcast(marks), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("h").alias("h"), *[F.first(f"y{k}").alias(f"y{k}") for k in range(len(categories))])
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words = pa.array([sorted(_words(t)) for t in texts(batch.column("text"))], pa.list_(pa.binary()))
+        words = pa.array([sorted(_features(t)) for t in texts(batch.column("text"))], pa.list_(pa.string()))
         return with_columns(batch.drop_columns(["text"]), words=words)
 
-    schema = StructType([*(f for f in rows.schema if f.name != "text"), StructField("words", ArrayType(BinaryType()))])
+    schema = StructType([*(f for f in rows.schema if f.name != "text"), StructField("words", ArrayType(StringType()))])
     table = map_batches(rows, step, schema).toArrow().combine_chunks()
     order = np.lexsort((table["doc_id"].to_numpy(), table["h"].to_numpy())) if len(table) else np.zeros(0, np.int64)
     table = table.take(pa.array(order))
-    words = table["words"].combine_chunks()
+    y = np.column_stack([np.nan_to_num(table[f"y{k}"].to_numpy().astype(float), nan=-1) for k in range(len(categories))])
+    return build(table["words"].combine_chunks(), np.minimum(y, 1).astype(np.int64), list(categories))
+
+
+def build(words: pa.ListArray, labels: np.ndarray, categories: list[str]) -> Chain:
+    """The chain from each row's distinct words and its labels, one column a category, -1 unknown."""
     flat = words.flatten().dictionary_encode()
     names = flat.dictionary.to_pylist()
     index = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     lengths = np.diff(words.offsets.to_numpy()).astype(np.int64)
-    often = np.bincount(index, minlength=len(names)) >= LEAST_ROWS
-    place = np.cumsum(often) - 1
     row = np.repeat(np.arange(len(lengths)), lengths)
-    lengths = np.bincount(row[often[index]], minlength=len(lengths)).astype(np.int64)
-    index = place[index[often[index]]]
+    often = np.bincount(index, minlength=len(names)) >= LEAST_ROWS
+    use = often[index]
+    index, lengths = (np.cumsum(often) - 1)[index[use]], np.bincount(row[use], minlength=len(lengths)).astype(np.int64)
     names = [w for w, keep in zip(names, often) if keep]
-    y = np.column_stack([np.nan_to_num(table[f"y{k}"].to_numpy().astype(float), nan=-1) for k in range(len(categories))]).astype(np.int64)
-    rows_ = Rows(index, lengths, len(names), np.zeros((len(lengths), 0)))
-    models = _chain(rows_, np.minimum(y, 1), np.arange(len(lengths)) % FOLDS)
     n = len(names)
-    return Chain(list(categories), [({names[i]: float(w[i]) for i in np.flatnonzero(w[:n])}, w[n:-1].tolist(), float(w[-1])) for w in models])
+    models = _chain(Rows(index, lengths, n, np.zeros((len(lengths), 0))), labels, np.arange(len(lengths)) % FOLDS)
+    return Chain(categories, [({names[i]: float(w[i]) for i in np.flatnonzero(w[:n])}, w[n:-1].tolist(), float(w[-1])) for w in models])
 
 
 def _scored(rows: DataFrame, chain: Chain) -> DataFrame:
