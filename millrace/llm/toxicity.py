@@ -100,7 +100,8 @@ def _lasso(rows: Rows, y: np.ndarray, strength: float) -> np.ndarray:
         z = rows.margins(w)
         return float(np.mean(np.logaddexp(0, z) - y * z))
 
-    if not len(y):
+    if not len(y):  # nothing is known of the category
+        w[-1] = -40
         return w
     for _ in range(ROUNDS):
         here, slope = loss(look), rows.gradient(_sigmoid(rows.margins(look)) - y)
@@ -154,7 +155,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = ("qu
     """Fit the chain on at most `sample` labelled rows, those of the least hash.
 
     Rows without id, and labels that are null, count as unlabelled; of several labels of an id the largest
-    counts, and of several texts the first in byte order. With no labels at all every probability is 0.5.
+    counts, and of several texts the first in byte order. A category without any label has probability 0.
     """
     marks = labels.where(F.col(id).isNotNull()).groupBy(F.col(id).cast("long").alias("doc_id")).agg(*[F.max(F.col(f"`{c}`").cast("int")).alias(f"y{k}") for k, c in enumerate(categories)])
     marks = marks.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(sample)  # bounded by `sample`
@@ -200,7 +201,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = (
     """(doc_id, p_<category> ..., rejected) for every document; rejected goes by the last category.
 
     Whole texts are scored; a null text is empty and gets the intercepts' probabilities. Repeated rows give
-    the same answer each. Empty tables give no rows, and without labels nothing is rejected.
+    the same answer each. Empty tables give no rows; without labels nothing is rejected.
     """
     chain = train(docs, labels, categories, id, text, sample)
     scored = _scored(carried(docs, id, text), chain)
