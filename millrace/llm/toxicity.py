@@ -22,10 +22,10 @@ from millrace.llm.common import WORDS, carried, map_batches, restored, texts, wi
 SAMPLE = 4000
 FOLDS = 3
 #: A word is a feature if it stands in so many rows of the sample.
-LEAST_ROWS = 4
+LEAST_ROWS = 8
 PENALTY = 2e-3
 REFIT = 2e-4
-ROUNDS = 80
+ROUNDS = 60
 #: Word beginnings of so many characters count too, by whether they occur at least so many times.
 PREFIXES = (5, 7)
 STEPS = (1, 2, 4)
