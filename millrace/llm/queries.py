@@ -11,6 +11,7 @@ from millrace.llm.chat import format_chats, learned_text, read_back
 from millrace.llm.decontaminate import contamination
 from millrace.llm.exact import exact_groups
 from millrace.llm.mixing import mix_sources
+from millrace.llm.ngram import language_scores
 from millrace.llm.simhash import simhash_groups
 from millrace.llm.toxicity import toxicity
 
@@ -127,3 +128,8 @@ def op9_chat(spark: SparkSession, sf: str) -> DataFrame:
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars",
     )
+
+
+@query()
+def op10_language_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return language_scores(table(spark, sf, "documents"))
