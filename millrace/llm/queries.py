@@ -13,6 +13,7 @@ from millrace.llm.exact import exact_groups
 from millrace.llm.mixing import mix_sources
 from millrace.llm.ngram import language_scores
 from millrace.llm.simhash import simhash_groups
+from millrace.llm.substrings import repeat_digests
 from millrace.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +134,8 @@ def op9_chat(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op10_language_scores(spark: SparkSession, sf: str) -> DataFrame:
     return language_scores(table(spark, sf, "documents"))
+
+
+@query()
+def op5_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return repeat_digests(table(spark, sf, "documents"))
