@@ -14,6 +14,7 @@ from millrace.llm.mixing import mix_sources
 from millrace.llm.ngram import language_scores
 from millrace.llm.simhash import simhash_groups
 from millrace.llm.substrings import repeat_digests
+from millrace.llm.tokens import token_counts
 from millrace.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +140,8 @@ def op10_language_scores(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op5_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return repeat_digests(table(spark, sf, "documents"))
+
+
+@query()
+def op1_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return token_counts(table(spark, sf, "documents"))
