@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.llm.chat import format_chats, learned_text, read_back
 from millrace.llm.decontaminate import contamination
 from millrace.llm.exact import exact_groups
+from millrace.llm.html import extract_text
 from millrace.llm.mixing import mix_sources
 from millrace.llm.ngram import language_scores
 from millrace.llm.simhash import simhash_groups
@@ -145,3 +146,8 @@ def op5_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op1_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts(table(spark, sf, "documents"))
+
+
+@query()
+def op4_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    return extract_text(table(spark, sf, "pages"))
