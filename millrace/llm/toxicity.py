@@ -29,7 +29,7 @@ ROUNDS = 60
 #: Word beginnings of so many characters count too, by whether they occur at least so many times.
 PREFIXES = (5, 7)
 STEPS = (1, 2, 4)
-THRESHOLD = 0.4
+THRESHOLD = 0.25
 
 
 def _features(text: bytes) -> set[str]:
