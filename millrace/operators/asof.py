@@ -24,7 +24,8 @@ def as_of(
     hot_key_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Left join of each spine row with the last feature row of its key where
-    `feature_ts <= spine_ts`; of several at one time the greatest counts.
+    `feature_ts <= spine_ts`; of several at one time the greatest counts. Times of different
+    types are compared in the wider one: a date is its midnight.
 
     Spine and features are merged and the last feature is carried forward per key: one shuffle.
     Spine rows without key or time can match nothing and skip it. When some key holds more rows
@@ -35,9 +36,11 @@ def as_of(
     if clash:
         raise ValueError(f"Feature columns already in the spine: {sorted(clash)}")
     on = [col(k) for k in keys]
+    both = [F.lit(None).cast(d.schema[t].dataType) for d, t in ((spine, spine_ts), (features, feature_ts))]
+    wide = spine.select(F.coalesce(*both).alias("t")).schema["t"].dataType
     known = features.select(
         *on,
-        col(feature_ts).cast(spine.schema[spine_ts].dataType).alias("_ts"),
+        col(feature_ts).cast(wide).alias("_ts"),
         F.struct(*[col(n) for n in names]).alias("_feature"),
     )
     known = known.where(reduce(lambda a, b: a & b, [F.col("_ts").isNotNull(), *[k.isNotNull() for k in on]]))
@@ -48,7 +51,7 @@ def as_of(
 
     complete = reduce(lambda a, b: a & b, [col(spine_ts).isNotNull(), *[k.isNotNull() for k in on]])
     rows = spine.where(complete).select(
-        *on, col(spine_ts).alias("_ts"), F.struct(*[col(c) for c in spine.columns]).alias("_row")
+        *on, col(spine_ts).cast(wide).alias("_ts"), F.struct(*[col(c) for c in spine.columns]).alias("_row")
     )
     merged = known.withColumn("_side", F.lit(0)).unionByName(rows.withColumn("_side", F.lit(1)), allowMissingColumns=True)
     so_far = Window.partitionBy(*on).orderBy("_ts", "_side", "_feature").rowsBetween(Window.unboundedPreceding, 0)
@@ -71,7 +74,8 @@ def _through_slices(
     """
     on = [col(k) for k in keys]
     latest = known.groupBy(*on, "_ts").agg(F.max("_feature").alias("_feature"))
-    points = spine.select(*on, col(spine_ts).alias("_ts")).where(F.col("_ts").isNotNull()).distinct()
+    wide = known.schema["_ts"].dataType
+    points = spine.select(*on, col(spine_ts).cast(wide).alias("_ts")).where(F.col("_ts").isNotNull()).distinct()
     merged = latest.withColumn("_side", F.lit(0)).unionByName(
         points.withColumn("_side", F.lit(1)), allowMissingColumns=True
     )
@@ -88,8 +92,8 @@ def _through_slices(
         .withColumn("_found", F.coalesce(F.col("_here"), F.col("_carried._feature")))
     )
     answers = found.where((F.col("_side") == 1) & F.col("_found").isNotNull()).select(
-        *on, F.col("_ts").alias(spine_ts), F.col("_found")
+        *on, "_ts", "_found"
     )
-    return spine.join(answers, [*keys, spine_ts], "left").select(
+    return spine.withColumn("_ts", col(spine_ts).cast(wide)).join(answers, [*keys, "_ts"], "left").select(
         *[col(c) for c in spine.columns], *[F.col("_found")[n].alias(n) for n in names]
     )

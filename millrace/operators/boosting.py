@@ -50,11 +50,17 @@ def fit_risk_model(
     subsample: float = 0.8,
     seed: int = 42,
     parallelism: int = 3,
+    class_limit: int = CLASS_LIMIT,
 ) -> RiskModel:
-    found = train.select(col(target).cast("int").alias("c")).distinct().limit(CLASS_LIMIT + 1).collect()
+    """One booster per class (one in all for two classes). Rows without a target are left out.
+
+    More than `class_limit` classes are refused: each trains a model of its own.
+    """
+    train = train.where(col(target).isNotNull())
+    found = train.select(col(target).cast("int").alias("c")).distinct().limit(class_limit + 1).collect()
     classes = tuple(sorted(r["c"] for r in found if r["c"] is not None))
-    if not 2 <= len(classes) <= CLASS_LIMIT:
-        raise ValueError(f"The target needs between 2 and {CLASS_LIMIT} classes, found {len(found)}")
+    if not 2 <= len(classes) <= class_limit:
+        raise ValueError(f"The target needs between 2 and {class_limit} classes, found {len(found)}")
     rows = _assembled(train, features).select("_features", col(target).cast("int").alias("_class"))
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     booster = GBTClassifier(

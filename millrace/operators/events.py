@@ -164,11 +164,16 @@ def valid_events(checked: DataFrame) -> DataFrame:
 
 
 def mark_processed(value: Column) -> Column:
-    """The event's own JSON with the flag added; unknown fields stay."""
+    """The event's own JSON with the flag added; unknown fields stay, an old flag is replaced."""
     body = F.regexp_replace(F.rtrim(value), r"\}\s*$", "")
     flag = F.lit('"processed": true}')
-    return F.when(F.size(F.json_object_keys(value)) == 0, F.concat(body, flag)).otherwise(
-        F.concat(body, F.lit(", "), flag)
+    keys = F.json_object_keys(value)
+    others = F.map_filter(F.from_json(value, "map<string, variant>"), lambda k, _: k != "processed")
+    renewed = F.to_json(F.map_concat(others, F.create_map(F.lit("processed"), F.parse_json(F.lit("true")))))
+    return (
+        F.when(F.array_contains(keys, "processed"), renewed)
+        .when(F.size(keys) == 0, F.concat(body, flag))
+        .otherwise(F.concat(body, F.lit(", "), flag))
     )
 
 

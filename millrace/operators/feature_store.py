@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
@@ -18,8 +19,9 @@ CATALOG_SCHEMA = (
 
 
 class FeatureStore:
-    """Layout `<root>/<name>/v<version>/{features.parquet,metadata.json}` on any Hadoop file
-    system. The metadata is written last and so marks a complete version."""
+    """Layout `<root>/<name>/v<version>/{<write id>/features.parquet,metadata.json}` on any Hadoop
+    file system. The metadata is written last, names the data and alone makes a version: what has
+    none is not listed. The data of a replaced version stays for those who read it; `vacuum` deletes it."""
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
@@ -29,7 +31,7 @@ class FeatureStore:
         return f"{self.root}/{name}/v{int(version)}"
 
     def _features(self, name: str, version: int) -> str:
-        return f"{self._folder(name, version)}/features.parquet"
+        return f"{self._folder(name, version)}/{self.get_metadata(name, version)['data']}"
 
     def _metadata(self, name: str, version: int) -> str:
         return f"{self._folder(name, version)}/metadata.json"
@@ -55,10 +57,8 @@ class FeatureStore:
 
         Rows are counted while they are written; the statistics read the written columns.
         """
-        path, metadata = self._features(name, version), self._metadata(name, version)
-        if self._exists(metadata):
-            fs, where = self._hadoop(metadata)
-            fs.delete(where, True)
+        data = f"{uuid.uuid4().hex}/features.parquet"
+        path, metadata = f"{self._folder(name, version)}/{data}", self._metadata(name, version)
         seen = Observation()
         counted = df.observe(seen, F.count(F.lit(1)).alias("n"))
         writer = counted.write.mode("overwrite")
@@ -66,6 +66,7 @@ class FeatureStore:
         document = {
             "name": name,
             "version": int(version),
+            "data": data,
             "description": description,
             "tags": list(tags or []),
             "created_at": datetime.now(timezone.utc).isoformat(),
@@ -75,38 +76,53 @@ class FeatureStore:
             "dtypes": dict(df.dtypes),
             "statistics": statistics(self.spark.read.schema(df.schema).parquet(path)),
         }
-        self.spark.createDataFrame([(json.dumps(document),)], "value string").coalesce(1).write.mode(
-            "overwrite"
-        ).text(metadata)
+        staged = f"{path.rsplit('/', 1)[0]}/metadata.json"
+        self.spark.createDataFrame([(json.dumps(document),)], "value string").coalesce(1).write.text(staged)
+        fs, final = self._hadoop(metadata)
+        fs.delete(final, True)
+        if not fs.rename(self._hadoop(staged)[1], final):
+            raise OSError(f"{staged} could not become {metadata}")
         return path
 
+    def vacuum(self, name: str, version: int) -> None:
+        """Delete data of a version that its metadata does not name: replaced or never finished."""
+        kept = {self.get_metadata(name, version)["data"].split("/")[0], "metadata.json"}
+        fs, where = self._hadoop(self._folder(name, version))
+        for found in fs.listStatus(where):
+            if found.getPath().getName() not in kept:
+                fs.delete(found.getPath(), True)
+
     def load(self, name: str, version: int | None = None) -> DataFrame:
         """One version, the latest by default."""
         wanted = self.latest_version(name) if version is None else version
-        if wanted is None or not self._exists(self._features(name, wanted)):
-            raise FileNotFoundError(f"Feature set '{name}' v{wanted} not found under {self.root}")
+        if wanted is None:
+            raise FileNotFoundError(f"No complete version of {name} in {self.root}")
         return self.spark.read.parquet(self._features(name, wanted))
 
     def get_metadata(self, name: str, version: int) -> dict:
         path = self._metadata(name, version)
         if not self._exists(path):
-            raise FileNotFoundError(f"Metadata for '{name}' v{version} not found at {path}")
+            raise FileNotFoundError(f"No complete version {version} of {name} in {self.root}")
         return json.loads(self.spark.read.text(path).first()["value"])
 
     def list_versions(self, name: str) -> list[int]:
-        """Ascending version numbers; other entries of the folder are passed over."""
+        """Ascending numbers of complete versions; other entries of the folder are passed over."""
         folder = f"{self.root}/{name}"
         if not self._exists(folder):
             return []
         fs, where = self._hadoop(folder)
         found = [s.getPath().getName() for s in fs.listStatus(where) if s.isDirectory()]
-        return sorted(int(n[1:]) for n in found if n[:1] == "v" and n[1:].isdecimal())
+        numbers = sorted(int(n[1:]) for n in found if n[:1] == "v" and n[1:].isdecimal())
+        return [n for n in numbers if self._exists(self._metadata(name, n))]
 
     def latest_version(self, name: str) -> int | None:
         return max(self.list_versions(name), default=None)
 
     def catalog(self) -> DataFrame:
-        """Metadata of every version of every feature set."""
+        """Metadata of every version of every feature set; no rows in an empty store."""
+        fs, pattern = self._hadoop(f"{self.root}/*/v*/metadata.json")
+        if not fs.globStatus(pattern):
+            return self.spark.createDataFrame([], CATALOG_SCHEMA)
         return self.spark.read.schema(CATALOG_SCHEMA).json(f"{self.root}/*/v*/metadata.json")
 
     def find(self, tag: str | None = None, text: str | None = None) -> DataFrame:

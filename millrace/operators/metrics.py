@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.columns import col
 
@@ -20,12 +21,22 @@ def _ratio(top: Column, bottom: Column) -> Column:
     return F.when(bottom > 0, top / bottom).otherwise(F.lit(0.0))
 
 
+def _class_name(df: DataFrame, column: str) -> Column:
+    """A class as text, the same for 1 and 1.0."""
+    value = col(column)
+    whole = value.cast("long")
+    if isinstance(df.schema[column].dataType, T.FractionalType):
+        return F.when(value == whole, whole.cast("string")).otherwise(value.cast("string"))
+    return value.cast("string")
+
+
 def classification_report(
     df: DataFrame, label: str, prediction: str, names: Mapping[int, str] | None = None
 ) -> DataFrame:
     """(class, precision, recall, f1_score, support): one row per class, then accuracy (in
     f1_score), macro avg and weighted avg. A ratio with nothing below the line is 0."""
-    cells = confusion_counts(df, label, prediction)
+    named = df.select(*[_class_name(df, c).alias(n) for c, n in ((label, "label"), (prediction, "prediction"))])
+    cells = confusion_counts(named, "label", "prediction")
     sides = cells.select(
         F.inline(
             F.array(
@@ -78,7 +89,7 @@ def _auc(scored: DataFrame) -> DataFrame:
     Rows shrink to one per distinct score, are cut into range slices, ranked inside each slice,
     and the slices are put together from their totals; no task sees all scores.
     """
-    steps = scored.groupBy("class", "score").agg(
+    steps = scored.where("score IS NOT NULL").groupBy("class", "score").agg(
         F.count_if(F.col("pos")).alias("p"), F.count_if(~F.col("pos")).alias("n")
     )
     cut = steps.repartitionByRange("class", "score").withColumn("_slice", F.spark_partition_id())
@@ -102,7 +113,9 @@ def _auc(scored: DataFrame) -> DataFrame:
 
 
 def roc_auc(df: DataFrame, label: str, score: str, positive=1) -> DataFrame:
-    """(n_pos, n_neg, auc): exact rank form, half a win per tie; NULL if a side is empty."""
+    """(n_pos, n_neg, auc): exact rank form, half a win per tie; NULL if a side is empty.
+
+    Rows without a score are left out; n_pos and n_neg count the others."""
     scored = df.select(
         F.lit(0).alias("class"),
         col(score).cast("double").alias("score"),

@@ -29,6 +29,8 @@ def stratified_split(
     if not 0 < test_size < 1:
         raise ValueError("test_size must lie between 0 and 1")
     parts = [F.coalesce(col(k).cast("string"), F.lit("")) for k in key]
+    if len(parts) > 1:  # lengths first, so that different keys never join to one text
+        parts = [F.concat(F.when(col(k).isNull(), "-").otherwise(F.length(p).cast("string")), F.lit(":"), p) for k, p in zip(key, parts)]
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
     # 52 bits: as many as a double holds exactly.
     drawn = df.withColumn("_draw", F.conv(F.substring(digest, 1, 13), 16, 10).cast("double"))

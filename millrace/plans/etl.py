@@ -44,9 +44,12 @@ def run_etl(
         else:
             write_table(cleaned, target_path, write_mode, target_format, partition_by)
         result = {"run_id": name, "rows_extracted": seen.get["extracted"], "rows_loaded": seen.get["loaded"]}
-    except Exception:
+    except Exception as error:
         if run_log:
-            append_run(spark, run_log, name, False, duration_seconds=time.monotonic() - started)
+            try:
+                append_run(spark, run_log, name, False, duration_seconds=time.monotonic() - started)
+            except Exception as lost:  # must not hide why the run failed
+                error.add_note(f"The run log could not be written either: {lost}")
         raise
     result["duration_seconds"] = time.monotonic() - started
     if run_log:
@@ -64,5 +67,7 @@ def validate_then_run(
     **options,
 ) -> dict:
     """Check the raw source and run only when every expectation holds."""
-    checked = validate(read_files(spark, source_path, file_format, schema), not_null)
+    raw = read_files(spark, source_path, file_format, schema)
+    schema = schema or raw.schema  # inferred once, for both steps
+    checked = validate(raw, not_null)
     return {"validation": checked, **run_etl(spark, source_path, target_path, file_format, schema=schema, **options)}

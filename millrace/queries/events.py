@@ -164,7 +164,7 @@ def event_routing(spark, sf):
     return ev.to_messages(_typed(spark, sf)).select("key", "topic")
 
 
-@query(f"SELECT {_TOPIC} AS topic, count(*) AS n_messages FROM events WHERE event_type <> 'error' GROUP BY 1")
+@query(f"SELECT coalesce({_TOPIC}, 'dead-letter') AS topic, count(*) AS n_messages FROM events GROUP BY 1")
 def route_counts(spark, sf):
     target = scratch_path(spark, "topics")
     publish_files(ev.to_messages(_typed(spark, sf)), target)

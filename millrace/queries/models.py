@@ -38,6 +38,52 @@ def asof_split_keys(spark, sf):
     return as_of(table(spark, sf, "events").select("event_id", "user_id", "ts"), orders, ["user_id"], "ts", "odate", hot_key_rows=1)
 
 
+_DATES = """
+WITH s AS (SELECT event_id, user_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day FROM events),
+f AS (SELECT user_id, ts AS seen, max(value) AS last_value FROM events GROUP BY 1, 2)
+SELECT s.event_id, s.user_id, f.last_value FROM s ASOF LEFT JOIN f ON s.user_id = f.user_id AND s.day >= f.seen
+"""
+
+
+def _by_date(spark, sf, **options):
+    """A spine of dates against features with a time of day."""
+    days = table(spark, sf, "events").selectExpr("event_id", "user_id", "CAST(ts AS DATE) AS day")
+    seen = table(spark, sf, "events").selectExpr("user_id", "ts AS seen", "value AS last_value")
+    return as_of(days, seen, ["user_id"], "day", "seen", **options).drop("day")
+
+
+@query(_DATES)
+def asof_date_spine(spark, sf):
+    return _by_date(spark, sf)
+
+
+@query(_DATES)
+def asof_date_spine_split(spark, sf):
+    return _by_date(spark, sf, hot_key_rows=1)
+
+
+@query("SELECT c_custkey, c_acctbal, c_acctbal * 2 AS doubled FROM customer")
+def feature_resave(spark, sf):
+    """A version saved again from itself with one column more."""
+    store = FeatureStore(spark, scratch_path(spark, "features"))
+    store.save("customers", table(spark, sf, "customer").select("c_custkey", "c_acctbal"), 1)
+    store.save("customers", store.load("customers", 1).withColumn("doubled", F.col("c_acctbal") * 2), 1)
+    store.vacuum("customers", 1)
+    return store.load("customers")
+
+
+@query("SELECT count(*) AS n_rows, 1 AS latest, 0 AS n_empty FROM customer")
+def feature_incomplete(spark, sf):
+    """A version without metadata is not served, and an empty store has an empty catalog."""
+    store = FeatureStore(spark, scratch_path(spark, "features"))
+    empty = store.catalog().count()
+    rows = table(spark, sf, "customer").select("c_custkey")
+    store.save("customers", rows, 1)
+    rows.limit(1).write.parquet(f"{store.root}/customers/v2/broken/features.parquet")
+    latest = store.latest_version("customers")
+    return store.load("customers").agg(F.count(F.lit(1)).alias("n_rows"), F.lit(latest).alias("latest"), F.lit(empty).cast("int").alias("n_empty"))
+
+
 def _saved(spark, sf):
     store = FeatureStore(spark, scratch_path(spark, "features"))
     customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
@@ -114,7 +160,7 @@ def confusion_counts(spark, sf):
     return metrics.confusion_counts(_guessed(spark, sf), "label", "prediction")
 
 
-@query(f"""
+_REPORT = f"""
 WITH g AS ({_GUESSED}),
   k AS (SELECT c, CASE c WHEN 0 THEN 'Low' WHEN 1 THEN 'Medium' ELSE 'High' END AS class,
           count(*) FILTER (WHERE label = c AND prediction = c) AS hit, count(*) FILTER (WHERE prediction = c) AS pred,
@@ -126,12 +172,36 @@ UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(hit) / sum(support), 6), CAST
 UNION ALL SELECT 'macro avg', round(avg(p), 6), round(avg(q), 6), round(avg(f), 6), CAST(sum(support) AS BIGINT) FROM r
 UNION ALL SELECT 'weighted avg', round(sum(p * support) / sum(support), 6), round(sum(q * support) / sum(support), 6),
   round(sum(f * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM r
-""")
+"""
+
+
+@query(_REPORT)
 def classification_report(spark, sf):
     report = metrics.classification_report(_guessed(spark, sf), "label", "prediction", boosting.RISK_LABELS)
     return report.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1_score")})
 
 
+@query(_REPORT)
+def classification_report_double(spark, sf):
+    """The target as a csv or a cap leaves it: a double."""
+    rows = _guessed(spark, sf).withColumn("label", F.col("label").cast("double"))
+    report = metrics.classification_report(rows, "label", "prediction", boosting.RISK_LABELS)
+    return report.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1_score")})
+
+
+@query("""
+WITH s AS (SELECT l_returnflag = 'A' AS pos, l_extendedprice AS score FROM lineitem WHERE l_linenumber <> 3),
+     r AS (SELECT pos, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2 AS rk FROM s),
+     a AS (SELECT count(*) FILTER (WHERE pos) AS p, count(*) FILTER (WHERE NOT pos) AS n, sum(rk) FILTER (WHERE pos) AS w FROM r)
+SELECT p AS n_pos, n AS n_neg, round((w - p * (p + 1) / 2) / p / n, 6) AS auc FROM a
+""")
+def roc_auc_with_missing(spark, sf):
+    """Every third line of an order has no score."""
+    score = F.when(F.col("l_linenumber") != 3, F.col("l_extendedprice")).alias("score")
+    rows = table(spark, sf, "lineitem").select("l_returnflag", score)
+    return metrics.roc_auc(rows, "l_returnflag", "score", "A").withColumn("auc", F.round("auc", 6))
+
+
 @query("""
 WITH s AS (SELECT l_returnflag = 'A' AS pos, l_extendedprice AS score FROM lineitem),
      r AS (SELECT pos, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2 AS rk FROM s),

@@ -39,17 +39,25 @@ def publish_options(brokers: str) -> dict[str, str]:
     }
 
 
-def publish(messages: DataFrame, brokers: str) -> None:
-    """Send (key, value, topic) rows to Kafka; needs the Kafka connector."""
-    routed = messages.where("topic IS NOT NULL").selectExpr(
+UNROUTED = "dead-letter"
+
+
+def publish(messages: DataFrame, brokers: str, unrouted: str = UNROUTED) -> None:
+    """Send (key, value, topic) rows to Kafka; needs the Kafka connector.
+
+    Rows without a topic, events of unknown type, go to the topic `unrouted` in the same pass.
+    """
+    routed = messages.fillna(unrouted, ["topic"]).selectExpr(
         "CAST(key AS BINARY) AS key", "CAST(value AS BINARY) AS value", "topic"
     )
     routed.write.format("kafka").options(**publish_options(brokers)).save()
 
 
-def publish_files(messages: DataFrame, path: str, fmt: str = "parquet", mode: str = "append") -> None:
+def publish_files(
+    messages: DataFrame, path: str, fmt: str = "parquet", mode: str = "append", unrouted: str = UNROUTED
+) -> None:
     """The same rows as files, one folder per topic."""
-    write_table(messages.where("topic IS NOT NULL"), path, mode, fmt, ["topic"])
+    write_table(messages.fillna(unrouted, ["topic"]), path, mode, fmt, ["topic"])
 
 
 def warehouse_url(server: str, database: str, port: int = 1433) -> str:

@@ -183,3 +183,9 @@ def test_patient_view_and_mask(spark):
     assert patients.patient_facts(out["patients"], out["encounters"]).first()["name"] == "John Doe"
     masked = patients.mask(out["patients"], hashed=["patient_id"], shortened=["name"], dropped=["address"])
     assert masked.columns == ["patient_id", "name", "gender", "birth_date"] and masked.first()["name"] == "J***"
+
+
+def test_flag_is_replaced_not_repeated(spark):
+    df = spark.createDataFrame([('{"event_id":"e7","processed":false,"n":1.50,"list":[1,"x"]}',), ('{"event_id":"e8"}',)], "value string")
+    got = [json.loads(r[0]) for r in df.select(events.mark_processed(F.col("value"))).collect()]
+    assert got == [{"event_id": "e7", "n": 1.5, "list": [1, "x"], "processed": True}, {"event_id": "e8", "processed": True}]

@@ -169,3 +169,31 @@ def test_features_to_model(spark, risk_table, tmp_path):
     run = features_to_warehouse(holes, store, "risk", 1, ["id"], "risk_level", trees=3, depth=2, rate=0.3)
     assert store.get_metadata("risk", 1)["num_rows"] == 600
     assert run.metrics["roc_auc_ovr"].first()[0] > 0.7
+
+
+def test_store_saves_a_version_from_itself(spark, tmp_path):
+    store = FeatureStore(spark, str(tmp_path / "s"))
+    assert store.catalog().count() == 0 and store.find(tag="x").count() == 0
+    store.save("n", spark.range(3).toDF("id"), 1, tags=["x"])
+    store.save("n", store.load("n", 1).withColumn("b", F.col("id") + 1), 1)
+    assert store.load("n").columns == ["id", "b"] and store.find(tag="x").count() == 0
+    store.vacuum("n", 1)
+    assert store.load("n").count() == 3
+
+
+def test_store_serves_no_unfinished_version(spark, tmp_path):
+    store = FeatureStore(spark, str(tmp_path / "s"))
+    store.save("n", spark.range(2).toDF("id"), 1)
+    spark.range(5).write.parquet(str(tmp_path / "s/n/v2/halfway/features.parquet"))
+    assert store.list_versions("n") == [1] and store.load("n").count() == 2
+    with pytest.raises(FileNotFoundError):
+        store.load("n", 2)
+
+
+def test_split_keys_with_bars_differ(spark):
+    rows = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), (None, ""), ("", None)], "x string, y string").withColumn("k", F.lit(1))
+    for seed in range(12):  # equal hashes would always fall on one side
+        sides = {(r.x, r.y): r.split for r in stratified_split(rows, "k", ["x", "y"], 0.5, seed).collect()}
+        if sides["a|b", "c"] != sides["a", "b|c"]:
+            return
+    raise AssertionError("keys are mixed up")

@@ -141,10 +141,10 @@ def test_forward_publishes_by_topic(spark, tmp_path):
 
     def send(batch, batch_id):
         sent = to_messages(batch)
-        tables.publish_files(sent, out)
+        tables.publish_files(sent, out, unrouted="odd")
         tables.write_dead_letters(unroutable(sent), bad)
     ingest.forward(read_file_stream(spark, src, events.schema), send, str(tmp_path / "c"), available_now=True).awaitTermination()
-    assert sorted(r["topic"] for r in spark.read.parquet(out).collect()) == ["orders", "page-views"]
+    assert sorted(r["topic"] for r in spark.read.parquet(out).collect()) == ["odd", "orders", "page-views"]
     assert spark.read.parquet(bad).count() == 1
 
 
