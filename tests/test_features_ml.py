@@ -16,7 +16,7 @@ from millrace.plans.risk import features_to_warehouse, run_risk
 
 @pytest.fixture
 def small(spark):
-    return spark.createDataFrame([(1, 30, 0.1), (2, 45, 0.5), (3, 60, 0.9)], "patient_id int, age int, risk_score double")
+    return spark.createDataFrame([(11, 28, 0.2), (12, 41, 0.4), (13, 66, 0.7)], "patient_id int, age int, risk_score double")
 
 
 def test_feature_store(spark, small, tmp_path):

@@ -7,7 +7,7 @@ from millrace.operators.fitted import Fitted
 @pytest.fixture
 def health(spark):
     return spark.createDataFrame(
-        [(25.0, 22.0, "A", "M"), (45.0, 30.5, "B", "F"), (None, 27.1, None, "M"), (60.0, None, "A", "F"), (35.0, 24.3, "C", "M")],
+        [(22.0, 20.9, "K", "x"), (47.0, 33.1, "L", "y"), (None, 26.4, None, "x"), (64.0, None, "K", "y"), (33.0, 25.0, "N", "x")],
         "age double, bmi double, diagnosis string, gender string",
     )
 
@@ -20,7 +20,7 @@ def test_impute_median_and_mode(health):
     rows = impute.impute_missing(health).collect()
     assert len(rows) == 5
     assert rows[2]["age"] == 40.0 and rows[3]["bmi"] == pytest.approx(25.7)
-    assert rows[2]["diagnosis"] == "A"
+    assert rows[2]["diagnosis"] == "K"
 
 
 def test_impute_leaves_full_table_alone(spark):
