@@ -17,6 +17,7 @@ from millrace.functions.columns import col, decode, feature_columns
 from millrace.operators.attributions import Leaf, read_leaves
 from millrace.operators.metrics import classification_report, roc_auc, roc_auc_macro
 from millrace.operators.split import stratified_split
+from millrace.plans.scratch import materialize
 
 # Names of the risk levels.
 RISK_LABELS = {0: "Low", 1: "Medium", 2: "High"}
@@ -136,10 +137,11 @@ def train_risk_model(
 ) -> tuple[RiskModel, DataFrame, dict[str, DataFrame]]:
     """Split, fit, and score the test rows; returns model, scored test rows and metrics.
 
-    `key` names the columns that identify a row for the split; by default all of them.
+    `key` names the columns that identify a row for the split; by default all of them. Split and
+    scores are stored once; report, areas and attributions read them.
     """
     names = feature_columns(df, target, features)
-    split = stratified_split(df, target, list(key or df.columns), test_size, seed)
+    split = materialize(stratified_split(df, target, list(key or df.columns), test_size, seed), "split")
     model = fit_risk_model(split.where(F.col("split") == "train"), target, names, seed=seed, **options)
-    scored = predict(split.where(F.col("split") == "test").drop("split"), model)
+    scored = materialize(predict(split.where(F.col("split") == "test").drop("split"), model), "scored")
     return model, scored, evaluate(scored, target, model)

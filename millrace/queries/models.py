@@ -296,6 +296,34 @@ def risk_model_metrics(spark, sf):
     return found["classification_report"]
 
 
+_TESTED = """SELECT tier, c_custkey FROM (
+  SELECT *, row_number() OVER (PARTITION BY tier ORDER BY md5('42|' || c_custkey)) AS place, round(0.2 * count(*) OVER (PARTITION BY tier)) AS n_test
+  FROM (SELECT c_custkey, CASE WHEN c_acctbal < 2000 THEN 0 WHEN c_acctbal < 6000 THEN 1 ELSE 2 END AS tier FROM customer))
+WHERE place <= n_test"""
+
+
+@query(f"SELECT tier, count(*) AS n_test, count(*) AS n_sum_one, count(*) AS n_likeliest FROM ({_TESTED}) GROUP BY 1")
+def risk_model_invariants(spark, sf):
+    """Test rows of each class: their share, probabilities that sum to 1, the likeliest class predicted."""
+    _, scored, _ = boosting.train_risk_model(_patients(spark, sf), key=["c_custkey"], features=_FEATURES, **_SMALL_TREES)
+    chances = [F.col(f"probability_{c}") for c in range(3)]
+    return scored.groupBy(F.col("risk_level").alias("tier")).agg(
+        F.count(F.lit(1)).alias("n_test"),
+        F.count_if(F.abs(sum(chances[1:], chances[0]) - 1) < 1e-9).alias("n_sum_one"),
+        F.count_if(F.get(F.array(*chances), F.col("prediction")) == F.greatest(*chances)).alias("n_likeliest"),
+    )
+
+
+@query(f"SELECT CAST(c AS INTEGER) AS class, count(*) AS n_rows, count(*) AS n_additive FROM ({_TESTED}), (VALUES (0), (1), (2)) AS v(c) GROUP BY 1")
+def risk_attribution_invariants(spark, sf):
+    """Base value and contributions of a row add up to its margin, for every class."""
+    run = run_risk(_patients(spark, sf), ["c_custkey"], features=_FEATURES, **_SMALL_TREES)
+    whole = F.col("base_value") + F.aggregate("contributions", F.lit(0.0), lambda a, x: a + x)
+    margins = F.array(*[F.col(f"margin_{c}") for c in range(3)])
+    both = run.attributed.join(run.scored, "c_custkey")
+    return both.groupBy("class").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.abs(whole - F.get(margins, F.col("class"))) < 1e-9).alias("n_additive"))
+
+
 _FEATURES = ["nation", "segment", "n_orders", "spent", "largest"]
 
 
