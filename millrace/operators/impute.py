@@ -80,8 +80,13 @@ def fit_imputer(
     by: Sequence[str] = (),
     exclude: Sequence[str] = (),
     accuracy: int | None = None,
+    for_new_rows: bool = False,
 ) -> Imputer:
-    """Find fill values for the columns that miss some; `accuracy` selects the median sketch."""
+    """Find fill values for the columns that miss some; `accuracy` selects the median sketch.
+
+    With `for_new_rows` every column gets one, so that holes which only later rows have are filled too;
+    whole-number columns with a fractional fill then turn to double even where they are complete.
+    """
     if numeric_strategy not in NUMERIC:
         raise ValueError(f"Unknown numeric strategy: {numeric_strategy}")
     if categorical_strategy not in CATEGORICAL:
@@ -91,8 +96,9 @@ def fit_imputer(
     texts = list(categorical or string_columns(df, skip))
     counted = null_counts(df, [*numbers, *texts]).collect() if numbers or texts else []
     n_missing = {r["column"]: r["n_missing"] for r in counted if r["n_missing"]}
-    numbers = [c for c in numbers if c in n_missing]
-    texts = [c for c in texts if c in n_missing]
+    if not for_new_rows:
+        numbers = [c for c in numbers if c in n_missing]
+        texts = [c for c in texts if c in n_missing]
     keys = tuple(by)
 
     number_model = Fitted("impute", ("fill",), tuple(numbers), keys)

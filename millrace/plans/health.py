@@ -59,11 +59,13 @@ def preprocess(
     method: str = "standard",
     exclude: Sequence[str] = (),
     accuracy: int | None = None,
+    for_new_rows: bool = False,
 ) -> Preprocessed:
     """Every fit is a small aggregation, every transform a projection, so the four steps run as
     one scan when the result is used. Columns that are not named are found by type; `exclude`
-    keeps ids and targets out of all of them."""
-    imputer = impute.fit_imputer(df, exclude=exclude, accuracy=accuracy)
+    keeps ids and targets out of all of them. Set `for_new_rows` when the result will `apply` to rows
+    with holes in columns that are complete here."""
+    imputer = impute.fit_imputer(df, exclude=exclude, accuracy=accuracy, for_new_rows=for_new_rows)
     filled = impute.impute(df, imputer)
     fences = outliers.fit_fences(filled, outlier_columns or numeric_columns(filled, exclude), accuracy=accuracy)
     capped = outliers.cap(filled, fences)

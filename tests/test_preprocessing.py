@@ -2,6 +2,7 @@ import pytest
 
 from millrace.operators import encoding, impute, outliers, profile, quality, runlog, scaling
 from millrace.operators.fitted import Fitted
+from millrace.plans.health import preprocess
 
 
 @pytest.fixture
@@ -161,3 +162,13 @@ def test_run_log(spark, tmp_path):
     bars = {r["le"]: r["count"] for r in runlog.duration_histogram(log).collect()}
     assert bars == {"30": 1, "60": 2, "120": 2, "300": 2, "600": 2, "1800": 2, "3600": 2, "+Inf": 2}
     assert runlog.last_run(log).first()[0] is not None
+
+
+def test_fit_for_new_rows_fills_columns_that_were_complete(spark):
+    known = spark.createDataFrame([(1.0, "p"), (2.0, "q"), (6.0, "q")], "a double, t string")
+    later = spark.createDataFrame([(None, None), (5.0, "p")], "a double, t string")
+    fitted = impute.fit_imputer(known, for_new_rows=True)
+    assert [tuple(r) for r in impute.impute(later, fitted).collect()] == [(2.0, "q"), (5.0, "p")]
+    assert impute.impute(known, fitted).collect() == known.collect()
+    out = preprocess(known, for_new_rows=True).apply(later).collect()
+    assert len(out) == 2 and all(v is not None for r in out for v in r)
