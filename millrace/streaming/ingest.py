@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.events import check_events, dead_letters, parse_events, valid_events
-from millrace.operators.runlog import SUCCESS
+from millrace.operators.runlog import SCHEMA, SUCCESS
 from millrace.sources.topics import schema_of, topic_names
 
 log = logging.getLogger(__name__)
@@ -147,7 +147,11 @@ def progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
 
 
 def log_progress(spark: SparkSession, query: StreamingQuery, run_log: str) -> None:
-    """Append the batches of a query to a run log, one run per batch."""
+    """Append the batches of a query that the run log lacks, one run per batch.
+
+    A query remembers `spark.sql.streaming.numRecentProgressUpdates` batches (100 by default): call
+    this more often than that, or raise the setting. A gap since the last call is logged as a warning.
+    """
     runs = progress(spark, query).select(
         F.concat_ws("-", F.lit(query.id), "batch_id").alias("run_id"),
         F.lit(SUCCESS).alias("status"),
@@ -156,4 +160,12 @@ def log_progress(spark: SparkSession, query: StreamingQuery, run_log: str) -> No
         (F.col("duration_ms") / 1000.0).alias("duration_seconds"),
         F.current_timestamp().alias("run_ts"),
     )
+    where = spark._jvm.org.apache.hadoop.fs.Path(run_log)
+    if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        logged = spark.read.schema(SCHEMA).parquet(run_log).where(F.col("run_id").startswith(f"{query.id}-"))
+        last = logged.agg(F.max(F.substring_index("run_id", "-", -1).cast("long"))).first()[0]
+        oldest = min((p.batchId for p in query.recentProgress), default=None)
+        if last is not None and oldest is not None and oldest > last + 1:
+            log.warning("Batches %d to %d of %s are not in the run log", last + 1, oldest - 1, query.id)
+        runs = runs.join(logged.select("run_id"), "run_id", "left_anti")
     runs.write.mode("append").parquet(run_log)

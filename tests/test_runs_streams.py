@@ -104,6 +104,9 @@ def test_topic_ingest(spark, tmp_path):
     assert ingest.progress(spark, started["orders"]).agg(F.sum("n_rows")).first()[0] >= 1
     log = str(tmp_path / "log")
     ingest.log_progress(spark, started["orders"], log)
+    once = spark.read.parquet(log).count()
+    ingest.log_progress(spark, started["orders"], log)
+    assert spark.read.parquet(log).count() == once
     assert status_counts(spark.read.parquet(log)).first()["status"] == "success"
     united = ingest.union_topics({t: spark.read.parquet(str(tmp_path / "out" / t)).drop("topic") for t in started})
     assert united.count() == 4 and {"action", "amount"} <= set(united.columns)
