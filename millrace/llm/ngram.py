@@ -7,11 +7,12 @@ memory-map the arrays and look up the distinct words and bigrams of a batch. No
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +23,8 @@ from millrace.plans.scratch import scratch_path
 
 #: Tokens that a task counts before it hands its counts on.
 HELD_TOKENS = 4_000_000
+#: Bytes of counts that a merging task holds before it sums them.
+MERGED_BYTES = 32 << 20
 START, END = np.uint64(0x5F6E3C1D2B4A7988), np.uint64(0x1B873593CC9E2D51)  # hashes of the marks around a text
 _LOW = np.uint64((1 << 48) - 1)
 
@@ -106,36 +109,63 @@ def _counted(shards: int):
     return run
 
 
-def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
-    """Rows of one shard after another; the rows come sorted by shard."""
-    now, rows = None, []
+Counts = tuple[tuple[np.ndarray, ...], list[np.ndarray]]
+
+
+def _by_shard(batches: Iterator[pa.RecordBatch], unpack: Callable[[list[tuple]], Counts]) -> Iterator[tuple[int, Counts]]:
+    """Summed counts of one shard after another; the rows come sorted by shard.
+
+    Rows are summed whenever `MERGED_BYTES` of them are held, or as much as the sums so far take, so a task holds a
+    shard's distinct keys and not what every counting task says about a frequent word.
+    """
+    now, rows, held, limit, sums = None, [], 0, MERGED_BYTES, None
+
+    def merged() -> Counts:
+        keys, values = unpack(rows)
+        if sums is not None:
+            keys = tuple(np.concatenate(x) for x in zip(sums[0], keys))
+            values = [np.concatenate(x) for x in zip(sums[1], values)]
+        return _sums(keys, values)
+
     for batch in batches:
         for shard, *arrays in zip(*(batch.column(n).to_pylist() for n in ("shard", "a", "b", "c", "d"))):
             if shard != now and rows:
-                yield now, rows
-                rows = []
+                yield now, merged()
+                rows, held, limit, sums = [], 0, MERGED_BYTES, None
             now = shard
+            if held >= limit:
+                sums = merged()
+                rows, held, limit = [], 0, max(MERGED_BYTES, sum(x.nbytes for x in (*sums[0], *sums[1])))
             rows.append(arrays)
+            held += sum(map(len, arrays))
     if rows:
-        yield now, rows
+        yield now, merged()
 
 
-def _sums(keys: tuple[np.ndarray, ...], values: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+def _bigram_rows(rows: list[tuple]) -> Counts:
+    first = np.concatenate([np.repeat(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint32)) for a, b, _, _ in rows])
+    second = np.concatenate([np.frombuffer(c, np.uint64) for _, _, c, _ in rows])
+    return (second, first), [np.concatenate([np.frombuffer(d, np.uint32) for *_, d in rows]).astype(np.int64)]
+
+
+def _word_rows(rows: list[tuple]) -> Counts:
+    word, uses, contexts = (np.concatenate([np.frombuffer(r[k], t) for r in rows]) for k, t in enumerate((np.uint64, np.int64, np.int64)))
+    return (word,), [uses, contexts]
+
+
+def _sums(keys: tuple[np.ndarray, ...], values: list[np.ndarray]) -> Counts:
     """Distinct keys (last is primary) and sums of the values."""
     order = np.lexsort(keys)
-    keys = [k[order] for k in keys]
+    keys = tuple(k[order] for k in keys)
     new = np.flatnonzero(np.r_[True, np.logical_or.reduce([k[1:] != k[:-1] for k in keys])])
-    return [k[new] for k in keys], [np.add.reduceat(v[order].astype(np.int64), new) for v in values]
+    return tuple(k[new] for k in keys), [np.add.reduceat(v[order].astype(np.int64), new) for v in values]
 
 
 def _merged(folder: str, shards: int):
     """Write a shard's bigrams and contexts; hand on each follower's count and number of contexts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, rows in _by_shard(batches):
-            first = np.concatenate([np.repeat(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint32)) for a, b, _, _ in rows])
-            second = np.concatenate([np.frombuffer(c, np.uint64) for _, _, c, _ in rows])
-            (second, first), (count,) = _sums((second, first), [np.concatenate([np.frombuffer(d, np.uint32) for *_, d in rows])])
+        for shard, ((second, first), (count,)) in _by_shard(batches, _bigram_rows):
             starts = np.flatnonzero(np.r_[True, first[1:] != first[:-1]])
             several = [np.add.reduceat((count == 1).astype(np.int64), starts), np.add.reduceat((count == 2).astype(np.int64), starts), np.add.reduceat((count > 2).astype(np.int64), starts)]
             order = np.argsort(first[starts])
@@ -151,7 +181,7 @@ def _merged(folder: str, shards: int):
             out = [_packed(-1, np.array([(count == k).sum() for k in (1, 2, 3, 4)], np.int64), *[np.zeros(0)] * 3)]
             slot = _slot(word, shards)
             order = np.argsort(slot, kind="stable")
-            word, uses, contexts = word[order], uses[order].astype(np.uint32), contexts[order].astype(np.uint32)
+            word, uses, contexts = word[order], uses[order], contexts[order]
             edges = np.searchsorted(slot[order], np.arange(shards + 1, dtype=np.uint64)).tolist()
             out += [_packed(s, word[i:j], uses[i:j], contexts[i:j], np.zeros(0)) for s, (i, j) in enumerate(zip(edges, edges[1:])) if i < j]
             yield _batch(out)
@@ -163,16 +193,20 @@ def _words(folder: str):
     """Write a shard's word counts; hand on totals."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, rows in _by_shard(batches):
-            if shard < 0:
-                yield _batch([(shard, *r) for r in rows])
-                continue
-            a, b, c = (np.concatenate([np.frombuffer(r[k], t) for r in rows]) for k, t in enumerate((np.uint64, np.uint32, np.uint32)))
-            (word,), (uses, contexts) = _sums((a,), [b, c])
+        totals: list[pa.RecordBatch] = []
+
+        def words() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                plain = pc.less(batch.column("shard"), 0)
+                totals.append(batch.filter(plain))
+                yield batch.filter(pc.invert(plain))
+
+        for shard, ((word,), (uses, contexts)) in _by_shard(words(), _word_rows):
             put(f"{folder}/words-{shard}", word)
             put(f"{folder}/uses-{shard}", np.column_stack([uses, contexts]))
-            totals = np.array([len(word), uses.sum(), contexts.sum(), *((contexts == k).sum() for k in (1, 2, 3, 4))], np.int64)
-            yield _batch([_packed(shard, totals, *[np.zeros(0)] * 3)])
+            sums = np.array([len(word), uses.sum(), contexts.sum(), *((contexts == k).sum() for k in (1, 2, 3, 4))], np.int64)
+            yield _batch([_packed(shard, sums, *[np.zeros(0)] * 3)])
+        yield from totals
 
     return run
 

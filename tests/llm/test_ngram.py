@@ -6,8 +6,10 @@ import zlib
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 
+from millrace.llm import ngram
 from millrace.llm.ngram import discounts, language_scores
 from millrace.llm.queries import QUERIES
 
@@ -69,3 +71,13 @@ def test_odd_rows(spark):
     assert language_scores(df.limit(0)).count() == 0
     only = [(i, "a b") for i in range(40) if zlib.crc32(str(i).encode()) % 5 == 1]
     same(language_scores(spark.createDataFrame(only, "doc_id long, text string")), only)
+
+
+def test_a_shard_is_summed_as_its_rows_come(spark, monkeypatch):
+    rows = [(0, 7, 3, 2), (0, 7, 3, 5_000_000_000), (0, 9, 3, 1), (2, 1, 1, 1)]
+    packed = [ngram._packed(s, np.array([w], np.uint64), np.array([n], np.int64), np.array([k], np.int64), np.zeros(0)) for s, w, k, n in rows]
+    want = [(0, [7, 9], [5_000_000_002, 1], [6, 3]), (2, [1], [1], [1])]
+    for held in (1, 1 << 20):
+        monkeypatch.setattr(ngram, "MERGED_BYTES", held)
+        got = [(s, w.tolist(), n.tolist(), k.tolist()) for s, ((w,), (n, k)) in ngram._by_shard(iter([ngram._batch(packed[:1]), ngram._batch(packed[1:])]), ngram._word_rows)]
+        assert got == want
