@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import col, string_columns
 from millrace.plans.scratch import materialize
 from millrace.plans.slices import dense_position
+from millrace.sources.files import read_document, write_document
 
 NULL_CLASS = "nan"
 RANK_LIMIT = 1_000_000
@@ -37,6 +38,18 @@ class LabelEncoder:
         )
         return F.broadcast(found) if small else found
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Keep the dictionary in a new folder; `entries` itself may lie in a scratch folder that expires."""
+        self.entries.write.parquet(f"{path}/entries")
+        document = {"columns": self.columns, "sizes": dict(self.sizes), "text_bytes": dict(self.text_bytes)}
+        write_document(spark, f"{path}/model", {**document, "null_class": self.null_class})
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "LabelEncoder":
+        found = read_document(spark, f"{path}/model")
+        entries = spark.read.parquet(f"{path}/entries")
+        return LabelEncoder(tuple(found["columns"]), entries, found["sizes"], found["text_bytes"], found["null_class"])
+
 
 def _text(name: str, null_class: str) -> Column:
     return F.coalesce(col(name).cast("string"), F.lit(null_class))

@@ -299,15 +299,19 @@ NORMALISERS: dict[str, Callable[[Column], dict[str, Column]]] = {
 }
 
 
-def _staged(df: DataFrame, column: str, envelope: bool) -> DataFrame:
+def _staged(df: DataFrame, column: str, envelope: bool, only: Sequence[str] | None = None) -> DataFrame:
     """Source columns, `outcome`, and what validation found out about each resource.
 
+    With `only`, rows of other resource types go right after the parse, and of the rest only what these types
+    ask for is looked at.
+
     The outcome comes out of a generator, which a filter cannot be moved past: a filter on it
     compares a finished column, and only rows that pass it are normalised.
     """
     parsed = F.try_parse_json(F.col(column).cast("string"))
     v, kind = F.col("_resource"), F.col("resource_type")
-    every = {f: k for fields in FIELDS.values() for f, k in fields.items()}
+    names = [n for n in FIELDS if only is None or n in only]
+    every = {f: k for n in names for f, k in FIELDS[n].items()}
     moments = [(_Moment(f), k.rstrip("?")) for f, k in every.items() if k.startswith("date")]
 
     rows = df.withColumn("_resource", _at(parsed, "$.resource") if envelope else parsed)
@@ -320,7 +324,14 @@ def _staged(df: DataFrame, column: str, envelope: bool) -> DataFrame:
             "resource_type": _text(member["resourceType"], "$"),
             "_object": member.isNotNull(),
             "_named": F.coalesce(F.schema_of_variant(member["resourceType"]) == "STRING", F.lit(False)),
-            "_kind_coding": _kind(member["code"], "$.coding"),
+        }
+    )
+    known = F.coalesce(kind.isin(*names), F.lit(False)) & F.col("_named")
+    if only is not None:
+        rows = rows.withColumn("_wanted", F.explode(F.array(known))).where("_wanted").drop("_wanted")
+    rows = rows.withColumns(
+        {
+            **({"_kind_coding": _kind(member["code"], "$.coding")} if "code" in every else {}),
             **{f"_kind_{f}": F.schema_of_variant(member[f]) for f in every},
             **{f"_text_{m.name}": _text(member[m.name], "$") for m, _ in moments},
         }
@@ -335,12 +346,12 @@ def _staged(df: DataFrame, column: str, envelope: bool) -> DataFrame:
     )
     rows = rows.withColumns({f"_fault_{f}": _fault(v, f, k) for f, k in every.items()})
     invalid, broken = F.lit(False), F.lit(False)
-    for name, breaks in _breaks(v).items():
+    for name in names:
+        breaks = _breaks(v)[name]
         faults = [F.col(f"_fault_{f}") for f in FIELDS[name]]
         invalid = F.when(kind == name, F.coalesce(*faults).isNotNull()).otherwise(invalid)
         broken = F.when(kind == name, breaks).otherwise(broken)
     rows = rows.withColumns({"_invalid": invalid, "_broken": broken})
-    known = F.coalesce(kind.isin(*FIELDS), F.lit(False)) & F.col("_named")
     error = (
         F.when(~F.col("_object"), "Resource is not a JSON object")
         .when(~known, F.concat(F.lit("Unsupported resourceType: "), F.coalesce(kind, F.lit("None"))))
@@ -400,12 +411,18 @@ def errors_of(classified: DataFrame, column: str = "value", keep: tuple[str, ...
 def ingest(
     df: DataFrame, column: str = "value", envelope: bool = False, only: Sequence[str] | None = None
 ) -> dict[str, DataFrame]:
-    """Four normalised tables and the error table, or those named in `only`."""
-    staged = _staged(df, column, envelope)
+    """Four normalised tables and the error table, or those named in `only`.
+
+    Each is a plan of its own over the source; where several are written, `ingest_once` parses only once.
+    """
     wanted = only or (*TABLES.values(), ERRORS)
-    out = {t: staged.where(F.col("outcome") == t).select(*_flat(t)) for t in TABLES.values() if t in wanted}
+    out = {
+        t: _staged(df, column, envelope, [name]).where(F.col("outcome") == t).select(*_flat(t))
+        for name, t in TABLES.items()
+        if t in wanted
+    }
     if ERRORS in wanted:
-        out[ERRORS] = staged.where(F.col("outcome") == ERRORS).select(
+        out[ERRORS] = _staged(df, column, envelope).where(F.col("outcome") == ERRORS).select(
             F.col(column).alias("raw"), "resource_type", "error", _details().alias("details")
         )
     return out

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import col
+from millrace.sources.files import read_document, write_document
 
 
 @dataclass(frozen=True)
@@ -49,6 +50,19 @@ class Fitted:
         rows = {r["column"]: {p: r[p] for p in params} for r in df.collect()}
         return Fitted(kind, params, tuple(rows), values=rows)
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Keep the model, grouped or not, in a new folder."""
+        if self.table is not None:
+            self.table.write.parquet(f"{path}/groups")
+        document = {"kind": self.kind, "params": self.params, "columns": self.columns, "by": self.by}
+        write_document(spark, f"{path}/model", {**document, "grouped": self.table is not None, "values": dict(self.values)})
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "Fitted":
+        found = read_document(spark, f"{path}/model")
+        table = spark.read.parquet(f"{path}/groups") if found["grouped"] else None
+        return Fitted(found["kind"], tuple(found["params"]), tuple(found["columns"]), tuple(found["by"]), found["values"], table)
+
     def transform(
         self,
         df: DataFrame,

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.columns import col, missing, numeric_columns, present, string_columns
 from millrace.operators.fitted import Fitted, pack
 from millrace.plans.quantiles import approx_quantiles, exact_quantiles
+from millrace.sources.files import read_document, write_document
 
 UNKNOWN = "UNKNOWN"
 NUMERIC = ("median", "mean")
@@ -24,6 +25,16 @@ class Imputer:
     categorical: Fitted
     n_missing: dict[str, int]
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        self.numeric.save(spark, f"{path}/numeric")
+        self.categorical.save(spark, f"{path}/categorical")
+        write_document(spark, f"{path}/missing", self.n_missing)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "Imputer":
+        parts = (Fitted.load(spark, f"{path}/{p}") for p in ("numeric", "categorical"))
+        return Imputer(*parts, read_document(spark, f"{path}/missing"))
+
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column, n_rows, n_missing) for all columns in one pass."""

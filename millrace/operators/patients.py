@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.sources.files import hadoop
+
 PATIENT_COLUMNS = ("patient_id", "name", "gender", "birth_date", "address")
+SNAPSHOTS = "_snapshots"
 
 
 def latest_by_key(versions: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -34,8 +37,50 @@ def append_versions(batch: DataFrame, path: str, batch_id: int, fmt: str = "parq
 def current_patients(
     spark: SparkSession, path: str, order: Sequence[str] = ("batch_id", "sequence"), fmt: str = "parquet"
 ) -> DataFrame:
-    """The store's state: later batches win, within a batch the later row."""
-    return latest_by_key(spark.read.format(fmt).load(path), "patient_id", order)
+    """The store's state: later batches win, within a batch the later row.
+
+    Reads the newest snapshot and the batches after it.
+    """
+    upto = max(_numbers(spark, f"{path}/{SNAPSHOTS}", "upto", done=True), default=None)
+    if upto is None:
+        return latest_by_key(spark.read.format(fmt).load(path), "patient_id", order)
+    found = spark.read.parquet(f"{path}/{SNAPSHOTS}/upto={upto}")
+    later = [f"{path}/batch_id={n}" for n in _numbers(spark, path, "batch_id") if n > upto]
+    if later:
+        tail = spark.read.format(fmt).option("basePath", path).load(later)
+        found = found.unionByName(tail, allowMissingColumns=True)
+    return latest_by_key(found, "patient_id", order)
+
+
+def _numbers(spark: SparkSession, path: str, name: str, done: bool = False) -> list[int]:
+    """n of the folders `<name>=<n>`; with `done`, of those that were written to the end."""
+    fs, pattern = hadoop(spark, f"{path}/{name}=*" + ("/_SUCCESS" if done else ""))
+    folders = [s.getPath().getParent() if done else s.getPath() for s in fs.globStatus(pattern) or ()]
+    return sorted(int(f.getName().split("=")[1]) for f in folders)
+
+
+def compact_patients(
+    spark: SparkSession, path: str, order: Sequence[str] = ("batch_id", "sequence"), fmt: str = "parquet"
+) -> int | None:
+    """Write a snapshot of all batches so far, so that lookups need not regroup them; returns the last batch in it.
+
+    A batch that is written again after it went into a snapshot is not looked at: compact when its stream
+    has moved on. Batches and older snapshots stay for those who read them; `drop_compacted` deletes them.
+    """
+    upto = max(_numbers(spark, path, "batch_id"), default=None)
+    if upto is not None and upto > max(_numbers(spark, f"{path}/{SNAPSHOTS}", "upto", done=True), default=-1):
+        current_patients(spark, path, order, fmt).write.mode("overwrite").parquet(f"{path}/{SNAPSHOTS}/upto={upto}")
+    return upto
+
+
+def drop_compacted(spark: SparkSession, path: str) -> None:
+    """Delete the batches that the newest snapshot holds, and older snapshots."""
+    kept = max(_numbers(spark, f"{path}/{SNAPSHOTS}", "upto", done=True), default=-1)
+    old = [f"{path}/batch_id={n}" for n in _numbers(spark, path, "batch_id") if n <= kept]
+    old += [f"{path}/{SNAPSHOTS}/upto={n}" for n in _numbers(spark, f"{path}/{SNAPSHOTS}", "upto") if n < kept]
+    for folder in old:
+        fs, where = hadoop(spark, folder)
+        fs.delete(where, True)
 
 
 def find_patient(patients: DataFrame, patient_id: str) -> DataFrame:

@@ -5,31 +5,53 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from millrace.functions.columns import numeric_columns, string_columns
 from millrace.operators import encoding, impute, outliers, scaling
 from millrace.operators.encoding import LabelEncoder
 from millrace.operators.fitted import Fitted
 from millrace.operators.impute import Imputer
+from millrace.sources.files import read_document, write_document
 
 AUDIT_SCHEMA = "step string, column string, n_changed bigint, parameter string"
 
 
 @dataclass(frozen=True)
-class Preprocessed:
-    dataframe: DataFrame
+class HealthModel:
+    """The fitted steps, to keep and to use on later rows."""
+
     imputer: Imputer
     outlier_fences: Fitted
     scaler: Fitted
     encoder: LabelEncoder | None
-    capped: DataFrame | None = None
 
     def apply(self, df: DataFrame, unseen: str = "error") -> DataFrame:
         """The fitted steps on new data."""
         out = scaling.scale(outliers.cap(impute.impute(df, self.imputer), self.outlier_fences), self.scaler)
         return out if self.encoder is None else encoding.encode(out, self.encoder, unseen=unseen)
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Write to a new folder on any Hadoop file system. The document that `load` reads first is written last."""
+        self.imputer.save(spark, f"{path}/imputer")
+        self.outlier_fences.save(spark, f"{path}/fences")
+        self.scaler.save(spark, f"{path}/scaler")
+        if self.encoder is not None:
+            self.encoder.save(spark, f"{path}/encoder")
+        write_document(spark, f"{path}/steps", {"encoder": self.encoder is not None})
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "HealthModel":
+        steps = read_document(spark, f"{path}/steps")
+        encoder = LabelEncoder.load(spark, f"{path}/encoder") if steps["encoder"] else None
+        return HealthModel(Imputer.load(spark, f"{path}/imputer"), Fitted.load(spark, f"{path}/fences"), Fitted.load(spark, f"{path}/scaler"), encoder)
+
+
+@dataclass(frozen=True)
+class Preprocessed(HealthModel):
+    dataframe: DataFrame
+    capped: DataFrame
+
     def audit(self) -> DataFrame:
         """What each step changed: (step, column, n_changed, parameter)."""
         spark = self.dataframe.sparkSession
@@ -76,4 +98,4 @@ def preprocess(
     out = encoding.encode(scaled, encoder) if encoder else scaled
     if not_null:
         impute.require_complete(out, not_null)
-    return Preprocessed(out, imputer, fences, scaler, encoder, filled)
+    return Preprocessed(imputer, fences, scaler, encoder, out, filled)

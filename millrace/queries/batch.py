@@ -50,6 +50,30 @@ def etl_run(spark, sf):
     return spark.read.parquet(target).drop(AUDIT_COLUMN)
 
 
+def _through_text(spark, sf, fmt: str):
+    """Customers written as text files, then extracted from them."""
+    source, target = scratch_path(spark, fmt), scratch_path(spark, "etl")
+    customers = table(spark, sf, "customer")
+    customers.write.format(fmt).option("header", True).save(source)
+    run_etl(spark, source, target, fmt, schema=customers.schema)
+    return spark.read.parquet(target).drop(AUDIT_COLUMN)
+
+
+_UPPER_CUSTOMERS = """
+SELECT DISTINCT c_custkey, upper(trim(c_name)) AS c_name, c_nationkey, c_acctbal, upper(trim(c_mktsegment)) AS c_mktsegment FROM customer
+"""
+
+
+@query(_UPPER_CUSTOMERS)
+def etl_csv(spark, sf):
+    return _through_text(spark, sf, "csv")
+
+
+@query(_UPPER_CUSTOMERS)
+def etl_json(spark, sf):
+    return _through_text(spark, sf, "json")
+
+
 @query("""
 SELECT count(*) AS rows_extracted, count(*) AS rows_loaded, TRUE AS validated,
        (SELECT count(*) FROM customer) AS rows_stored

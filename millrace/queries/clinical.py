@@ -11,6 +11,7 @@ from millrace.operators import fhir, patients
 from millrace.plans.clinical import store_batch
 from millrace.plans.scratch import scratch_path
 from millrace.queries.registry import query, spread_table, table
+from millrace.sources.files import read_resources
 
 
 def _json(**fields):
@@ -25,10 +26,11 @@ def _reference(key: str):
     return F.struct(F.concat(F.lit("Patient/"), F.col(key).cast("string")).alias("reference"))
 
 
-def _patient_json(spark, sf):
+def _patient_json(spark, sf, version: str = ""):
     """Customers as patients; those in debt carry no name and so fail validation."""
     customers = table(spark, sf, "customer")
-    named = F.when(F.col("c_acctbal") >= 0, F.array(F.struct(F.col("c_name").alias("text"))))
+    name = F.concat("c_name", F.lit(version))
+    named = F.when(F.col("c_acctbal") >= 0, F.array(F.struct(name.alias("text"))))
     return customers.select(
         "c_custkey",
         _json(
@@ -185,6 +187,30 @@ def fhir_store(spark, sf):
     return patients.current_patients(spark, f"{base}/patients").drop("sequence", "batch_id")
 
 
+@query(f"""
+SELECT patient_id, name || CASE WHEN gender = 'building' THEN ' v4' ELSE ' v2' END AS name, gender, birth_date, address
+FROM ({_PATIENTS})
+""")
+def fhir_store_compacted(spark, sf):
+    """Two batches, compacted and dropped, then a late batch for one segment's patients."""
+    base = scratch_path(spark, "clinical")
+    for batch_id in (0, 1):
+        store_batch(_patient_json(spark, sf, f" v{batch_id + 1}"), base, batch_id, sequence="c_custkey")
+    patients.compact_patients(spark, f"{base}/patients")
+    patients.drop_compacted(spark, f"{base}/patients")
+    late = _patient_json(spark, sf, " v4").where(F.get_json_object("value", "$.gender") == "building")
+    store_batch(late, base, 2, sequence="c_custkey")
+    return patients.current_patients(spark, f"{base}/patients").drop("sequence", "batch_id")
+
+
+@query(_PATIENTS)
+def fhir_envelope(spark, sf):
+    """JSON lines of request bodies."""
+    path = scratch_path(spark, "bodies")
+    _patient_json(spark, sf).select(F.concat(F.lit('{"resource": '), "value", F.lit("}"))).write.text(path)
+    return fhir.ingest(read_resources(spark, path), envelope=True, only=["patients"])["patients"]
+
+
 @query(f"""
 WITH p AS ({_PATIENTS}), o AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS patient_id FROM orders)
 SELECT p.patient_id, name, gender, birth_date, address FROM p JOIN o USING (patient_id)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import encoding, impute, outliers, profile, scaling
-from millrace.plans.health import preprocess
+from millrace.plans.health import HealthModel, preprocess
+from millrace.plans.scratch import scratch_path
 from millrace.queries.registry import query, table
 
 
@@ -200,7 +201,7 @@ def encode_through_slices(spark, sf):
     return encoding.encode(documents, encoder)
 
 
-_PREPROCESSED = """
+_FITTED = """
 WITH e AS (SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value,
                   CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k,
                   CASE WHEN event_type = 'view' THEN NULL ELSE event_type END AS kind FROM events),
@@ -210,6 +211,9 @@ WITH e AS (SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE value
      c AS (SELECT event_id, kind, greatest(least(value, v3 + 1.5 * (v3 - v1)), v1 - 1.5 * (v3 - v1)) AS value,
                   greatest(least(k, k3 + 1.5 * (k3 - k1)), k1 - 1.5 * (k3 - k1)) AS k FROM i, f),
      s AS (SELECT avg(value) AS vm, stddev_pop(value) AS vd, avg(k) AS km, stddev_pop(k) AS kd FROM c)
+"""
+
+_PREPROCESSED = _FITTED + """
 SELECT event_id, round((value - vm) / vd, 5) AS value, round((k - km) / kd, 5) AS k,
        CAST(dense_rank() OVER (ORDER BY kind) - 1 AS INTEGER) AS kind
 FROM c, s
@@ -239,6 +243,38 @@ def preprocess_new_rows(spark, sf):
     return applied.withColumns({c: F.round(c, 5) for c in ("value", "k")})
 
 
+@query(
+    _FITTED
+    + """, n AS (SELECT event_id, coalesce(value, (SELECT median(value) FROM e)) AS value,
+             coalesce(CASE WHEN kind = 'purchase' THEN NULL ELSE k END, (SELECT median(k) FROM e)) AS k, coalesce(kind, (SELECT v FROM mode)) AS kind FROM e)
+SELECT event_id, round((greatest(least(value, v3 + 1.5 * (v3 - v1)), v1 - 1.5 * (v3 - v1)) - vm) / vd, 5) AS value,
+       round((greatest(least(k, k3 + 1.5 * (k3 - k1)), k1 - 1.5 * (k3 - k1)) - km) / kd, 5) AS k,
+       CAST(dense_rank() OVER (ORDER BY kind) - 1 AS INTEGER) AS kind
+FROM n, f, s
+"""
+)
+def preprocess_saved_model(spark, sf):
+    """A model that was saved and loaded, on rows with holes where the fit saw none."""
+    raw, path = _raw_health(spark, sf), scratch_path(spark, "model")
+    preprocess(raw, exclude=["event_id"], for_new_rows=True).save(spark, path)
+    holes = raw.withColumn("k", F.when(F.coalesce(F.col("kind"), F.lit("")) != "purchase", F.col("k")))
+    applied = HealthModel.load(spark, path).apply(holes)
+    return applied.withColumns({c: F.round(c, 5) for c in ("value", "k")})
+
+
+@query(
+    _FITTED
+    + """SELECT 'impute' AS step, 'value' AS "column", (SELECT count(*) - count(value) FROM e) AS n_changed
+UNION ALL SELECT 'impute', 'kind', (SELECT count(*) - count(kind) FROM e)
+UNION ALL SELECT 'cap', 'value', (SELECT count(*) FROM i, f WHERE value > v3 + 1.5 * (v3 - v1) OR value < v1 - 1.5 * (v3 - v1))
+UNION ALL SELECT 'cap', 'k', (SELECT count(*) FROM i, f WHERE k > k3 + 1.5 * (k3 - k1) OR k < k1 - 1.5 * (k3 - k1))
+UNION ALL SELECT 'standard', 'value', NULL UNION ALL SELECT 'standard', 'k', NULL UNION ALL SELECT 'encode', 'kind', NULL
+"""
+)
+def preprocess_audit(spark, sf):
+    return preprocess(_raw_health(spark, sf), exclude=["event_id"]).audit().select("step", "column", "n_changed")
+
+
 def _describe_sql(name: str) -> str:
     return f"""SELECT '{name}' AS "column", count({name}) AS "count", round(avg({name}), 4) AS mean, round(stddev_samp({name}), 4) AS std,
        CAST(min({name}) AS DOUBLE) AS "min", round(quantile_cont({name}, 0.25), 6) AS p25, round(quantile_cont({name}, 0.5), 6) AS p50,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,21 @@ def read_files(
     return reader.format(fmt).load(path)
 
 
+def hadoop(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it takes it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def write_document(spark: SparkSession, path: str, document: dict) -> None:
+    """A small JSON document as a folder of one text file; an existing one is not replaced."""
+    spark.createDataFrame([(json.dumps(document, default=float),)], "value string").coalesce(1).write.text(path)
+
+
+def read_document(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.text(path).first()["value"])
+
+
 def merge_sources(sources: Mapping[str, DataFrame], name: str = "source") -> DataFrame:
     """Union by column name over several sources, NULL where one lacks a column, with the
     source's key in `name`."""

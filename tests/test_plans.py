@@ -1,3 +1,4 @@
+import os
 import random
 
 import numpy as np
@@ -53,3 +54,52 @@ def test_dense_position_matches_a_plain_sort(spark):
     for k in {k for k, _ in keys}:
         for want, v in enumerate(sorted(v for kk, v in keys if kk == k)):
             assert got[(k, v)] == want
+
+
+def test_patient_store_reads_newest_whole_snapshot_and_later_batches(spark, tmp_path):
+    from millrace.operators import patients
+
+    store = str(tmp_path / "patients")
+    assert patients.compact_patients(spark, store) is None
+    for batch, rows in enumerate([[("a", "one", 1), ("b", "one", 2), (None, "none", 3)], [("a", "two", 1)], [("c", "three", 1), ("a", "three", 2)]]):
+        patients.append_versions(spark.createDataFrame(rows, "patient_id string, name string, sequence int"), store, batch)
+        if batch == 1:
+            assert patients.compact_patients(spark, store) == 1
+            os.makedirs(f"{store}/_snapshots/upto=7")  # begun, never finished
+            patients.drop_compacted(spark, store)
+            assert sorted(x for x in os.listdir(store) if x.startswith("batch")) == []
+            names = {r.patient_id: r.name for r in patients.current_patients(spark, store).collect()}
+            assert names == {"a": "two", "b": "one"}
+    expected = {"a": "three", "b": "one", "c": "three"}
+    assert {r.patient_id: r.name for r in patients.current_patients(spark, store).collect()} == expected
+    assert patients.compact_patients(spark, store) == 2
+    assert {r.patient_id: r.name for r in patients.current_patients(spark, store).collect()} == expected
+
+
+def test_grouped_and_text_models_come_back_from_their_folder(spark, tmp_path):
+    from millrace.operators import encoding, impute, scaling
+    from millrace.operators.fitted import Fitted
+
+    rows = spark.createDataFrame([("x", 1.0, "p"), ("x", 3.0, None), ("y", None, "q"), (None, 5.0, "q")], "g string, v double, t string")
+    fitted = impute.fit_imputer(rows, by=["g"], for_new_rows=True)
+    fitted.save(spark, str(tmp_path / "imputer"))
+    loaded = impute.Imputer.load(spark, str(tmp_path / "imputer"))
+    assert sorted(map(str, impute.impute(rows, loaded).collect())) == sorted(map(str, impute.impute(rows, fitted).collect()))
+    assert loaded.n_missing == fitted.n_missing == {"v": 1, "t": 1}
+    scaler = scaling.fit_scaler(rows, ["v"])
+    scaler.save(spark, str(tmp_path / "scaler"))
+    assert Fitted.load(spark, str(tmp_path / "scaler")) == scaler
+    coded, encoder = encoding.encode_labels(rows, ["t"])
+    encoder.save(spark, str(tmp_path / "encoder"))
+    again = encoding.encode(rows, encoding.LabelEncoder.load(spark, str(tmp_path / "encoder")))
+    assert sorted(map(str, again.collect())) == sorted(map(str, coded.collect()))
+
+
+def test_other_resource_types_go_before_validation(spark):
+    from millrace.operators import fhir
+
+    lines = [('{"resourceType": "Patient", "id": "1", "name": []}',), ('{"resourceType": "Condition", "id": "c"}',), ("no json",), (None,), ('{"resourceType": ["Patient"], "id": "2", "name": []}',)]
+    found = fhir.ingest(spark.createDataFrame(lines, "value string"), only=["patients"])["patients"]
+    assert [r.patient_id for r in found.collect()] == ["1"]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Filter") >= 2 and "onsetDateTime" not in plan and "effectiveDateTime" not in plan and plan.count("try_parse_json") <= 1
