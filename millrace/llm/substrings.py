@@ -6,8 +6,9 @@ names an anchor, the least hash of its 8-word grams, and equal windows name the
 one anchor are a context. Contexts that are equal as a whole need no search. Where an anchor has different contexts, they
 are a reference shard: they are taken by ascending owner (smallest document holding them), streamed through the automaton
 of the contexts before, whose matching statistics of at least 50 words mark their windows, and then added to it.
-An anchor with more than `SHARD_CONTEXTS` contexts would make an unbounded shard: its contexts are cut into single
-windows, which Spark groups by their 128-bit hashes.
+An anchor whose different contexts hold more than `SHARD_WORDS` words would make an unbounded shard, be they many or, in
+texts that repeat a few words, very long: its contexts are cut into single windows, which Spark groups by their
+128-bit hashes.
 """
 
 from __future__ import annotations
@@ -25,8 +26,10 @@ from millrace.plans.scratch import materialize
 
 WINDOW = 50
 GRAM = 8
-#: Contexts of an anchor that one automaton takes (of about 70 words each).
-SHARD_CONTEXTS = 1000
+#: Words of an anchor's different contexts that one automaton takes (a context has about 70).
+SHARD_WORDS = 70_000
+#: Single windows that a task hands on at once.
+HANDED = 200_000
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -95,12 +98,18 @@ _FETCHED = "anchor long, context long, owner long, words binary, offset int, w1
 
 def _fetched(window: int):
     """Words of each wanted context, or for contexts of hot anchors the hashes of its windows."""
+    step = HANDED
+
+    def handed(rows: list[tuple]) -> pa.RecordBatch:
+        cols = list(zip(*rows)) if rows else [()] * 7
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["anchor", "context", "owner", "words", "offset", "w1", "w2"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two = Rolling(_BASES[0]), Rolling(_BASES[1])
         known, other = WordHashes(7), WordHashes(8)
         for batch in batches:
-            rows = []
+            rows: list[tuple] = []
             for d, text, wanted in zip(batch.column("doc_id").to_pylist(), texts(batch.column("text")), batch.column("wanted").to_pylist()):
                 words = text.split()
                 for w in wanted:
@@ -108,11 +117,13 @@ def _fetched(window: int):
                     if not w["hot"]:
                         rows.append((w["anchor"], w["context"], d, b" ".join(mine), None, None, None))
                         continue
-                    a, b = one.of(known.of(mine), window).view(np.int64).tolist(), two.of(other.of(mine), window).view(np.int64).tolist()
-                    rows.extend((w["anchor"], w["context"], d, None, i, x, y) for i, (x, y) in enumerate(zip(a, b)))
-            cols = list(zip(*rows)) if rows else [()] * 7
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["anchor", "context", "owner", "words", "offset", "w1", "w2"])
+                    a, b = one.of(known.of(mine), window).view(np.int64), two.of(other.of(mine), window).view(np.int64)
+                    for k in range(0, len(a), step):
+                        rows.extend((w["anchor"], w["context"], d, None, i, x, y) for i, (x, y) in enumerate(zip(a[k : k + step].tolist(), b[k : k + step].tolist()), k))
+                        if len(rows) >= step:
+                            yield handed(rows)
+                            rows = []
+            yield handed(rows)
 
     return run
 
@@ -228,14 +239,14 @@ def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _runs(docs: DataFrame, window: int, limit: int) -> DataFrame:
     """(doc_id, row, start, size): marked runs of windows."""
     runs = materialize(docs.where("doc_id is not null").mapInArrow(_contexts(window), "doc_id long, row long, start int, size int, anchor long, context long"), "contexts")
-    every = runs.groupBy("anchor", "context").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).repartition("anchor")
-    per = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("contexts"), F.min("owner").alias("low"), F.max("last").alias("high")).where("low < high")
-    shared = every.join(per, "anchor").select("anchor", "context", "owner", "contexts")
+    every = runs.groupBy("anchor", "context").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"), (F.max("size") + (window - 1)).cast("long").alias("words")).repartition("anchor")
+    per = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("contexts"), F.sum("words").alias("held"), F.min("owner").alias("low"), F.max("last").alias("high")).where("low < high")
+    shared = every.join(per, "anchor").select("anchor", "context", "owner", "contexts", "held")
     known = materialize(runs.join(shared, ["anchor", "context"]), "shared-contexts")
     marked = known.where("doc_id > owner").select("doc_id", "row", "start", "size")  # its owner holds the whole context
     own = known.where("contexts > 1 and doc_id = owner")
-    wanted = own.groupBy("anchor", "context").agg(F.min(F.struct("doc_id", "row", "start", "size")).alias("at"), F.first("contexts").alias("contexts"))
-    wanted = wanted.select("at.doc_id", "at.row", F.struct("at.start", "at.size", "anchor", "context", (F.col("contexts") > limit).alias("hot")).alias("w"))
+    wanted = own.groupBy("anchor", "context").agg(F.min(F.struct("doc_id", "row", "start", "size")).alias("at"), F.first("held").alias("held"))
+    wanted = wanted.select("at.doc_id", "at.row", F.struct("at.start", "at.size", "anchor", "context", (F.col("held") > limit).alias("hot")).alias("w"))
     wanted = wanted.groupBy("doc_id", "row").agg(F.collect_list("w").alias("wanted"))  # no more than a document's contexts
     found = materialize(docs.join(wanted, ["doc_id", "row"]).select("doc_id", "text", "wanted").mapInArrow(_fetched(window), _FETCHED), "context-words")
     searched = found.where("words is not null").select("anchor", "context", "owner", "words").repartition("anchor").sortWithinPartitions("anchor", "owner")
@@ -247,7 +258,7 @@ def _runs(docs: DataFrame, window: int, limit: int) -> DataFrame:
     return marked.unionByName(spread.select("doc_id", "row", (F.col("start") + F.col("offset")).alias("start"), "size"))
 
 
-def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = WINDOW, limit: int = SHARD_CONTEXTS) -> DataFrame:
+def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = WINDOW, limit: int = SHARD_WORDS) -> DataFrame:
     """(doc_id, n_words, n_removed, kept): each document without words of repeated windows; kept words joined by a space.
 
     Words are [^\\x20\\x09-\\x0D]+, unchanged. A null text has none; texts under `window` words are kept whole. A

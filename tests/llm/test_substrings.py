@@ -8,6 +8,7 @@ import re
 import duckdb
 import pytest
 
+from millrace.llm import substrings
 from millrace.llm.queries import QUERIES
 from millrace.llm.substrings import SuffixAutomaton, without_repeats
 
@@ -53,6 +54,15 @@ def test_random_documents(spark, k, limit):
     assert any(r[2] for r in check(spark, docs, k, limit))
 
 
+@pytest.mark.parametrize("limit", [1, 150, 1_000_000])
+def test_texts_that_repeat_few_words(spark, limit, monkeypatch):
+    """One context each, as long as the text: whole, shorter, longer and shifted ones."""
+    monkeypatch.setattr(substrings, "HANDED", 16)
+    docs = [(i, " ".join(["a", "b", "c"][(i + j) % 3] for j in range(n))) for i, n in enumerate([40, 90, 40, 11, 12, 300, 299, 300])]
+    docs += [(20, " ".join(["z"] * 80)), (21, "y " + " ".join(["z"] * 200)), (22, " ".join(["z"] * 15)), (19, " ".join(f"u{j}" for j in range(40))), (23, " ".join(f"u{j}" for j in range(30)))]
+    assert any(r[2] for r in check(spark, docs, 12, limit))
+
+
 def test_empty_table(spark):
     assert without_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
