@@ -7,8 +7,8 @@ one anchor are a context. Contexts that are equal as a whole need no search. Whe
 are a reference shard: they are taken by ascending owner (smallest document holding them), streamed through the automaton
 of the contexts before, whose matching statistics of at least 50 words mark their windows, and then added to it.
 An anchor whose different contexts hold more than `SHARD_WORDS` words would make an unbounded shard, be they many or, in
-texts that repeat a few words, very long: its contexts are cut into single windows, which Spark groups by their
-128-bit hashes.
+texts that repeat a few words, very long: its contexts are cut into their distinct windows, which Spark groups by
+their 128-bit hashes.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ WINDOW = 50
 GRAM = 8
 #: Words of an anchor's different contexts that one automaton takes (a context has about 70).
 SHARD_WORDS = 70_000
-#: Single windows that a task hands on at once.
+#: Windows of hot anchors that a task gathers before it hands them on.
 HANDED = 200_000
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -93,37 +93,50 @@ def _contexts(window: int):
     return run
 
 
-_FETCHED = "anchor long, context long, owner long, words binary, offset int, w1 long, w2 long"
+_FETCHED = {"anchor": pa.int64(), "context": pa.int64(), "owner": pa.int64(), "words": pa.binary(), "w1": pa.int64(), "w2": pa.int64(), "offsets": pa.list_(pa.int32())}
 
 
 def _fetched(window: int):
-    """Words of each wanted context, or for contexts of hot anchors the hashes of its windows."""
+    """Words of each wanted context, or for contexts of hot anchors the hashes of its distinct windows and where they start."""
     step = HANDED
 
-    def handed(rows: list[tuple]) -> pa.RecordBatch:
-        cols = list(zip(*rows)) if rows else [()] * 7
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["anchor", "context", "owner", "words", "offset", "w1", "w2"])
+    def plain(rows: list[tuple]) -> pa.RecordBatch:
+        cols = list(zip(*rows)) if rows else [()] * 4
+        n = pa.nulls(len(rows))
+        return pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(cols, _FETCHED.values())), *(n.cast(k) for k in list(_FETCHED.values())[4:])], list(_FETCHED))
+
+    def cut(found: list[tuple]) -> pa.RecordBatch:
+        keys, first, second, order, sizes = zip(*found)
+        names = (np.repeat(np.array(k, np.int64), list(map(len, first))) for k in zip(*keys))
+        edges = np.cumsum(np.r_[0, np.concatenate(sizes)]).astype(np.int32)
+        offsets = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(order).astype(np.int32)))
+        hashes = [np.concatenate(x) for x in (first, second)]
+        return pa.RecordBatch.from_arrays([*map(pa.array, names), pa.nulls(len(offsets), pa.binary()), *map(pa.array, hashes), offsets], list(_FETCHED))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two = Rolling(_BASES[0]), Rolling(_BASES[1])
         known, other = WordHashes(7), WordHashes(8)
         for batch in batches:
-            rows: list[tuple] = []
+            rows, found, held = [], [], 0
             for d, text, wanted in zip(batch.column("doc_id").to_pylist(), texts(batch.column("text")), batch.column("wanted").to_pylist()):
                 words = text.split()
                 for w in wanted:
                     mine = words[w["start"] : w["start"] + w["size"] + window - 1]
                     if not w["hot"]:
-                        rows.append((w["anchor"], w["context"], d, b" ".join(mine), None, None, None))
+                        rows.append((w["anchor"], w["context"], d, b" ".join(mine)))
                         continue
                     a, b = one.of(known.of(mine), window).view(np.int64), two.of(other.of(mine), window).view(np.int64)
-                    for k in range(0, len(a), step):
-                        rows.extend((w["anchor"], w["context"], d, None, i, x, y) for i, (x, y) in enumerate(zip(a[k : k + step].tolist(), b[k : k + step].tolist()), k))
-                        if len(rows) >= step:
-                            yield handed(rows)
-                            rows = []
-            yield handed(rows)
+                    order = np.lexsort((b, a))
+                    a, b = a[order], b[order]
+                    new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+                    found.append(((w["anchor"], w["context"], d), a[new], b[new], order, np.diff(np.r_[new, len(a)])))
+                    held += len(a)
+                    if held >= step:
+                        yield cut(found)
+                        found, held = [], 0
+            yield plain(rows)
+            if found:
+                yield cut(found)
 
     return run
 
@@ -248,12 +261,12 @@ def _runs(docs: DataFrame, window: int, limit: int) -> DataFrame:
     wanted = own.groupBy("anchor", "context").agg(F.min(F.struct("doc_id", "row", "start", "size")).alias("at"), F.first("held").alias("held"))
     wanted = wanted.select("at.doc_id", "at.row", F.struct("at.start", "at.size", "anchor", "context", (F.col("held") > limit).alias("hot")).alias("w"))
     wanted = wanted.groupBy("doc_id", "row").agg(F.collect_list("w").alias("wanted"))  # no more than a document's contexts
-    found = materialize(docs.join(wanted, ["doc_id", "row"]).select("doc_id", "text", "wanted").mapInArrow(_fetched(window), _FETCHED), "context-words")
+    found = materialize(docs.join(wanted, ["doc_id", "row"]).select("doc_id", "text", "wanted").mapInArrow(_fetched(window), "anchor long, context long, owner long, words binary, w1 long, w2 long, offsets array<int>"), "context-words")
     searched = found.where("words is not null").select("anchor", "context", "owner", "words").repartition("anchor").sortWithinPartitions("anchor", "owner")
     hits = searched.mapInArrow(_matched(window), "anchor long, context long, offset int, size int")
     single = found.where("words is null")
     first = single.groupBy("w1", "w2").agg(F.min("owner").alias("least"))
-    hits = hits.unionByName(single.join(first, ["w1", "w2"]).where("owner > least").select("anchor", "context", "offset", F.lit(1).alias("size")))
+    hits = hits.unionByName(single.join(first, ["w1", "w2"]).where("owner > least").select("anchor", "context", F.explode("offsets").alias("offset"), F.lit(1).alias("size")))
     spread = own.select("doc_id", "row", "start", "anchor", "context").join(hits, ["anchor", "context"])
     return marked.unionByName(spread.select("doc_id", "row", (F.col("start") + F.col("offset")).alias("start"), "size"))
 
