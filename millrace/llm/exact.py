@@ -32,6 +32,9 @@ def _signed(docs: DataFrame, id: str, text: str, digest: Digest) -> DataFrame:
     return rows.withColumn("digest", digest(F.col("content")))
 
 
+#: Classes with more than one in so many rows are spread over several tasks.
+HOT_PARTS = 1000
+SPREAD = 64
 #: Longer text first, then the smaller id, as one number; a missing id comes last.
 _RANK = "cast(n as decimal(18,0)) * cast('100000000000000000000' as decimal(21,0)) + coalesce(cast('9223372036854775808' as decimal(20,0)) - doc_id, 0)"
 
@@ -68,13 +71,32 @@ def _classes(signed: DataFrame, salts: int) -> tuple[DataFrame, DataFrame | None
 
 
 def _labelled(rows: DataFrame, alone: DataFrame, shared: DataFrame | None) -> DataFrame:
-    """Each row with keep_id, keep_n and size of its class. A digest known to have one content stands for it."""
-    out = rows.drop("content").join(alone, "digest")
+    """Each row with keep_id, keep_n and size of its class. A digest known to have one content stands for it.
+
+    Rows of a class with more than one in `HOT_PARTS` of all rows are dealt to `SPREAD` tasks by a salt; that
+    fewer than `HOT_PARTS` classes can be so large bounds the broadcast list of their digests.
+    """
+    every = alone.agg(F.sum("size")).first()[0] or 0
+    hot = F.col("size") * HOT_PARTS > every
+    large = F.broadcast(alone.where(hot).select("digest", F.lit(SPREAD).alias("tasks")))
+    drawn = F.pmod(F.xxhash64("doc_id", "n", F.spark_partition_id()), F.col("tasks"))
+    salted = rows.drop("content").join(large, "digest", "left").withColumn("salt", F.coalesce(drawn, F.lit(0)).cast("int")).drop("tasks")
+    salts = F.when(hot, F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))
+    out = salted.join(alone.withColumn("salt", F.explode(salts)), ["digest", "salt"]).drop("salt")
     if shared is not None:
         out = out.unionByName(rows.join(shared, ["digest", "content"]).drop("content"))
     return out
 
 
+def _won(rows: DataFrame, alone: DataFrame, shared: DataFrame | None) -> DataFrame:
+    """`_labelled` for rows that win their class only: their ids are part of the key, so no class makes a hot one."""
+    same = "digest = d and doc_id <=> keep_id and n = keep_n"
+    out = rows.drop("content").join(alone.withColumnRenamed("digest", "d"), F.expr(same)).drop("d")
+    if shared is not None:
+        out = out.unionByName(rows.join(shared.withColumnsRenamed({"digest": "d", "content": "c"}), F.expr(f"{same} and content = c")).drop("content", "c", "d"))
+    return out
+
+
 def _first_of_repeats(labelled: DataFrame) -> DataFrame:
     """`kept`: one row of a class, also where rows repeat the winner's id."""
     wins = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n") == F.col("keep_n"))
@@ -99,8 +121,7 @@ def drop_exact_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", s
     """The rows of `docs` that stay, all columns; the rules are those of `exact_groups`."""
     signed = _signed(docs, id, text, sha256)
     alone, shared = _classes(signed, salts)
-    labelled = _labelled(signed, alone, shared)
-    won = labelled.where(F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n") == F.col("keep_n")))
+    won = _won(signed, alone, shared)
     repeated = docs.groupBy(F.col(f"`{id}`").cast("long").alias("doc_id")).count().where("count > 1")
     if not repeated.isEmpty():  # only then can two rows of a class win
         won = _first_of_repeats(won).where("kept")

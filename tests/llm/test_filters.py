@@ -114,11 +114,15 @@ def test_exact_groups(spark, odd, weak):
     assert rows(exact.exact_groups(df, digest=digest)) == keep(docs)
 
 
-def test_exact_keeps_all_columns(spark, odd):
+@pytest.mark.parametrize("weak", [False, True])
+def test_exact_keeps_all_columns(spark, odd, weak, monkeypatch):
+    if weak:  # several contents share a digest
+        monkeypatch.setattr(exact, "sha256", lambda c: (F.length(c) % 3).cast("string"))
     kept = exact.drop_exact_copies(odd)
     assert kept.columns == odd.columns
     assert rows(kept.select("doc_id")) == sorted(((r[0],) for r in keep(ODD) if r[3]), key=repr)
     assert exact.exact_groups(odd.limit(0)).count() == 0
+    assert exact.drop_exact_copies(odd.limit(0)).count() == 0
 
 
 def mark(text):
