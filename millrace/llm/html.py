@@ -2,8 +2,9 @@
 
 A page is cut into text blocks. A linear classifier over a block's place and look gives it a cost for either label; the
 costs are the capacities to the two terminals. Edges between neighbouring blocks, heavier the nearer they stand in
-the DOM, make a change of label cost too. A maximum flow finds the cheapest labelling; blocks on the content side
-of the minimum cut, in page order, are the text.
+the DOM, make a change of label cost too. An element whose class or id names boilerplate is a node of its own with a
+cost that is paid once for the content in it, so enough text outweighs a name. A maximum flow finds the cheapest
+labelling; blocks on the content side of the minimum cut, in page order, are the text.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import map_batches
 
 # Elements and names of the HTML standard, and words that sites use in class and id.
-UNSEEN = frozenset("script style noscript template head title iframe object embed svg math canvas audio video select option datalist textarea button".split())
+UNSEEN = frozenset("script style noscript template head title iframe object embed svg annotation annotation-xml canvas audio video select option datalist textarea button".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
@@ -32,11 +33,24 @@ ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dial
 ASIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adbox sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices notification alert popup modal overlay sidebar aside rail menu menus nav navbar navigation breadcrumb breadcrumbs footer header masthead topbar share sharing social related recommended recommendations newsletter subscribe subscription signup login form search pagination pager tags widget widgets toolbar copyright legal disclaimer skip".split()
 )
+#: Words after these say how an element is laid out or filed, not what it is: with-sidebar, tag-legal, format-aside.
+MODIFIERS = frozenset("with without has have no not tag category cat topic type format status layout theme".split())
 REMARKS = frozenset("comment comments commentlist disqus reply replies respond discussion".split())
 CONTENT = frozenset("article main".split())
 
 # The classifier's weights, in the unit of one edge between adjacent siblings.
-BIAS, IN_ARTICLE, OUTSIDE, APART, PER_WORD, MOST_WORDS, LINKS, SENTENCE, HEADING = -0.5, 3.0, -4.0, -16.0, 0.1, 2.0, -4.0, 0.5, 0.5
+BIAS, IN_ARTICLE, OUTSIDE, APART, PER_WORD, MOST_WORDS, LINKS, SENTENCE, HEADING, NAMED = -0.5, 3.0, -4.0, -16.0, 0.1, 2.0, -4.0, 0.5, 0.5, -10.0
+
+
+def name_words(names: str) -> set[str]:
+    """The words of class and id names, each name up to its first modifier."""
+    out: set[str] = set()
+    for name in names.split():
+        for word in re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower()):
+            if word in MODIFIERS:
+                break
+            out.add(word)
+    return out
 
 
 @dataclass
@@ -47,6 +61,7 @@ class Block:
     apart: bool
     heading: bool
     linked: int
+    named: int  # the nearest element around it that is named as boilerplate; 0 is none
 
 
 @dataclass
@@ -55,7 +70,7 @@ class _Open:
     number: int
     article: bool
     aside: bool  # set apart by element, role or remarks: also for articles inside
-    named: bool  # set apart by class or id: an article inside starts anew
+    named: int  # the nearest element that class or id name as boilerplate: an article inside starts anew
     unseen: bool
     link: bool
     heading: bool
@@ -64,8 +79,9 @@ class _Open:
 class _Blocks(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack = [_Open("", 0, False, False, False, False, False, False)]
+        self.stack = [_Open("", 0, False, False, 0, False, False, False)]
         self.blocks: list[Block] = []
+        self.around: dict[int, int] = {}  # from each named element to the next one around it
         self.pieces: list[str] = []
         self.linked, self.count = 0, 0
 
@@ -73,7 +89,7 @@ class _Blocks(HTMLParser):
         text = " ".join("".join(self.pieces).split())
         if text:
             top, path = self.stack[-1], tuple(o.number for o in self.stack if o.tag in BLOCKS)
-            self.blocks.append(Block(text, path, top.article, top.aside or top.named, top.heading, min(self.linked, len(text))))
+            self.blocks.append(Block(text, path, top.article, top.aside, top.heading, min(self.linked, len(text)), top.named))
         self.pieces, self.linked = [], 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -87,16 +103,21 @@ class _Blocks(HTMLParser):
                 self.pieces.append(" ")
             return
         top, have = self.stack[-1], {k: v or "" for k, v in attrs}
-        words = set(re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", f"{have.get('class', '')} {have.get('id', '')}").lower()))
+        words = name_words(f"{have.get('class', '')} {have.get('id', '')}")
         hidden = "hidden" in have or have.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", have.get("style", "").lower()) is not None
-        aside = tag in ASIDE or bool(set(have.get("role", "").lower().split()) & ASIDE_ROLES) or bool(words & REMARKS) or hidden
+        aside = (tag in ASIDE and not (tag == "header" and top.article)) or bool(set(have.get("role", "").lower().split()) & ASIDE_ROLES) or bool(words & REMARKS) or hidden
         content = tag in CONTENT or have.get("role", "").lower() in CONTENT
-        named = tag not in ("html", "body") and bool(words & ASIDE_WORDS)
+        if top.article:  # there a header holds the title, and a heading's id repeats its text
+            words = set() if re.fullmatch(r"h[1-6]", tag) else words - {"header"}
+        named = 0 if content else top.named
         self.count += 1
+        if tag not in ("html", "body") and not content and words & ASIDE_WORDS:
+            self.around[self.count] = named
+            named = self.count
         self.stack.append(
             _Open(
                 tag, self.count, top.article or content, (top.aside and not (content and self._in_form_only())) or (aside and tag not in ("html", "body")),
-                named or (top.named and not content), top.unseen or tag in UNSEEN, top.link or tag == "a", top.heading or re.fullmatch(r"h[1-6]", tag) is not None,
+                named, top.unseen or tag in UNSEEN, top.link or tag == "a", top.heading or re.fullmatch(r"h[1-6]", tag) is not None,
             )
         )
 
@@ -134,12 +155,16 @@ class _Blocks(HTMLParser):
                 self.linked += len(data.strip())
 
 
-def blocks(html: str) -> list[Block]:
+def _parsed(html: str) -> _Blocks:
     parser = _Blocks()
     parser.feed(html)
     parser.close()
     parser.flush()
-    return parser.blocks
+    return parser
+
+
+def blocks(html: str) -> list[Block]:
+    return _parsed(html).blocks
 
 
 def score(b: Block, has_article: bool) -> float:
@@ -161,17 +186,39 @@ def edges(found: list[Block]) -> list[tuple[int, int, float]]:
     return [(i, j, w) for (i, j), w in out.items()]
 
 
-def source_side(scores: list[float], links: list[tuple[int, int, float]]) -> list[bool]:
+def names(found: list[Block], around: dict[int, int]) -> tuple[list[float], list[tuple[int, int, float]]]:
+    """Scores of the nodes of named elements, which follow the blocks', and what implies them.
+
+    Content in a named element implies its node, which costs NAMED once, and a node the next one around it.
+    """
+    place: dict[int, int] = {}
+    implied = []
+    for i, b in enumerate(found):
+        at, element = i, b.named
+        while element:
+            seen = element in place
+            node = place.setdefault(element, len(found) + len(place))
+            implied.append((at, node, -NAMED))
+            if seen:
+                break
+            at, element = node, around[element]
+    return [NAMED] * len(place), implied
+
+
+def source_side(scores: list[float], links: list[tuple[int, int, float]], implied: list[tuple[int, int, float]] = []) -> list[bool]:
     """Which nodes the source reaches after a maximum flow: the content side of the minimum cut.
 
     Shortest augmenting paths by levels. A positive score is the capacity from the source, a negative one
-    that to the sink.
+    that to the sink. A link costs its weight if its ends differ, an implied pair only if the first alone is content.
     """
     left = list(scores)  # what is left of each terminal's capacity
     to: list[list[list]] = [[] for _ in scores]  # [neighbour, residual, index of the reverse]
     for i, j, w in links:
         to[i].append([j, w, len(to[j])])
         to[j].append([i, w, len(to[i]) - 1])
+    for i, j, w in implied:
+        to[i].append([j, w, len(to[j])])
+        to[j].append([i, 0.0, len(to[i]) - 1])
     while True:
         level = [-1] * len(left)
         queue = deque(i for i, x in enumerate(left) if x > 1e-12)
@@ -215,9 +262,11 @@ def source_side(scores: list[float], links: list[tuple[int, int, float]]) -> lis
 
 
 def main_text(html: str) -> str:
-    found = blocks(html)
+    parser = _parsed(html)
+    found = parser.blocks
     has_article = any(b.article for b in found)
-    side = source_side([score(b, has_article) for b in found], edges(found))
+    costs, implied = names(found, parser.around)
+    side = source_side([*(score(b, has_article) for b in found), *costs], edges(found), implied)
     return "\n".join(b.text for b, content in zip(found, side) if content)
 
 

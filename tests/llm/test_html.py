@@ -35,6 +35,56 @@ def test_page_without_article():
     assert main_text(page) == f"{text}\nShort.\n{text}"
 
 
+WORDS = " ".join(["Words of a long paragraph that tell a story."] * 4)
+STORY = f"<h1>Title</h1><p>{WORDS}</p><p>Short.</p>"
+TEXT = f"Title\n{WORDS}\nShort."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<article class="post tag-legal category-sponsored">{STORY}</article>',
+        f'<article class="entry social-post" id="related">{STORY}</article>',
+        f'<main class="with-sidebar">{STORY}</main>',
+        f'<div class="content has-sidebar withFooter">{STORY}</div>',
+        f'<div class="page-no-sidebar format-aside">{STORY}</div>',
+        f'<article><div class="entry-header"><h1>Title</h1></div><p>{WORDS}</p><p>Short.</p></article>',
+        f'<article><header><h1>Title</h1></header><p>{WORDS}</p><p>Short.</p></article>',
+        f'<article><h1 id="legal-notice">Title</h1><p>{WORDS}</p><p>Short.</p></article>',
+    ],
+)
+def test_names_that_do_not_set_apart(page):
+    assert main_text(f"<body><nav><a href=a>Home</a></nav>{page}<footer>By us.</footer></body>") == TEXT
+
+
+def test_much_text_outweighs_a_name():
+    long = "".join(f"<p>{WORDS}</p>" for _ in range(8))
+    want = "\n".join([WORDS] * 8)
+    assert main_text(f'<div class="banner"><a href=a>Buy</a></div><div class="page footer-fixed">{long}</div><div class="legal"><p>{WORDS}</p></div>') == want
+    part = '<div class="related"><p><a href=a>Another story</a></p></div>'
+    assert main_text(f'<article><section id="search">{long}{part}</section><div class="ad"><p>{WORDS}</p></div></article>') == want
+    assert main_text(f'<article>{STORY}<div class="sidebar"><div class="widget"><p>{WORDS}</p></div></div></article>') == TEXT
+
+
+def test_formula_in_article():
+    math = '<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow><annotation encoding="application/x-tex">x = 1</annotation></semantics></math>'
+    assert main_text(f"<article><p>So {math} holds for all of them.</p></article>") == "So x=1 holds for all of them."
+
+
+def test_minimum_cut_with_implied_nodes():
+    rng = random.Random(3)
+    for _ in range(150):
+        n = rng.randint(2, 8)
+        s = [round(rng.uniform(-3, 3), 2) for _ in range(n)]
+        links = [(i, i + 1, round(rng.uniform(0, 2), 2)) for i in range(n - 1)]
+        implied = [(i, j, round(rng.uniform(0, 4), 2)) for i in range(n) for j in range(n) if i != j and rng.random() < 0.2]
+
+        def cost(side):
+            return sum(max(x, 0) if not c else max(-x, 0) for x, c in zip(s, side)) + sum(w for i, j, w in links if side[i] != side[j]) + sum(w for i, j, w in implied if side[i] and not side[j])
+
+        assert cost(source_side(s, links, implied)) == pytest.approx(min(map(cost, product([False, True], repeat=n))))
+
+
 def test_minimum_cut_against_all_labellings():
     rng = random.Random(2)
     for _ in range(150):
