@@ -21,11 +21,12 @@ from millrace.llm.common import WORDS, carried, map_batches, restored, texts, wi
 #: Labelled rows that the models are fitted on, by hash order; the only bound, and only on fitting.
 SAMPLE = 4000
 FOLDS = 3
-#: A word is a feature if it stands in so many rows of the sample.
-LEAST_ROWS = 8
-PENALTY = 2e-3
+PENALTY = 5e-4
 REFIT = 2e-4
-ROUNDS = 60
+#: A fit ends where its optimality conditions hold up to this part of the penalty.
+TOLERANCE = 1e-2
+#: Columns that join a fit at a time.
+TAKEN = 100
 #: Word beginnings of so many characters count too, by whether they occur at least so many times.
 PREFIXES = (5, 7)
 STEPS = (1, 2, 4)
@@ -58,9 +59,28 @@ class Rows:
         keep[rows] = True
         return Rows(self.index[keep[self.row]], self.lengths[keep], self.width, self.extra[keep])
 
+    def only(self, chosen: np.ndarray) -> Rows:
+        """The columns `chosen`, in that order."""
+        place = np.full(self.width, -1)
+        place[chosen] = np.arange(len(chosen))
+        at = place[self.index]
+        use = at >= 0
+        return Rows(at[use], np.bincount(self.row[use], minlength=len(self.lengths)).astype(np.int64), len(chosen), self.extra)
+
     def with_extra(self, columns: list[np.ndarray]) -> Rows:
         return Rows(self.index, self.lengths, self.width, np.column_stack(columns) if columns else np.zeros((len(self.lengths), 0)))
 
+    def dense(self, chosen: np.ndarray) -> np.ndarray:
+        """The columns `chosen` of words, extras and intercept."""
+        out = np.zeros((len(self.lengths), len(chosen)))
+        place = np.full(self.width + self.extra.shape[1] + 1, -1)
+        place[chosen] = np.arange(len(chosen))
+        at = place[self.index]
+        out[self.row[at >= 0], at[at >= 0]] = 1
+        for k in np.flatnonzero(chosen >= self.width):
+            out[:, k] = np.column_stack([self.extra, np.ones(len(out))])[:, chosen[k] - self.width]
+        return out
+
     def margins(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, w[self.index], len(self.lengths)) + self.extra @ w[self.width : -1] + w[-1]
 
@@ -76,45 +96,83 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 def fit(rows: Rows, y: np.ndarray) -> np.ndarray:
     """Weights of the words, the extra columns and the intercept: selected under PENALTY, then fitted again under REFIT,
     so that the words which matter are not shrunk."""
-    first = _lasso(rows, y, PENALTY)
-    chosen = np.flatnonzero(first[: rows.width])
-    place = np.full(rows.width, -1)
-    place[chosen] = np.arange(len(chosen))
-    use = place[rows.index] >= 0
-    few = Rows(place[rows.index[use]], np.bincount(rows.row[use], minlength=len(rows.lengths)).astype(np.int64), len(chosen), rows.extra)
-    again = _lasso(few, y, REFIT)
+    # A word in r of n rows has a slope below r / n, which must reach the penalty: leaving the others out changes no weight.
+    often = np.flatnonzero(np.bincount(rows.index, minlength=rows.width) > PENALTY * len(y))
+    first = _lasso(rows.only(often), y, PENALTY)
+    has = np.flatnonzero(first[: len(often)])
+    chosen = often[has]
+    again = _lasso(rows.only(chosen), y, REFIT, np.concatenate([first[has], first[len(often) :]]))
     out = np.concatenate([np.zeros(rows.width), again[len(chosen) :]])
     out[chosen] = again[: len(chosen)]
     return out
 
 
-def _lasso(rows: Rows, y: np.ndarray, strength: float) -> np.ndarray:
-    """Logistic regression with an L1 penalty by accelerated proximal gradient; last weight is the intercept."""
+def _lasso(rows: Rows, y: np.ndarray, strength: float, start: np.ndarray | None = None) -> np.ndarray:
+    """Logistic regression with an L1 penalty, to convergence; last weight is the intercept.
+
+    The columns that break the optimality conditions most are taken in, until none does, under a limit that falls to
+    TOLERANCE of the penalty. `start` is where to begin, not where to end.
+    """
     n = rows.width + rows.extra.shape[1] + 1
-    w = look = np.zeros(n)
-    speed, size = 1.0, 8.0
+    w = np.zeros(n)
+    if not len(y) or y.min() == y.max():  # nothing is known of the category, or one answer only: no finite optimum
+        w[-1] = 40 if len(y) and y[0] else -40
+        return w
     penalty = np.full(n, strength)
     penalty[-1] = 0
+    if start is not None:
+        w = start.copy()
+    active, last = np.append(np.flatnonzero(w[:-1]), n - 1), TOLERANCE * strength
+    near = strength
+    while True:
+        w[active] = _newton(rows.dense(active), y, penalty[active], w[active], near)
+        over = np.abs(rows.gradient(_sigmoid(rows.margins(w)) - y)) - penalty
+        over[active] = 0
+        worst = np.argsort(-over, kind="stable")[:TAKEN]
+        worst = worst[over[worst] > max(last, near / 2)]
+        if not len(worst) and near <= last:
+            return w
+        near = max(last, near / 5) if not len(worst) else near
+        active = np.concatenate([active, worst])
+
+
+def _newton(x: np.ndarray, y: np.ndarray, penalty: np.ndarray, w: np.ndarray, tolerance: float) -> np.ndarray:
+    """The weights of few dense columns by proximal Newton steps, each found by coordinate descent."""
 
     def loss(w: np.ndarray) -> float:
-        z = rows.margins(w)
-        return float(np.mean(np.logaddexp(0, z) - y * z))
-
-    if not len(y):  # nothing is known of the category
-        w[-1] = -40
-        return w
-    for _ in range(ROUNDS):
-        here, slope = loss(look), rows.gradient(_sigmoid(rows.margins(look)) - y)
-        while True:
-            moved = look - size * slope
-            new = np.sign(moved) * np.maximum(np.abs(moved) - size * penalty, 0)
-            step = new - look
-            if size < 1e-6 or loss(new) <= here + slope @ step + step @ step / (2 * size) + 1e-12:
+        z = x @ w
+        return float(np.mean(np.logaddexp(0, z) - y * z) + penalty @ np.abs(w))
+
+    while True:
+        p = _sigmoid(x @ w)
+        slope = x.T @ (p - y) / len(y)
+        off = np.where(w == 0, np.maximum(np.abs(slope) - penalty, 0), np.abs(slope + penalty * np.sign(w)))
+        if off.max() <= tolerance:
+            return w
+        curve = (x.T * np.maximum(p * (1 - p), 1e-6)) @ x / len(y)
+        curve[np.diag_indices_from(curve)] += 1e-9
+        new, bent = w.copy(), slope.copy()  # bent: the slope of the quadratic model at `new`
+        near = max(tolerance / 10, off.max() / 10)  # a step need not be exact; the loop around it goes on until the weights are
+        turn = np.arange(len(w))
+        for _ in range(100):
+            most = 0.0
+            for j in turn.tolist():
+                a = curve[j, j]
+                at = new[j] - bent[j] / a
+                at = np.sign(at) * max(abs(at) - penalty[j] / a, 0)
+                if at != new[j]:
+                    bent += (at - new[j]) * curve[j]
+                    most, new[j] = max(most, a * abs(at - new[j])), at
+            if most <= near and len(turn) == len(w):
                 break
-            size /= 2
-        after = (1 + np.sqrt(1 + 4 * speed * speed)) / 2
-        look, w, speed = new + (speed - 1) / after * (new - w), new, after
-    return w
+            turn = np.arange(len(w)) if most <= near else np.flatnonzero(new)
+        step, here = new - w, loss(w)
+        gain, part = slope @ step + penalty @ (np.abs(new) - np.abs(w)), 1.0
+        while part > 1e-9 and loss(w + part * step) > here + 0.1 * part * gain + 1e-15:
+            part /= 2
+        if part <= 1e-9:  # no better weights within the precision of numbers
+            return w
+        w = new if part == 1 else w + part * step
 
 
 def _chain(rows: Rows, labels: np.ndarray, fold: np.ndarray) -> list[np.ndarray]:
@@ -179,11 +237,6 @@ def build(words: pa.ListArray, labels: np.ndarray, categories: list[str]) -> Cha
     names = flat.dictionary.to_pylist()
     index = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     lengths = np.diff(words.offsets.to_numpy()).astype(np.int64)
-    row = np.repeat(np.arange(len(lengths)), lengths)
-    often = np.bincount(index, minlength=len(names)) >= LEAST_ROWS
-    use = often[index]
-    index, lengths = (np.cumsum(often) - 1)[index[use]], np.bincount(row[use], minlength=len(lengths)).astype(np.int64)
-    names = [w for w, keep in zip(names, often) if keep]
     n = len(names)
     models = _chain(Rows(index, lengths, n, np.zeros((len(lengths), 0))), labels, np.arange(len(lengths)) % FOLDS)
     return Chain(categories, [({names[i]: float(w[i]) for i in np.flatnonzero(w[:n])}, w[n:-1].tolist(), float(w[-1])) for w in models])

@@ -6,6 +6,8 @@ import random
 import re
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -201,6 +203,28 @@ def test_toxicity_on_held_out_labels(spark):
     assert len(got) > 900 and sum(clean) <= 0.005 * len(clean) and sum(toxic) >= 0.8 * len(toxic)
 
 
+def test_rare_marks_are_learned():
+    rng = random.Random(4)
+    docs = [[f"w{rng.randrange(40)}" for _ in range(12)] + ([f"mark{i % 5}"] if i < 20 else []) for i in range(400)]
+    labels = np.array([[rng.randrange(2), int(i < 20)] for i in range(400)])
+    chain = toxicity.build(pa.array([sorted(set(d)) for d in docs], pa.list_(pa.string())), labels, ["quality", "toxic"])
+    rejected = [chain.probabilities(" ".join(d).encode())[1] > toxicity.THRESHOLD for d in docs]
+    assert rejected == [i < 20 for i in range(400)]  # each mark stands in 4 rows
+
+
+def test_fit_converges():
+    rng = np.random.default_rng(6)
+    x = rng.random((300, 60)) < 0.1
+    x[:, 30:] = x[:, :30]  # repeated columns
+    y = (x[:, :3].sum(1) + rng.normal(0, 0.4, 300) > 0.7).astype(float)
+    rows = toxicity.Rows(np.nonzero(x)[1], x.sum(1), 60, rng.random((300, 1)))
+    for strength in (5e-2, 5e-3, 2e-4):
+        w = toxicity._lasso(rows, y, strength)
+        slope, pull = rows.gradient(toxicity._sigmoid(rows.margins(w)) - y), strength * (np.arange(62) < 61)
+        off = np.where(w == 0, np.maximum(np.abs(slope) - pull, 0), np.abs(slope + pull * np.sign(w)))
+        assert off.max() <= 1.01 * toxicity.TOLERANCE * strength
+
+
 def test_toxicity_odd_rows(spark, odd):
     labels = spark.createDataFrame([(1, 1, 0), (4, None, 1), (None, 1, 1), (7, 0, None), (7, 1, 1)], "doc_id long, quality int, toxic int")
     got = toxicity.toxicity(odd, labels)
