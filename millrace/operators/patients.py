@@ -44,33 +44,62 @@ def current_patients(
     upto = max(_numbers(spark, f"{path}/{SNAPSHOTS}", "upto", done=True), default=None)
     if upto is None:
         return latest_by_key(spark.read.format(fmt).load(path), "patient_id", order)
+    return _state(spark, path, upto, [n for n in _numbers(spark, path, "batch_id") if n > upto], order, fmt)
+
+
+def _state(spark: SparkSession, path: str, upto: int | None, later: list[int], order: Sequence[str], fmt: str) -> DataFrame:
+    """A snapshot, if there is one, and these batches."""
+    tail = spark.read.format(fmt).option("basePath", path).load([f"{path}/batch_id={n}" for n in later]) if later else None
+    if upto is None:
+        return latest_by_key(tail, "patient_id", order)
     found = spark.read.parquet(f"{path}/{SNAPSHOTS}/upto={upto}")
-    later = [f"{path}/batch_id={n}" for n in _numbers(spark, path, "batch_id") if n > upto]
-    if later:
-        tail = spark.read.format(fmt).option("basePath", path).load(later)
+    if tail is not None:
         found = found.unionByName(tail, allowMissingColumns=True)
     return latest_by_key(found, "patient_id", order)
 
 
-def _numbers(spark: SparkSession, path: str, name: str, done: bool = False) -> list[int]:
+def _numbers(spark: SparkSession, path: str, name: str, done: bool = False, mark: str = "_SUCCESS") -> list[int]:
     """n of the folders `<name>=<n>`; with `done`, of those that were written to the end."""
-    fs, pattern = hadoop(spark, f"{path}/{name}=*" + ("/_SUCCESS" if done else ""))
-    folders = [s.getPath().getParent() if done else s.getPath() for s in fs.globStatus(pattern) or ()]
-    return sorted(int(f.getName().split("=")[1]) for f in folders)
+    fs, pattern = hadoop(spark, f"{path}/{name}=*" + (f"/{mark}" if done else ""))
+    depth = mark.count("/") + 1 if done else 0
+    out = set()
+    for status in fs.globStatus(pattern) or ():
+        folder = status.getPath()
+        for _ in range(depth):
+            folder = folder.getParent()
+        out.add(int(folder.getName().split("=")[1]))
+    return sorted(out)
+
+
+def _committed(spark: SparkSession, checkpoint: str) -> int:
+    """The last batch that the stream of this checkpoint will not run again; -1 if there is none."""
+    fs, pattern = hadoop(spark, f"{checkpoint}/commits/*")
+    names = [s.getPath().getName() for s in fs.globStatus(pattern) or ()]
+    return max((int(n) for n in names if n.isdigit()), default=-1)
 
 
 def compact_patients(
-    spark: SparkSession, path: str, order: Sequence[str] = ("batch_id", "sequence"), fmt: str = "parquet"
+    spark: SparkSession, path: str, order: Sequence[str] = ("batch_id", "sequence"), fmt: str = "parquet", checkpoint: str | None = None
 ) -> int | None:
-    """Write a snapshot of all batches so far, so that lookups need not regroup them; returns the last batch in it.
+    """Write a snapshot of the batches so far, so that lookups need not regroup them; returns the last batch in it.
 
-    A batch that is written again after it went into a snapshot is not looked at: compact when its stream
-    has moved on. Batches and older snapshots stay for those who read them; `drop_compacted` deletes them.
+    It ends before the first batch whose write is in progress or was cut off. A finished batch can still be replayed
+    until its stream has committed it: give the stream's `checkpoint`, and the snapshot ends with the last committed
+    batch. Without it the caller says that no finished batch will change, as a batch that is written
+    again after it went into a snapshot is not looked at. Batches and older snapshots stay for those who read them;
+    `drop_compacted` deletes them.
     """
-    upto = max(_numbers(spark, path, "batch_id"), default=None)
-    if upto is not None and upto > max(_numbers(spark, f"{path}/{SNAPSHOTS}", "upto", done=True), default=-1):
-        current_patients(spark, path, order, fmt).write.mode("overwrite").parquet(f"{path}/{SNAPSHOTS}/upto={upto}")
-    return upto
+    last = max(_numbers(spark, f"{path}/{SNAPSHOTS}", "upto", done=True), default=None)
+    done = set(_numbers(spark, path, "batch_id", done=True, mark="_delta_log/*.json" if fmt == "delta" else "_SUCCESS"))
+    later = [n for n in _numbers(spark, path, "batch_id") if last is None or n > last]
+    if checkpoint is not None:
+        safe = _committed(spark, checkpoint)
+        later = [n for n in later if n <= safe]
+    later = later[: next((i for i, n in enumerate(later) if n not in done), len(later))]
+    if not later:
+        return last
+    _state(spark, path, last, later, order, fmt).write.mode("overwrite").parquet(f"{path}/{SNAPSHOTS}/upto={later[-1]}")
+    return later[-1]
 
 
 def drop_compacted(spark: SparkSession, path: str) -> None:

@@ -76,6 +76,37 @@ def test_patient_store_reads_newest_whole_snapshot_and_later_batches(spark, tmp_
     assert {r.patient_id: r.name for r in patients.current_patients(spark, store).collect()} == expected
 
 
+def test_patient_store_compacts_only_what_cannot_change(spark, tmp_path):
+    from millrace.operators import patients
+
+    store, checkpoint = str(tmp_path / "patients"), tmp_path / "checkpoint"
+
+    def put(batch, *rows):
+        patients.append_versions(spark.createDataFrame(rows, "patient_id string, name string, sequence int"), store, batch)
+
+    def names():
+        return {r.patient_id: r.name for r in patients.current_patients(spark, store).collect()}
+
+    put(0, ("a", "zero", 1))
+    put(1, ("a", "one", 1))
+    os.makedirs(f"{store}/batch_id=2/_temporary")  # in progress
+    put(3, ("d", "three", 1))
+    assert patients.compact_patients(spark, store) == 1
+    patients.drop_compacted(spark, store)
+    assert patients.compact_patients(spark, store) == 1
+    put(2, ("b", "two", 1))  # its replay
+    assert names() == {"a": "one", "b": "two", "d": "three"}
+    (checkpoint / "commits").mkdir(parents=True)
+    assert patients.compact_patients(spark, store, checkpoint=str(checkpoint)) == 1
+    for n in range(3):
+        (checkpoint / "commits" / str(n)).write_text("v1\n{}")
+    assert patients.compact_patients(spark, store, checkpoint=str(checkpoint)) == 2
+    patients.drop_compacted(spark, store)
+    put(3, ("c", "replayed", 1))  # not committed, so it may come again with other rows
+    assert names() == {"a": "one", "b": "two", "c": "replayed"}
+    assert patients.compact_patients(spark, store) == 3
+
+
 def test_grouped_and_text_models_come_back_from_their_folder(spark, tmp_path):
     from millrace.operators import encoding, impute, scaling
     from millrace.operators.fitted import Fitted
