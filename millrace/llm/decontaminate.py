@@ -48,11 +48,13 @@ class Searcher:
         self.m = m = min(map(len, patterns))
         self.block = b = 8 if m >= 16 else max(2, m // 2)
         self.mask = np.uint64((1 << 8 * b) - 1)
-        shift = np.full(1 << TABLE_BITS, m - b + 1, np.uint8 if m < 250 else np.uint16)
+        kind = np.uint8 if m < 250 else np.uint16
+        most = min(m - b + 1, np.iinfo(kind).max)  # a smaller shift than could be made misses nothing
+        shift = np.full(1 << TABLE_BITS, most, kind)
         self.buckets: dict[bytes, dict[bytes, list[bytes]]] = {}
         for p in patterns:
             blocks = np.array([int.from_bytes(p[i : i + b], "little") for i in range(m - b + 1)], np.uint64)
-            np.minimum.at(shift, self.slot(blocks), np.arange(m - b, -1, -1).astype(shift.dtype))
+            np.minimum.at(shift, self.slot(blocks), np.minimum(np.arange(m - b, -1, -1), most).astype(kind))
             self.buckets.setdefault(p[m - b : m], {}).setdefault(p[:m], []).append(p)
         self.shift = shift
 

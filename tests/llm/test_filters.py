@@ -84,6 +84,14 @@ def test_decontamination_short_items_and_shards(spark, odd, shard, monkeypatch):
     assert decontaminate.contamination(odd.limit(0), df).count() == 0
 
 
+def test_decontamination_very_long_word(spark):
+    blob = "x" + "ab1" * 23_333
+    docs = spark.createDataFrame([(1, f"see {blob} here"), (2, f"{blob} {blob[:-1]}c"), (3, blob + "d"), (4, f"a {blob[:40_000]} {blob} b")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, blob)], "item_id long, text string")
+    got = rows(decontaminate.contamination(docs, items).select("doc_id", "n_words", "n_hit", "contaminated"))
+    assert len(blob) == 70_000 and got == [(1, 3, 1, True), (2, 2, 1, True), (3, 1, 0, False), (4, 4, 1, True)]
+
+
 def test_searcher_random():
     rng = random.Random(5)
     for _ in range(60):
