@@ -3,7 +3,7 @@
 import os
 
 import pytest
-from test_filters import contaminated, keep, linked, read
+from test_filters import contaminated, keep, linked, read, words
 
 import corpus_pipeline
 
@@ -36,3 +36,29 @@ def test_stages(spark, tmp_path):
         if name != "mixing":
             assert docs.columns == columns
     assert {r.doc_id for r in corpus_pipeline.run(spark, FOLDER).collect()} == after
+
+
+def test_stages_decide_every_row(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    items = read("benchmark")
+    grams = {tuple(w[i : i + 13]) for w in (words(t) for _, t in items) for i in range(max(1, len(w) - 12))}
+    sizes = {len(g) for g in grams}
+
+    def touched(text):
+        doc = words(text)
+        return any(tuple(doc[i : i + n]) in grams for n in sizes for i in range(len(doc) - n + 1))
+
+    want = {r.doc_id for r in docs.collect() if not (touched(r.text) and contaminated(r.text, items)[4])}
+    assert {r.doc_id for r in corpus_pipeline.decontamination(spark, docs, FOLDER).collect()} == want
+
+
+def test_toxicity_stage_on_held_out_labels(spark, tmp_path):
+    folder = FOLDER.replace("0.001", "0.1")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    labels.where("doc_id % 4 != 0").write.parquet(str(tmp_path / "labels.parquet"))
+    held = spark.read.parquet(f"{folder}/documents.parquet").join(labels.where("doc_id % 4 = 0").select("doc_id", "toxic"), "doc_id")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").join(labels.select("doc_id"), "doc_id", "left_semi")
+    after = {r.doc_id for r in corpus_pipeline.toxicity(spark, docs, str(tmp_path)).select("doc_id").collect()}
+    rows = held.select("doc_id", "toxic").collect()
+    clean, toxic = ([r.doc_id in after for r in rows if r.toxic == k] for k in (0, 1))
+    assert sum(clean) >= 0.995 * len(clean) and sum(toxic) <= 0.1 * len(toxic)
