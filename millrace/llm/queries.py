@@ -11,8 +11,10 @@ from millrace.llm.chat import format_chats, learned_text, read_back
 from millrace.llm.decontaminate import contamination
 from millrace.llm.exact import exact_groups
 from millrace.llm.html import extract_text
+from millrace.llm.middle import fim_digests
 from millrace.llm.mixing import mix_sources
 from millrace.llm.ngram import language_scores
+from millrace.llm.periods import run_digests, with_periodic_tails
 from millrace.llm.simhash import simhash_groups
 from millrace.llm.substrings import repeat_digests
 from millrace.llm.tokens import token_counts
@@ -151,3 +153,51 @@ def op1_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op4_main_text(spark: SparkSession, sf: str) -> DataFrame:
     return extract_text(table(spark, sf, "pages"))
+
+
+@query(
+    r"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents),
+    u AS (SELECT *, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS u, ('0x' || x[1:8])::BIGINT AS h1, ('0x' || x[9:16])::BIGINT AS h2, ('0x' || x[17:24])::BIGINT AS h3, ('0x' || x[25:32])::BIGINT AS h4 FROM d),
+    c AS (SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b FROM u),
+    f AS (SELECT *, CASE WHEN t = '' OR t LIKE '%<P>%' OR t LIKE '%<S>%' OR t LIKE '%<M>%' OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+                 array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:n], '') AS s FROM c)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+    FROM f
+    """
+)
+def op11_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    return fim_digests(table(spark, sf, "documents"))
+
+
+#: crc32 of the id's decimal digits, bit by bit.
+_CRC = "xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(len(k)), lambda i: ascii(k[i + 1]))), lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, j: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))))"
+
+
+@query(
+    rf"""
+    WITH k AS (SELECT doc_id, coalesce(doc_id::VARCHAR, '') AS k, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS v FROM documents),
+    h AS (SELECT doc_id, row_number() OVER () AS r, v, len(v) AS n, ({_CRC})::BIGINT AS h FROM k),
+    a AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n END AS a FROM h),
+    p AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM a),
+    w AS (SELECT doc_id, r, n, CASE WHEN a IS NULL THEN v ELSE list_transform(range(n), lambda i: v[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS w FROM p),
+    q AS (SELECT r, n, w, unnest(range(1, n // 4 + 1)) AS q FROM w WHERE n >= 6),
+    g AS (SELECT r, q, any_value(w) AS w, any_value(n) AS n FROM (SELECT r, q, w, n, unnest(range(0, n - 3 * q, q)) AS i FROM q WHERE len(list_filter(range(0, n - 3 * q, q), lambda i: w[i + 1] = w[i + q + 1] AND w[i + 1] = w[i + 2 * q + 1] AND w[i + 1] = w[i + 3 * q + 1])) > 0)
+          GROUP BY r, q),
+    e AS (SELECT r, q, n, unnest(list_filter(range(0, n - q), lambda i: w[i + 1] = w[i + q + 1])) AS i FROM g),
+    s AS (SELECT r, q, min(i) AS start, max(i) + q + 1 - min(i) AS length FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM e) GROUP BY r, q, island),
+    t AS (SELECT r, start, length, min(q) AS period FROM s WHERE length >= greatest(6, 4 * q) GROUP BY r, start, length),
+    l AS (SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS said,
+                 list(struct_pack(l := -length, s := start, p := period) ORDER BY -length, start, period)[1] AS best FROM t GROUP BY r),
+    x AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM t),
+    o AS (SELECT r, list(i) AS dropped FROM x GROUP BY r),
+    y AS (SELECT w.r, array_to_string(CASE WHEN dropped IS NULL THEN w ELSE list_transform(list_filter(range(n), lambda i: NOT list_contains(dropped, i)), lambda i: w[i + 1]) END, ' ') AS kept FROM w LEFT JOIN o USING (r))
+    SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, -best.l AS length, best.p AS period, floor(1000 * -best.l / best.p)::BIGINT AS exponent_milli,
+           sha256(coalesce(said, '')) AS runs_sha256, sha256(kept) AS collapsed_sha256
+    FROM w LEFT JOIN l USING (r) JOIN y USING (r)
+    """
+)
+def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    return run_digests(with_periodic_tails(table(spark, sf, "documents")))
