@@ -15,6 +15,7 @@ from millrace.llm.middle import fim_digests
 from millrace.llm.mixing import mix_sources
 from millrace.llm.ngram import language_scores
 from millrace.llm.periods import run_digests, with_periodic_tails
+from millrace.llm.privacy import private_digests
 from millrace.llm.simhash import simhash_groups
 from millrace.llm.substrings import repeat_digests
 from millrace.llm.tokens import token_counts
@@ -201,3 +202,8 @@ _CRC = "xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(rang
 )
 def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
     return run_digests(with_periodic_tails(table(spark, sf, "documents")))
+
+
+@query()
+def op13_private_data(spark: SparkSession, sf: str) -> DataFrame:
+    return private_digests(table(spark, sf, "documents"))
