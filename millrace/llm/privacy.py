@@ -6,8 +6,9 @@ says which other terms give an entity away: over passages (up to `passage` conse
     IC(c) = -log2 p(c)      PMI(c; t) = log2 p(c, t) / (p(c) p(t))
 
 and a term t (one or two words) discloses c where PMI(c; t) >= threshold * IC(c): seeing t then tells nearly as much as
-seeing c. Only what recurs is evidence: entity and term must stand together in passages that are not near copies of one
-another (five-word shingles, eight minima). Disclosing terms become spans wherever they stand in the corpus; they are
+seeing c. Only what recurs is evidence: entity and term must stand together in passages of different documents that do not
+copy one another (neither the passages nor the documents share one of 16 minima over three-word shingles, so that far
+edited copies are known too). Disclosing terms become spans wherever they stand in the corpus; they are
 removed where PMI >= remove * IC, else generalised to a class of form.
 """
 
@@ -42,8 +43,10 @@ PAIR = "\x02"
 CHUNK = 256
 #: Characters of a text cut out of at once.
 BLOCK = 4096
-SHINGLE, MINIMA = 5, 8
-#: Classes with more than one in so many passages are joined by broadcast; there are fewer than 9 * HOT_PARTS.
+SHINGLE, MINIMA = 3, 16
+#: Terms looked for by broadcast; beyond it the join is Spark's to plan.
+BROADCAST_TERMS = 4_000_000
+#: Classes with more than one in so many mentions are joined by broadcast; there are fewer than 32 * HOT_PARTS.
 HOT_PARTS = 1000
 SPAN = "array<struct<kind: string, start: bigint, end: bigint>>"
 
@@ -143,10 +146,12 @@ def _items(fenced: Column) -> Column:
     return F.when(fenced.contains(FENCE), F.transform(F.regexp_extract_all(fenced, F.lit(_TOKEN), 0), _item)).otherwise(words)
 
 
-def _passages(texts: DataFrame, passage: int) -> DataFrame:
-    """(doc, items): stretches of at most `passage` entities and words; `doc` is the digest of the whole text."""
+def _passages(texts: DataFrame, passage: int, private: bool = False) -> DataFrame:
+    """(doc, items): stretches of at most `passage` entities and words, with `private` of the texts that hold an entity;
+    `doc` is the digest of the whole text."""
     rows = texts.withColumn("fenced", _fenced(F.col("text")))
     rows = rows.select(F.sha2("text", 256).alias("doc"), _items(F.col("fenced")).alias("all")).where(F.size("all") > 0)
+    rows = rows.where(F.exists("all", lambda x: _is_fenced(x))) if private else rows
     cut = lambda x: F.transform(F.sequence(F.lit(0), F.size(x) - 1, F.lit(passage)), lambda i: F.slice(x, i + 1, passage))
     return rows.select("doc", F.explode(_let(F.col("all"), cut)).alias("items"))
 
@@ -182,8 +187,7 @@ def _number(term: str) -> Column:
 
 
 def _minima(passages: DataFrame) -> DataFrame:
-    """(key, k, low): for each of eight hashes the least over a passage's shingles, entities masked; k = 8 is the document.
-    What near copies or one document say twice is no second witness."""
+    """(doc, key, k, low): for each of 16 hashes the least over a passage's shingles, entities masked."""
 
     def lows(w: Column) -> Column:
         places = F.sequence(F.lit(1), F.greatest(F.size(w) - SHINGLE + 1, F.lit(1)))
@@ -194,64 +198,78 @@ def _minima(passages: DataFrame) -> DataFrame:
         return F.concat(*[_let(d, least) for d in digests])
 
     masked = F.transform("items", lambda x: F.when(_is_fenced(x), FENCE).otherwise(x))
-    return passages.select("key", F.posexplode(F.concat(_let(masked, lows), F.array("doc"))).alias("k", "low"))
+    return passages.select("doc", "key", F.posexplode(_let(masked, lows)).alias("k", "low"))
 
 
 def _spread_labels(minima: DataFrame, labels: DataFrame, total: int) -> DataFrame:
-    """(key, label): the least label of all passages that share a minimum with a passage."""
-    rows = minima.join(labels, "key")
-    classes = materialize(rows.groupBy("k", "low").agg(F.min("label").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1"), "privacy-classes")
+    """(entity, key, label): of an entity's passages, the least label of all that share a minimum with one."""
+    same = ["entity", "k", "low"]
+    rows = minima.join(labels, ["entity", "key"])
+    classes = materialize(rows.groupBy(*same).agg(F.min("label").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1"), "privacy-classes")
     hot = F.col("n") * HOT_PARTS > total
-    near = rows.join(F.broadcast(classes.where(hot)), ["k", "low"]).select("key", "least")
-    cold = rows.join(F.broadcast(classes.where(hot).select("k", "low")), ["k", "low"], "left_anti").join(classes.where(~hot), ["k", "low"]).select("key", "least")
-    found = near.unionByName(cold).unionByName(labels.withColumnRenamed("label", "least"))
-    return found.groupBy("key").agg(F.min("least").alias("label"))
-
-
-def _classes(passages: DataFrame) -> DataFrame:
-    """(key, label): near copies share a label, and passages of one document."""
-    minima = materialize(_minima(passages), "privacy-minima")
-    labels = minima.where("k = 0").select("key", F.col("key").alias("label"))
-    total = labels.count()
+    near = rows.join(F.broadcast(classes.where(hot)), same)
+    cold = rows.join(F.broadcast(classes.where(hot).select(*same)), same, "left_anti").join(classes.where(~hot), same)
+    found = near.select("entity", "key", "least").unionByName(cold.select("entity", "key", "least")).unionByName(labels.withColumnRenamed("label", "least"))
+    return found.groupBy("entity", "key").agg(F.min("least").alias("label"))
+
+
+def _witnesses(mentions: DataFrame, parts: DataFrame) -> DataFrame:
+    """(entity, key, label): passages that copy one another, or stand in documents that do, share a label: they are one witness."""
+    pairs = mentions.select("entity", "key", "doc")
+    low = materialize(_minima(parts.join(pairs.select("doc").distinct(), "doc", "left_semi")), "privacy-lows")
+    whole = low.groupBy("doc", (F.col("k") + MINIMA).alias("k")).agg(F.min("low").alias("low"))
+    minima = pairs.drop("doc").join(low.drop("doc"), "key").unionByName(pairs.join(whole, "doc").drop("doc"))
+    minima = materialize(minima, "privacy-minima")
+    labels, total = pairs.select("entity", "key", F.col("key").alias("label")), pairs.count()
     for _ in range(2):
         labels = materialize(_spread_labels(minima, labels, total), "privacy-labels")
     return labels
 
 
-def _told(texts: DataFrame, threshold: float, passage: int) -> DataFrame:
-    """`disclosing_terms` of the column `text`; a pair's words stand on both sides of PAIR."""
-    private = _passages(texts.where(F.col("text").rlike(_ANY)), passage).where(F.exists("items", lambda x: _is_fenced(x)))
-    private = private.withColumn("key", F.sha2(F.array_join("items", " "), 256)).groupBy("key")
-    private = materialize(private.agg(F.first("items").alias("items"), F.min("doc").alias("doc"), F.count(F.lit(1)).alias("copies")), "privacy-passages")
-    mentions = private.select("key", "copies", F.explode(F.array_distinct(F.filter("items", _is_fenced))).alias("entity"))
+def _share(total: float, n_term: str) -> Column:
+    """PMI / IC; null for an entity that stands everywhere."""
+    ic = F.log2(total / F.col("n_entity"))
+    return F.log2(total * F.col("n_both") / (F.col("n_entity") * F.col(n_term))) / F.when(ic > 0, ic)
+
+
+def _told(texts: DataFrame, threshold: float, passage: int) -> tuple[DataFrame, DataFrame]:
+    """`disclosing_terms` of the column `text`, a pair's words on both sides of PAIR, and (doc) of the texts that hold any."""
+    parts = _passages(texts.where(F.col("text").rlike(_ANY)), passage, private=True)
+    parts = parts.withColumn("key", F.sha2(F.concat("doc", F.array_join("items", " ")), 256)).groupBy("key")
+    parts = materialize(parts.agg(F.first("items").alias("items"), F.first("doc").alias("doc"), F.count(F.lit(1)).alias("copies")), "privacy-passages")
+    private = parts.where(F.exists("items", lambda x: _is_fenced(x)))
+    mentions = private.select("key", "doc", "copies", F.explode(F.array_distinct(F.filter("items", _is_fenced))).alias("entity"))
     # Entities in several passages first, then in several that are no near copies.
     often = mentions.groupBy("entity").agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("n_entity")).where("n > 1").drop("n")
     mentions = materialize(mentions.join(often, "entity"), "privacy-mentions")
-    involved = private.join(mentions.select("key").distinct(), "key", "left_semi")
-    labelled = materialize(mentions.join(_classes(involved), "key"), "privacy-labelled")
+    labelled = materialize(mentions.join(_witnesses(mentions, parts), ["entity", "key"]), "privacy-labelled")
     apart = F.min("label") != F.max("label")
     live = labelled.groupBy("entity").agg(apart.alias("apart")).where("apart").select("entity")
-    held = labelled.join(live, "entity").groupBy("key", "label").agg(F.collect_set(F.struct("entity", "n_entity")).alias("held"))
-    together = held.join(private, "key").select("label", "copies", F.explode("held").alias("h"), "items")
-    together = together.select("label", "copies", "h.*", F.explode(_as_text("items")).alias("term"))
+    held = labelled.join(live, "entity").groupBy("key").agg(F.collect_set(F.struct("entity", "n_entity", "label")).alias("held"))
+    together = held.join(private, "key").select("copies", F.explode("held").alias("h"), "items")
+    together = together.select("copies", "h.*", F.explode(_as_text("items")).alias("term"))
     both = together.groupBy("entity", "n_entity", "term").agg(F.sum("copies").alias("n_both"), apart.alias("apart")).where("apart").drop("apart")
     both = materialize(both.withColumn("number", _number("term")), "privacy-both")
+    # Terms that are too frequent in these passages alone, were there as many passages as the texts' lengths allow, need no count.
+    at_most = texts.agg(F.sum(1 + F.length("text") / passage)).first()[0] or 0
+    seen = private.select("copies", F.explode(_as_number("items")).alias("number")).join(both.select("number").distinct(), "number")
+    both = both.join(seen.groupBy("number").agg(F.sum("copies").alias("n_seen")), "number")
+    both = materialize(both.where(_share(float(at_most), "n_seen") >= threshold).drop("n_seen"), "privacy-rare")
     # A number of its own counts the passages.
-    wanted = both.select("number").unionByName(texts.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("number"))).distinct()
-    terms = _passages(texts, passage).select(F.explode(F.array_append(_as_number("items"), F.lit(0).cast("bigint"))).alias("number"))
-    if both.isEmpty():  # nothing to count
-        terms = terms.limit(0)
-    counts = materialize(terms.join(wanted, "number").groupBy("number").agg(F.count(F.lit(1)).alias("n_term")), "privacy-counts")
-    total = float(counts.where("number = 0").agg(F.max("n_term")).first()[0] or 0)
-    ic = F.log2(total / F.col("n_entity"))
-    pmi = F.log2(total * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))
-    told = materialize(both.join(counts, "number").withColumn("share", pmi / F.when(ic > 0, ic)).where(F.col("share") >= threshold), "privacy-disclosing")
+    every = F.lit(0).cast("bigint")
+    wanted = materialize(both.select("number").unionByName(texts.sparkSession.range(1).select(every.alias("number"))).distinct(), "privacy-wanted")
+    hits = _passages(texts, passage).select("doc", F.explode(F.array_append(_as_number("items"), every)).alias("number"))
+    hits = materialize(hits.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_TERMS else wanted, "number"), "privacy-hits")
+    counts = hits.groupBy("number").agg(F.count(F.lit(1)).alias("n_term"))
+    total = float(hits.where("number = 0").count())
+    told = materialize(both.join(counts, "number").withColumn("share", _share(total, "n_term")).where(F.col("share") >= threshold), "privacy-disclosing")
     pair = F.col("term").contains(PAIR)
     single = told.where(~pair).select("entity", F.col("term").alias("word"))
     rest = told.where(pair)
     for k in (1, -1):
         rest = rest.withColumn("word", F.element_at(F.split("term", PAIR), k)).join(single, ["entity", "word"], "left_anti")
-    return told.where(~pair).unionByName(rest.select(*told.columns))
+    told = materialize(told.where(~pair).unionByName(rest.select(*told.columns)), "privacy-told")
+    return told, hits.join(told.select("number").distinct(), "number", "left_semi").select("doc").distinct()
 
 
 def disclosing_terms(docs: DataFrame, text: str = "text", threshold: float = 0.75, passage: int = 1000) -> DataFrame:
@@ -263,13 +281,11 @@ def disclosing_terms(docs: DataFrame, text: str = "text", threshold: float = 0.7
     """
     texts = docs.select(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     shown = {"entity": F.translate("entity", FENCE, ""), "term": F.translate("term", PAIR, " ")}
-    return _told(texts, threshold, passage).withColumns(shown).select("entity", "term", "n_both", "n_entity", "n_term", "share")
+    return _told(texts, threshold, passage)[0].withColumns(shown).select("entity", "term", "n_both", "n_entity", "n_term", "share")
 
 
-def _term_spans(texts: DataFrame, terms: DataFrame, passage: int) -> DataFrame:
-    """(doc, terms): for each text that holds disclosing terms, their spans with the greatest share."""
-    hit = _passages(texts, passage).select("doc", F.explode(_as_number("items")).alias("number")).join(terms.select("number").distinct(), "number")
-    hit = materialize(hit.select("doc").distinct(), "privacy-hits")
+def _term_spans(texts: DataFrame, terms: DataFrame, hit: DataFrame) -> DataFrame:
+    """(doc, terms): for each of the texts that hold disclosing terms, their spans with the greatest share."""
     rows = texts.withColumn("doc", F.sha2("text", 256)).join(hit, "doc", "left_semi")
     rows = rows.groupBy("doc").agg(F.first("text").alias("text")).withColumn("fenced", _fenced(F.col("text")))
     rows = _with_places(rows, "fenced", _TOKEN, "tokens", lambda m: F.length(m) - F.when(_is_fenced(m), 2).otherwise(0), F.lit(True))
@@ -293,12 +309,11 @@ def private_spans(docs: DataFrame, id: str = "doc_id", text: str = "text", thres
     """
     rows = docs.select(F.col(f"`{id}`").cast("bigint").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     texts = rows.select("text")
-    terms = materialize(_told(texts, threshold, passage).groupBy("term", "number").agg(F.max("share").alias("share")), "privacy-terms")
-    spans = None if terms.isEmpty() else materialize(_term_spans(texts, terms, passage), "privacy-term-spans")
+    told, hit = _told(texts, threshold, passage)
+    terms = told.groupBy("term").agg(F.max("share").alias("share"))
+    spans = materialize(_term_spans(texts, terms, hit), "privacy-term-spans")
     found = base_spans(rows.withColumn("doc", F.sha2("text", 256))).drop("text")
     none = F.array().cast(SPAN)
-    if spans is None:
-        return found.select("doc_id", *PATTERNS, none.alias("terms"))
     kind = lambda s: F.when(s["share"] >= remove, "removed").otherwise("generalised")
     said = F.transform("terms", lambda s: F.struct(kind(s).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     return found.join(spans, "doc", "left").select("doc_id", *PATTERNS, F.coalesce(said, none).alias("terms"))
