@@ -24,12 +24,11 @@ from millrace.plans.scratch import materialize
 _LOCAL, _HOST = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
 _EMAIL = rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@{_HOST}++(?:\.{_HOST}++)++"
 _IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
-_DIGITS = r"[0-9](?:[ -]?+[0-9])++"
 _PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 #: Of all digit chains those of 16 to 19 digits.
 _CARD = r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?+[0-9]){15,18}+(?![ -]?[0-9])"
 PATTERNS = {"email": _EMAIL, "ip": _IP, "card": _CARD, "phone": _PHONE}
-_NUMBER = rf"(?=[0-9+])(?:{_IP}|{_DIGITS}|{_PHONE})"
+_NUMBER = rf"(?=[0-9+])(?:{_IP}|{_CARD}|{_PHONE})"
 _ANY = f"{_EMAIL}|{_NUMBER}"
 _BYTE = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 _IP_VALID = rf"^{_BYTE}\.{_BYTE}\.{_BYTE}\.{_BYTE}$"
