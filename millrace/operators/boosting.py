@@ -1,9 +1,8 @@
-"""Gradient-boosted risk classification: one binary booster per class."""
+"""Gradient-boosted risk classification: a binary booster for two classes, one softmax model for more."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import col, decode, feature_columns
 from millrace.operators.attributions import Leaf, read_leaves
 from millrace.operators.metrics import classification_report, roc_auc, roc_auc_macro
+from millrace.operators.softmax import SoftmaxModel, fit_softmax, with_margins
 from millrace.operators.split import stratified_split
 from millrace.plans.scratch import materialize
 
@@ -26,14 +26,16 @@ CLASS_LIMIT = 100
 
 @dataclass(frozen=True)
 class RiskModel:
-    """`boosters` maps a class to its class-against-rest model; two classes share one model of
-    the second class."""
+    """Two classes have one model, of the second class, in `boosters`; more have `softmax`."""
 
     boosters: dict[int, object]
     classes: tuple[int, ...]
     features: tuple[str, ...]
+    softmax: SoftmaxModel | None = None
 
     def leaves(self, spark) -> dict[int, list[Leaf]]:
+        if self.softmax:
+            return {c: self.softmax.leaves(k) for k, c in enumerate(self.classes)}
         return {c: read_leaves(spark, m) for c, m in self.boosters.items()}
 
 
@@ -50,18 +52,21 @@ def fit_risk_model(
     rate: float = 0.05,
     subsample: float = 0.8,
     seed: int = 42,
-    parallelism: int = 3,
     class_limit: int = CLASS_LIMIT,
 ) -> RiskModel:
-    """One booster per class (one in all for two classes). Rows without a target are left out.
+    """A binary booster for two classes, one softmax model for more. Rows without a target are left out.
 
-    More than `class_limit` classes are refused: each trains a model of its own.
+    More than `class_limit` classes are refused: each round grows a tree for every class.
     """
     train = train.where(col(target).isNotNull())
     found = train.select(col(target).cast("int").alias("c")).distinct().limit(class_limit + 1).collect()
     classes = tuple(sorted(r["c"] for r in found if r["c"] is not None))
     if not 2 <= len(classes) <= class_limit:
         raise ValueError(f"The target needs between 2 and {class_limit} classes, found {len(found)}")
+    if len(classes) > 2:
+        number = F.array_position(F.array(*[F.lit(c) for c in classes]), col(target).cast("int")) - 1
+        fitted = fit_softmax(train, number, len(classes), list(features), trees, depth, rate, subsample, seed)
+        return RiskModel({}, classes, tuple(features), fitted)
     rows = _assembled(train, features).select("_features", col(target).cast("int").alias("_class"))
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     booster = GBTClassifier(
@@ -74,31 +79,26 @@ def fit_risk_model(
         seed=seed,
     )
 
-    def fit(c: int):
-        return booster.fit(rows.withColumn("_label", (F.col("_class") == c).cast("double")))
-
-    wanted = classes[1:] if len(classes) == 2 else classes
     try:
-        with ThreadPoolExecutor(parallelism) as pool:
-            models = dict(zip(wanted, pool.map(fit, wanted)))
+        fitted = booster.fit(rows.withColumn("_label", (F.col("_class") == classes[1]).cast("double")))
     finally:
         rows.unpersist()
-    return RiskModel(models, classes, tuple(features))
+    return RiskModel({classes[1]: fitted}, classes, tuple(features))
 
 
 def predict(df: DataFrame, model: RiskModel) -> DataFrame:
     """Add `probability_<class>` (summing to 1), `margin_<class>`, `prediction` and `risk`."""
-    out = _assembled(df, model.features)
-    for c, m in model.boosters.items():
-        named = m.copy()
-        named.setRawPredictionCol(f"_raw_{c}").setProbabilityCol(f"_prob_{c}").setPredictionCol(f"_pred_{c}")
-        out = named.transform(out)
-    margins = {c: vector_to_array(f"_raw_{c}")[1] for c in model.boosters}
-    chances = {c: vector_to_array(f"_prob_{c}")[1] for c in model.boosters}
-    if len(model.classes) == 2:
+    if model.softmax:
+        out = with_margins(df, model.softmax, list(model.features), "_margins")
+        margins = {c: F.get("_margins", F.lit(k)) for k, c in enumerate(model.classes)}
+        chances = {c: F.exp(m - F.array_max("_margins")) for c, m in margins.items()}
+    else:
         first, second = model.classes
-        chances[first] = F.lit(1.0) - chances[second]
-        margins[first] = -margins[second]
+        named = model.boosters[second].copy()
+        named.setRawPredictionCol("_raw").setProbabilityCol("_prob").setPredictionCol("_pred")
+        out = named.transform(_assembled(df, model.features))
+        raw, chance = vector_to_array("_raw")[1], vector_to_array("_prob")[1]
+        margins, chances = {first: -raw, second: raw}, {first: F.lit(1.0) - chance, second: chance}
     added = [margins[c].alias(f"margin_{c}") for c in model.classes]
     added += [chances[c].alias(f"_chance_{c}") for c in model.classes]
     scored = out.select(*[col(c) for c in df.columns], *added)

@@ -45,7 +45,7 @@ def run_risk(
     model, scored, metrics = boosting.train_risk_model(df, target, names, key, **options)
     attributed = attributions.attribute(scored, model.leaves(df.sparkSession), model.features, key)
     importance = attributions.global_importance(attributed, model.features, max_display)
-    explained = HIGH if HIGH in model.boosters else max(model.boosters)
+    explained = HIGH if HIGH in model.classes else model.classes[-1]
     first = scored.orderBy(*[col(k) for k in key]).limit(1)
     sample = attributions.attribute(first, model.leaves(df.sparkSession), model.features, key)
     return RiskRun(model, scored, metrics, attributed, importance, explain_rows(sample, model.features, explained))

@@ -287,7 +287,7 @@ def _patients(spark, sf):
     return customers.join(orders, "c_custkey", "left").fillna(0.0)
 
 
-_SMALL_TREES = {"trees": 5, "depth": 3, "rate": 0.1}
+_SMALL_TREES = {"trees": 10, "depth": 3, "rate": 0.1}
 
 
 @query()
@@ -324,6 +324,22 @@ def risk_attribution_invariants(spark, sf):
     return both.groupBy("class").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.abs(whole - F.get(margins, F.col("class"))) < 1e-9).alias("n_additive"))
 
 
+@query(
+    f"""SELECT tier, count(*) AS n_test, count(*) AS n_softmax, CAST(10 AS BIGINT) AS n_rounds, CAST(9 AS BIGINT) AS n_falling FROM ({_TESTED}) GROUP BY 1"""
+)
+def risk_softmax_invariants(spark, sf):
+    """Test rows of each class whose probabilities are the softmax of their margins; rounds, and rounds after which the training loss fell."""
+    model, scored, _ = boosting.train_risk_model(_patients(spark, sf), key=["c_custkey"], features=_FEATURES, **_SMALL_TREES, subsample=1.0)
+    losses = spark.createDataFrame(list(enumerate(model.softmax.losses)), "round bigint, loss double")
+    falling = losses.alias("a").join(losses.alias("b"), F.expr("b.round = a.round + 1 and b.loss < a.loss")).count()
+    whole = sum((F.exp(F.col(f"margin_{c}")) for c in (1, 2)), F.exp(F.col("margin_0")))
+    right = F.forall(F.array(*[F.abs(F.exp(F.col(f"margin_{c}")) / whole - F.col(f"probability_{c}")) for c in range(3)]), lambda d: d < 1e-9)
+    return scored.groupBy(F.col("risk_level").alias("tier")).agg(
+        F.count(F.lit(1)).alias("n_test"), F.count_if(right).alias("n_softmax"),
+        F.lit(losses.count()).cast("bigint").alias("n_rounds"), F.lit(falling).cast("bigint").alias("n_falling"),
+    )
+
+
 _FEATURES = ["nation", "segment", "n_orders", "spent", "largest"]
 
 
