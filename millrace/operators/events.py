@@ -15,6 +15,10 @@ REQUIRED = ("event_id", "event_type", "timestamp")
 DEAD_LETTER = ("dlq_reason", "dlq_error_type", "original_message")
 
 
+#: JSON strings of any length; the parser's own limit is 20 million characters.
+_WHOLE = {"maxStringLen": "2147483647"}
+
+
 def event_json(fields: Mapping[str, Column]) -> Column:
     """An event as JSON text; NULL fields are left out."""
     return F.to_json(F.struct(*[e.alias(n) for n, e in fields.items()]))
@@ -102,9 +106,9 @@ def parse_events(raw: DataFrame, schema: T.StructType, at: Column | None = None,
     text = F.col("value").cast("string")
     if corrupt:
         wide = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
-        data = F.from_json(text, wide, {"columnNameOfCorruptRecord": corrupt})
+        data = F.from_json(text, wide, _WHOLE | {"columnNameOfCorruptRecord": corrupt})
     else:
-        data = F.from_json(text, schema)
+        data = F.from_json(text, schema, _WHOLE)
     return (
         raw.select(F.col("topic"), F.col("timestamp").alias("kafka_ts"), data.alias("data"))
         .select("topic", "kafka_ts", "data.*")
@@ -168,7 +172,7 @@ def mark_processed(value: Column) -> Column:
     body = F.regexp_replace(F.rtrim(value), r"\}\s*$", "")
     flag = F.lit('"processed": true}')
     keys = F.json_object_keys(value)
-    others = F.map_filter(F.from_json(value, "map<string, variant>"), lambda k, _: k != "processed")
+    others = F.map_filter(F.from_json(value, "map<string, variant>", _WHOLE), lambda k, _: k != "processed")
     renewed = F.to_json(F.map_concat(others, F.create_map(F.lit("processed"), F.parse_json(F.lit("true")))))
     return (
         F.when(F.array_contains(keys, "processed"), renewed)

@@ -25,6 +25,8 @@ from millrace.plans.scratch import materialize
 
 BINS = 64
 STORED = 10
+#: Small tables go through few tasks.
+TASK_ROWS = 50_000
 
 
 @dataclass
@@ -218,7 +220,8 @@ def fit_softmax(train: DataFrame, target: Column, n_classes: int, features: list
             margins = [prior.tobytes()] * len(cells)
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array([c.tobytes() for c in cells], pa.binary()), pa.array(margins, pa.binary())], ["row", "k", "cells", "margins"])
 
-    table = materialize(rows.mapInArrow(binned, _TABLE), "softmax-rows")
+    tasks = min(rows.rdd.getNumPartitions(), -(-sum(counts.values()) // TASK_ROWS))
+    table = materialize(rows.coalesce(tasks).mapInArrow(binned, _TABLE), "softmax-rows")
     done: list[tuple[Tree, ...]] = []
     recent: list[tuple[Tree, ...]] = []
     losses = []

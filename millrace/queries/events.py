@@ -228,3 +228,52 @@ def stream_window_counts(spark, sf):
     counted = ingest.window_counts(timed, "ts", "1 day", ["event_type"], delay="1 hour")
     ingest.write_stream(counted, f"{base}/out", f"{base}/checkpoint", available_now=True).awaitTermination()
     return spark.read.parquet(f"{base}/out").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+def _delivered(spark, sf, rows, n_files):
+    """A stream over files written one after the other, one a batch; `rows` has their number in `_file`."""
+    base = scratch_path(spark, "deliveries")
+    for n in range(n_files):
+        rows.where(F.col("_file") == n).drop("_file").coalesce(1).write.parquet(f"{base}/{n}")
+    return read_file_stream(spark, f"{base}/*", rows.drop("_file").schema, max_files_per_trigger=1)
+
+
+_DELIVERIES = """
+WITH n AS (SELECT event_id, ts, least(4, CAST(floor((epoch(ts) - (SELECT epoch(min(ts)) FROM events)) / 518400) AS INTEGER)) AS f FROM events),
+d AS (SELECT event_id, ts, CASE WHEN event_id % 50 = 0 THEN 4 ELSE f END AS f FROM n UNION ALL SELECT event_id, ts, least(4, f + 1) FROM n WHERE event_id % 7 = 0),
+h AS (SELECT f, (SELECT max(ts) - INTERVAL 1 HOUR FROM d AS e WHERE e.f < g.f) AS horizon FROM (SELECT DISTINCT f FROM d) AS g),
+o AS (SELECT event_id, f, coalesce(ts < horizon, false) AS behind FROM d JOIN h USING (f)),
+c AS (SELECT event_id, behind, row_number() OVER (PARTITION BY event_id, behind ORDER BY f) AS place FROM o)
+SELECT event_id, count(*) FILTER (NOT behind AND place = 1) AS n_kept, count(*) FILTER (NOT behind AND place > 1) AS n_repeated, count(*) FILTER (behind) AS n_late FROM c GROUP BY 1
+"""
+
+
+@query(_DELIVERIES)
+def stream_late_events(spark, sf):
+    """Events in five files by time, some a file later or days late, some delivered twice: each delivery is accounted for."""
+    base = scratch_path(spark, "stream")
+    rows = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    start = rows.agg(F.min(F.unix_micros("ts"))).first()[0]
+    in_turn = F.least(F.lit(4), F.floor((F.unix_micros("ts") - start) / 518_400_000_000)).cast("int")
+    once = rows.withColumn("_file", F.when(F.col("event_id") % 50 == 0, 4).otherwise(in_turn))
+    again = rows.where("event_id % 7 = 0").withColumn("_file", F.least(F.lit(4), in_turn + 1))
+    stream = _delivered(spark, sf, once.unionByName(again), 5)
+    ingest.settle_events(stream, "ts", 3600, f"{base}/out", f"{base}/checkpoint", available_now=True).awaitTermination()
+    parts = [spark.read.parquet(f"{base}/out/{t}").select("event_id", F.lit(t).alias("part")) for t in ("kept", "repeated", "late")]
+    every = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return every.groupBy("event_id").agg(*[F.count_if(F.col("part") == t).alias(f"n_{t}") for t in ("kept", "repeated", "late")])
+
+
+@query(f"""
+SELECT event_id % 6 AS batch, 'success' AS status, count(*) FILTER (error_type IS NULL) AS n_valid, count(*) FILTER (error_type IS NOT NULL) AS n_dead, count(*) AS n_total
+FROM (SELECT e.event_id, m.error_type FROM ({_MIXED}) AS m JOIN events AS e ON m.event_id = e.event_id) GROUP BY 1
+""")
+def stream_metrics(spark, sf):
+    """Valid and dead messages of each batch of a stream of six files, from the stored metrics."""
+    base = scratch_path(spark, "stream")
+    rows = table(spark, sf, "events").withColumn("_file", (F.col("event_id") % 6).cast("int"))
+    ingest.consume(
+        _mixed(_delivered(spark, sf, rows, 6)), f"{base}/events", f"{base}/dead", f"{base}/checkpoint", available_now=True, metrics_path=f"{base}/metrics"
+    ).awaitTermination()
+    runs = ingest.batch_metrics(spark, f"{base}/metrics")
+    return runs.select(F.col("batch_id").alias("batch"), "status", F.col("valid").alias("n_valid"), F.col("dead").alias("n_dead"), (F.col("valid") + F.col("dead")).alias("n_total"))

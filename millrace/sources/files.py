@@ -25,6 +25,8 @@ def read_files(
     reader = spark.read
     if fmt == "csv":
         reader = reader.option("header", True)
+    if fmt == "json":  # strings of any length
+        reader = reader.option("maxStringLen", 2**31 - 1)
     if schema is not None:
         reader = reader.schema(schema)
     elif fmt == "csv":

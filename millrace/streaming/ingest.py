@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Callable, Mapping, Sequence
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.events import check_events, dead_letters, parse_events, valid_events
-from millrace.operators.runlog import SCHEMA, SUCCESS
+from millrace.operators.runlog import FAILURE, SCHEMA, SUCCESS
 from millrace.sources.topics import schema_of, topic_names
 
 log = logging.getLogger(__name__)
@@ -79,25 +81,41 @@ def consume(
     interval: str = INTERVAL,
     available_now: bool = False,
     on_batch: Callable[[int, dict[str, int]], None] | None = None,
+    metrics_path: str | None = None,
 ) -> StreamingQuery:
     """Validate every message and write it to the event table or to the dead letters.
 
     Both outputs of a batch go to folders named by the batch id and are overwritten when the
     batch is replayed, so a restart neither loses nor repeats rows. `on_batch` receives the
-    number of valid and dead messages of each batch.
+    number of valid and dead messages of each batch. At `metrics_path` every batch leaves a row
+    (`batch_metrics`), a failed one too; a replay replaces it.
     """
 
     def both(batch: DataFrame, batch_id: int) -> None:
+        started, spark = time.monotonic(), batch.sparkSession
+        seen: dict[str, int] = {}
+
+        def note(status: str) -> None:
+            if metrics_path:
+                row = (status, seen.get("valid"), seen.get("dead"), round(1000 * (time.monotonic() - started)), datetime.now(timezone.utc))
+                spark.createDataFrame([row], _METRICS).coalesce(1).write.mode("overwrite").parquet(f"{metrics_path}/batch_id={batch_id}")
+
         checked = check_events(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             valid_events(checked).write.format(fmt).mode("overwrite").save(f"{events_path}/batch_id={batch_id}")
             dead_letters(checked).write.format(fmt).mode("overwrite").save(f"{dead_letter_path}/batch_id={batch_id}")
-            if on_batch:
-                counts = checked.agg(
+            if on_batch or metrics_path:
+                seen = checked.agg(
                     F.count_if(F.col("error_type").isNull()).alias("valid"),
                     F.count_if(F.col("error_type").isNotNull()).alias("dead"),
-                ).first()
-                on_batch(batch_id, counts.asDict())
+                ).first().asDict()
+                if on_batch:
+                    on_batch(batch_id, seen)
+        except Exception:
+            note(FAILURE)
+            raise
+        else:
+            note(SUCCESS)
         finally:
             checked.unpersist()
 
@@ -105,6 +123,31 @@ def consume(
     return _triggered(writer, interval, available_now).start()
 
 
+_METRICS = "status string, valid bigint, dead bigint, duration_ms bigint, run_ts timestamp"
+
+
+def batch_metrics(spark: SparkSession, metrics_path: str) -> DataFrame:
+    """(batch_id, status, valid, dead, duration_ms, run_ts): one row for every batch of a stream, however long it has run.
+    A failed batch counts none unless its outputs were written."""
+    schema = f"batch_id bigint, {_METRICS}"
+    return spark.read.schema(schema).option("basePath", metrics_path).parquet(metrics_path).select("batch_id", "status", "valid", "dead", "duration_ms", "run_ts")
+
+
+def batch_runs(spark: SparkSession, metrics_path: str, name: str) -> DataFrame:
+    """The batches as rows of the run log: all messages were extracted, the valid ones loaded."""
+    rows = batch_metrics(spark, metrics_path)
+    valid, dead = F.coalesce("valid", F.lit(0)), F.coalesce("dead", F.lit(0))
+    return rows.select(
+        F.concat_ws("-", F.lit(name), "batch_id").alias("run_id"), "status", (valid + dead).alias("rows_extracted"),
+        valid.alias("rows_loaded"), (F.col("duration_ms") / 1000.0).alias("duration_seconds"), "run_ts",
+    )
+
+
+def processed_count(spark: SparkSession, metrics_path: str) -> int:
+    """Valid messages of all batches so far."""
+    return batch_metrics(spark, metrics_path).agg(F.sum("valid")).first()[0] or 0
+
+
 def union_topics(parsed: Mapping[str, DataFrame]) -> DataFrame:
     """One table or stream over several topics, NULL where a topic lacks a field."""
     return reduce(
@@ -126,10 +169,73 @@ def forward(
 
 
 def drop_redelivered(events: DataFrame, event_time: str, delay: str, key: str = "event_id") -> DataFrame:
-    """Drop messages delivered again within `delay` of event time."""
+    """Drop messages delivered again within `delay` of event time. The stream's watermark also drops what is later than
+    `delay`, first deliveries included: use `settle_events` where these count."""
     return events.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
 
 
+def settle_events(
+    events: DataFrame,
+    event_time: str,
+    delay_seconds: int,
+    output: str,
+    checkpoint: str,
+    key: str = "event_id",
+    interval: str = INTERVAL,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Write every delivery to one of three tables under `output`: `kept`, `repeated` or `late`. None is dropped.
+
+    The horizon of a batch is the greatest event time of all batches before it, less the delay. A delivery at or after
+    the horizon is kept unless its key was kept before: keys are remembered while their event time is not behind the
+    horizon. A delivery behind it goes to `late`, as its key may be forgotten; `settled` tells its first deliveries from
+    repeats. Every table has a folder per batch, which a replay overwrites; a batch reads earlier batches only, and of
+    the remembered keys only batches that still hold live ones. Deliveries without time or key are kept.
+    """
+    tables = {name: f"{output}/{name}" for name in ("kept", "repeated", "late", "keys", "times")}
+    spark = events.sparkSession
+
+    def settle(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumn("_at", F.col(event_time).cast("timestamp"))
+        horizon, live = None, []
+        if batch_id:
+            times = spark.read.schema("batch_id bigint, latest timestamp, kept_latest timestamp").option("basePath", tables["times"]).parquet(tables["times"]).where(F.col("batch_id") < batch_id)
+            horizon = times.agg((F.max("latest") - F.make_dt_interval(secs=F.lit(delay_seconds))).alias("h")).first()["h"]
+            live = [r["batch_id"] for r in times.where(F.col("kept_latest") >= F.lit(horizon)).select("batch_id").collect()] if horizon else []
+        behind = F.coalesce(F.col("_at") < F.lit(horizon), F.lit(False)) if horizon else F.lit(False)
+        place = F.row_number().over(Window.partitionBy(key).orderBy("_at"))
+        in_time = rows.where(~behind).withColumn("_place", F.when(F.col(key).isNull() | F.col("_at").isNull(), 1).otherwise(place))
+        if live:
+            known = spark.read.parquet(*[f"{tables['keys']}/batch_id={n}" for n in live]).where(F.col("_at") >= F.lit(horizon))
+            in_time = in_time.join(known.select(F.col("_key").alias(key), F.lit(True).alias("_known")), key, "left")
+        else:
+            in_time = in_time.withColumn("_known", F.lit(None).cast("boolean"))
+        in_time = in_time.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            again = F.col("_known").isNotNull() | (F.col("_place") > 1)
+            kept = in_time.where(~again)
+            late = rows.where(behind)
+            for name, part in (("kept", kept), ("repeated", in_time.where(again)), ("late", late)):
+                part.select(*[f"`{c}`" for c in batch.columns]).write.mode("overwrite").parquet(f"{tables[name]}/batch_id={batch_id}")
+            remembered = kept.where(F.col(key).isNotNull() & F.col("_at").isNotNull()).select(F.col(key).alias("_key"), "_at")
+            remembered.write.mode("overwrite").parquet(f"{tables['keys']}/batch_id={batch_id}")
+            latest = in_time.agg(F.max("_at").alias("latest"), F.max(F.when(~again, F.col("_at"))).alias("kept_latest"))
+            latest.coalesce(1).write.mode("overwrite").parquet(f"{tables['times']}/batch_id={batch_id}")
+        finally:
+            in_time.unpersist()
+
+    writer = events.writeStream.foreachBatch(settle).option("checkpointLocation", checkpoint)
+    return _triggered(writer, interval, available_now).start()
+
+
+def settled(spark: SparkSession, output: str, key: str = "event_id") -> DataFrame:
+    """All first deliveries of a settled stream: what was kept, and of the late ones a row for each key that was not."""
+    kept = spark.read.parquet(f"{output}/kept").drop("batch_id")
+    late = spark.read.parquet(f"{output}/late").drop("batch_id")
+    first = late.join(kept.select(key), key, "left_anti").dropDuplicates([key])
+    return kept.withColumn("late", F.lit(False)).unionByName(first.withColumn("late", F.lit(True)))
+
+
 def window_counts(
     events: DataFrame, event_time: str, width: str, by: Sequence[str] = (), delay: str | None = None
 ) -> DataFrame:
