@@ -111,7 +111,7 @@ def canonical_turns(records: DataFrame, record: str = "record") -> DataFrame:
     """
     raw = F.col(f"`{record}`")
     fields = list(dict.fromkeys(f for m in MAPPINGS.values() for f in m.schema()))
-    parsed = F.from_json(raw, ", ".join(fields))
+    parsed = F.from_json(raw, ", ".join(fields), {"maxStringLen": "2147483647"})
     rows = records.withColumn("fingerprint", F.xxhash64(shape(raw))).withColumn("parsed__", parsed)
     turns = F.lit(None).cast("array<struct<role: string, text: string>>")
     for name, mapping in MAPPINGS.items():

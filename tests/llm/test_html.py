@@ -66,6 +66,43 @@ def test_much_text_outweighs_a_name():
     assert main_text(f'<article>{STORY}<div class="sidebar"><div class="widget"><p>{WORDS}</p></div></div></article>') == TEXT
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<article><svg/>{STORY}</article>',
+        f'<article><svg viewBox="0 0 1 1"><path d="M0"/><g><rect/></g></svg><canvas/>{STORY}</article>',
+        f'<article class="post comments-open">{STORY}</article>',
+        f'<div class="hentry comments-open"><h1>Title</h1><p>{WORDS}</p><p>Short.</p></div>',
+        f'<article class="discussion">{STORY}</article>',
+        f'<div class="thread discussion-page">{STORY}</div>',
+        f'<article>{STORY}<div class="ad">{"<p>" + WORDS + "</p>"}{"<p>" + WORDS + "</p>"}{"<p>" + WORDS + "</p>"}{"<p>" + WORDS + "</p>"}</div></article>',
+        f'<article>{STORY}<div id="comments" class="comments-area"><p>{WORDS}</p></div></article>',
+        f'<article>{STORY}</article><article class="comment"><p>{WORDS}</p></article>',
+        f'<article>{STORY}<button>Share this</button></article>',
+    ],
+)
+def test_pages_whole(page):
+    body = f"<nav><a href=a>Home</a></nav>{page}<footer>By us.</footer>"
+    assert main_text(f"<body>{body}</body>") == TEXT
+    assert main_text(f'<body><form method="post" action="/">{body}</form></body>') == TEXT
+
+
+def test_lists_and_short_lines():
+    refs = "".join(f'<li><a href="/{k}">Source number {k} of all</a></li>' for k in range(8))
+    assert main_text(f"<article>{STORY}<h2>Sources</h2><ul>{refs}</ul></article>") == "\n".join([TEXT, "Sources", *[f"Source number {k} of all" for k in range(8)]])
+    page = "<h1>Recipe</h1><ul><li>Salt</li><li>Flour</li></ul><p>Water</p>"
+    assert main_text(f"<nav><a href=a>Home</a> <a href=b>All</a></nav>{page}<footer>By us.</footer>") == "Recipe\nSalt\nFlour\nWater"
+    assert main_text("<article><p>Press <button>OK</button> to go on with the work.</p></article>") == "Press OK to go on with the work."
+    assert main_text(f"<article>{STORY}<form><p>{WORDS}</p><input></form></article>") == TEXT
+
+
+def test_depth_takes_linear_time():
+    deep = "<div>a" * 100_000
+    assert len(blocks(deep)) == 100_000
+    assert blocks("<div>" * 100_000 + "</section>" * 100_000) == []
+    assert main_text("<div>" * 100_000 + f"<p>{WORDS}</p>") == WORDS
+
+
 def test_formula_in_article():
     math = '<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow><annotation encoding="application/x-tex">x = 1</annotation></semantics></math>'
     assert main_text(f"<article><p>So {math} holds for all of them.</p></article>") == "So x=1 holds for all of them."
