@@ -178,7 +178,7 @@ def _merged(folder: str, shards: int):
             put(f"{folder}/bigrams-{shard}", keys[order])
             put(f"{folder}/small-{shard}", np.minimum(count, 255).astype(np.uint8))
             put(f"{folder}/large-{shard}", count[count >= 255])
-            out = [_packed(-1, np.array([(count == k).sum() for k in (1, 2, 3, 4)], np.int64), *[np.zeros(0)] * 3)]
+            out = [_packed(-1, np.array([*((count == k).sum() for k in (1, 2, 3, 4)), shard], np.int64), *[np.zeros(0)] * 3)]
             slot = _slot(word, shards)
             order = np.argsort(slot, kind="stable")
             word, uses, contexts = word[order], uses[order], contexts[order]
@@ -231,6 +231,8 @@ class Model:
     discount: list[float]
     lower: list[float]
     lower_rest: float
+    worded: frozenset[int]  # shards that hold words
+    followed: frozenset[int]  # shards that hold contexts and bigrams
 
 
 def learn(docs: DataFrame, text: str = "text") -> Model:
@@ -249,8 +251,9 @@ def learn(docs: DataFrame, text: str = "text") -> Model:
     lower = discounts(sums[3:7])
     more = max(int(sums[0] - sums[3] - sums[4]), 0)
     rest = (lower[0] * sums[3] + lower[1] * sums[4] + lower[2] * more) / sums[2] if sums[2] else 1.0
-    n = np.sum(seen, axis=0) if seen else np.zeros(4, np.int64)
-    return Model(folder, shards, int(sums[0]), int(sums[1]), int(sums[2]), discounts(n), lower, float(rest))
+    n = np.sum(seen, axis=0)[:4] if seen else np.zeros(4, np.int64)
+    worded, followed = frozenset(r.shard for r in totals if r.shard >= 0), frozenset(int(x[4]) for x in seen)
+    return Model(folder, shards, int(sums[0]), int(sums[1]), int(sums[2]), discounts(n), lower, float(rest), worded, followed)
 
 
 class Tables:
@@ -262,10 +265,9 @@ class Tables:
     def _get(self, name: str, shard: int, kind: str) -> np.ndarray:
         key = (name, shard)
         if key not in self.open:
-            try:
-                self.open[key] = mapped(f"{self.model.folder}/{name}-{shard}", kind)
-            except FileNotFoundError:  # no training text has a word or context of this shard
-                self.open[key] = np.zeros(0, kind)
+            # No training text has a word or context of the other shards; a file that was written and is gone raises.
+            written = shard in (self.model.worded if name in ("words", "uses") else self.model.followed)
+            self.open[key] = mapped(f"{self.model.folder}/{name}-{shard}", kind) if written else np.zeros(0, kind)
         return self.open[key]
 
     def _lookup(self, hashes: np.ndarray, slots: np.ndarray, keys: str, read) -> None:

@@ -72,3 +72,11 @@ def test_query_reads_back_every_conversation(spark):
     for c, turns in talks.items():
         loss = "".join(x for _, r, x in sorted(turns) if r == "assistant")
         assert (got[c].n_turns, got[c].turns_sha256, got[c].loss_chars, got[c].loss_sha256) == (len(turns), digest("".join(f"{r}\n{x}\n" for _, r, x in sorted(turns))), len(loss), digest(loss))
+
+
+def test_records_of_any_length(spark):
+    for size in (25_000_000, 120_000_000):
+        text = F.repeat(F.lit("x"), size)
+        df = spark.range(1).select(F.concat(F.lit('{"prompt": "'), text, F.lit('", "response": "ok"}')).alias("record"))
+        turns = chat.canonical_turns(df).select(F.transform("turns", lambda t: F.length(t["text"])).alias("n")).first()["n"]
+        assert turns == [size, 2]

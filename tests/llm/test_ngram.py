@@ -81,3 +81,17 @@ def test_a_shard_is_summed_as_its_rows_come(spark, monkeypatch):
         monkeypatch.setattr(ngram, "MERGED_BYTES", held)
         got = [(s, w.tolist(), n.tolist(), k.tolist()) for s, ((w,), (n, k)) in ngram._by_shard(iter([ngram._batch(packed[:1]), ngram._batch(packed[1:])]), ngram._word_rows)]
         assert got == want
+
+
+def test_a_lost_model_file_raises(spark):
+    docs = spark.createDataFrame([("a b a c",), ("b a d",)], "text string")
+    model = ngram.learn(docs)
+    assert model.worded and model.followed
+    whole = ngram.scores(model, ngram.Tables(model), [b"a b", b"never seen"])
+    assert len(whole) == 2
+    for kind, shards in (("words", model.worded), ("bigrams", model.followed)):
+        path = f"{model.folder.removeprefix('file:')}/{kind}-{min(shards)}"
+        os.rename(path, path + ".gone")
+        with pytest.raises(FileNotFoundError):
+            ngram.scores(model, ngram.Tables(model), [b"a b c d", b"d a"])
+        os.rename(path + ".gone", path)
