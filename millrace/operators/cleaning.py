@@ -43,18 +43,23 @@ def clean(df: DataFrame, at: Column | None = None) -> DataFrame:
     return stamp(normalise_text(drop_duplicates(drop_incomplete(df))), at)
 
 
-def clean_and_count(df: DataFrame, seen: Observation, at: Column | None = None) -> DataFrame:
-    """`clean`, with the numbers of rows read ("extracted") and kept ("loaded") observed on the way.
+def clean_and_count(df: DataFrame, seen: Observation, at: Column | None = None, holes: Sequence[str] = ()) -> DataFrame:
+    """`clean`, with the numbers of rows read ("extracted") and kept ("loaded") observed on the way, and for each column of
+    `holes` the number of rows that lack it ("missing_0", "missing_1", ...).
 
     Incomplete rows are blanked instead of dropped, so they fold into one all-NULL group and the
     grouping that removes duplicates also counts every row. The numbers are taken after the
     shuffle, in the stage that writes: a map task that runs again cannot count twice.
     """
     incomplete = reduce(lambda a, b: a | b, [missing(df, c) for c in df.columns])
-    blanked = df.select(*[F.when(~incomplete, col(c)).alias(c) for c in df.columns])
-    groups = blanked.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
+    blanked = df.select(*[F.when(~incomplete, col(c)).alias(c) for c in df.columns], *[missing(df, c).alias(f"_hole{i}") for i, c in enumerate(holes)])
+    lacking = [F.count_if(f"_hole{i}").alias(f"_hole{i}") for i in range(len(holes))]
+    groups = blanked.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"), *lacking)
     kept = col(df.columns[0]).isNotNull()
     counted = groups.observe(
-        seen, F.coalesce(F.sum("_copies"), F.lit(0)).alias("extracted"), F.count_if(kept).alias("loaded")
+        seen,
+        F.coalesce(F.sum("_copies"), F.lit(0)).alias("extracted"),
+        F.count_if(kept).alias("loaded"),
+        *[F.coalesce(F.sum(f"_hole{i}"), F.lit(0)).alias(f"missing_{i}") for i in range(len(holes))],
     )
-    return stamp(normalise_text(counted.where(kept).drop("_copies")), at)
+    return stamp(normalise_text(counted.where(kept).drop("_copies", *[f"_hole{i}" for i in range(len(holes))])), at)

@@ -12,7 +12,7 @@ from millrace.operators.cleaning import clean_and_count
 from millrace.operators.quality import CRITICAL_COLUMNS, validate
 from millrace.operators.runlog import append_run
 from millrace.sinks.tables import write_table
-from millrace.sources.files import read_files
+from millrace.sources.files import hadoop, read_files
 
 
 def run_etl(
@@ -71,3 +71,41 @@ def validate_then_run(
     schema = schema or raw.schema  # inferred once, for both steps
     checked = validate(raw, not_null)
     return {"validation": checked, **run_etl(spark, source_path, target_path, file_format, schema=schema, **options)}
+
+
+def publish_if_valid(
+    spark: SparkSession,
+    source_path: str,
+    target_path: str,
+    file_format: str = "csv",
+    not_null: Sequence[str] = CRITICAL_COLUMNS,
+    schema=None,
+    run_id: str | None = None,
+    at: Column | None = None,
+) -> dict:
+    """Write, audit, publish: one pass over the source writes the cleaned rows aside and counts what the expectations ask
+    (rows, and rows without a critical column). Only if all hold, one rename shows them as `<target>/run_id=<id>`.
+
+    A run that fails or is cut off leaves nothing that a reader of the target sees: folders whose names begin with `_` are
+    not read. Running an id again replaces what it left aside; an id that is published already is refused.
+    """
+    name = run_id or uuid.uuid4().hex
+    raw = read_files(spark, source_path, file_format, schema)
+    lost = [c for c in not_null if c not in raw.columns]
+    if lost:
+        raise ValueError(f"Data quality check failed with {len(lost)} violation(s): no column {', '.join(lost)}")
+    aside, shown = f"{target_path}/_staged/run_id={name}", f"{target_path}/run_id={name}"
+    system, place = hadoop(spark, shown)
+    if system.exists(place):
+        raise FileExistsError(f"Run {name} is published already")
+    seen = Observation()
+    write_table(clean_and_count(raw, seen, at, not_null), aside, "overwrite")
+    counts = seen.get
+    results = [{"rule": "rows", "success": counts["extracted"] > 0, "unexpected": 0}]
+    results += [{"rule": f"not_null:{c}", "success": counts[f"missing_{i}"] == 0, "unexpected": counts[f"missing_{i}"]} for i, c in enumerate(not_null)]
+    failed = [r for r in results if not r["success"]]
+    if failed:
+        raise ValueError(f"Data quality check failed with {len(failed)} violation(s). Nothing was published.")
+    if not system.rename(hadoop(spark, aside)[1], place):
+        raise OSError(f"Run {name} could not be published")
+    return {"run_id": name, "rows_extracted": counts["extracted"], "rows_loaded": counts["loaded"], "results": results}

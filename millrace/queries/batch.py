@@ -8,7 +8,7 @@ from millrace.operators import quality, runlog
 from millrace.operators.cleaning import AUDIT_COLUMN, clean, drop_duplicates
 from millrace.operators.impute import null_counts
 from millrace.operators.patients import mask
-from millrace.plans.etl import run_etl, validate_then_run
+from millrace.plans.etl import publish_if_valid, run_etl, validate_then_run
 from millrace.plans.scratch import scratch_path
 from millrace.queries.registry import query, table
 from millrace.sources.files import merge_sources
@@ -92,6 +92,27 @@ def etl_validated(spark, sf):
     )
 
 
+@query("""
+SELECT (SELECT count(*) FROM customer) AS rows_extracted, (SELECT count(*) FROM customer) AS rows_loaded, (SELECT count(*) FROM customer) AS rows_stored, TRUE AS refused, 0::BIGINT AS rows_refused
+""")
+def etl_published(spark, sf):
+    """A sound table is published; one with holes is refused and leaves nothing to read."""
+    target = scratch_path(spark, "published")
+    done = publish_if_valid(spark, f"{sf}/customer.parquet", target, "parquet", ["c_custkey", "c_name"], run_id="first")
+    holes = scratch_path(spark, "holes")
+    table(spark, sf, "customer").withColumn("c_name", F.when(F.col("c_custkey") % 5 > 0, F.col("c_name"))).write.parquet(holes)
+    try:
+        publish_if_valid(spark, holes, target, "parquet", ["c_custkey", "c_name"], run_id="second")
+        refused = False
+    except ValueError:
+        refused = True
+    stored = spark.read.parquet(target)
+    return stored.agg(
+        F.lit(done["rows_extracted"]).cast("long").alias("rows_extracted"), F.lit(done["rows_loaded"]).cast("long").alias("rows_loaded"),
+        F.count_if(F.col("run_id") == "first").alias("rows_stored"), F.lit(refused).alias("refused"), F.count_if(F.col("run_id") == "second").alias("rows_refused"),
+    )
+
+
 @query("""
 WITH e AS (SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value, event_type FROM events),
      n AS (SELECT count(*) AS rows_n, count(*) - count(event_id) AS id_n, count(*) - count(value) AS value_n FROM e)

@@ -134,3 +134,53 @@ def test_other_resource_types_go_before_validation(spark):
     assert [r.patient_id for r in found.collect()] == ["1"]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Filter") >= 2 and "onsetDateTime" not in plan and "effectiveDateTime" not in plan and plan.count("try_parse_json") <= 1
+
+
+def test_write_audit_publish(spark, tmp_path):
+    import pytest as _pytest
+
+    from millrace.plans import etl
+
+    target = str(tmp_path / "t")
+    rows = [(1, "2024-01-01", 1.0, " a "), (1, "2024-01-01", 1.0, " a "), (2, "2024-01-02", 2.0, None)]
+    spark.createDataFrame(rows, "id int, event_date string, value double, name string").write.parquet(str(tmp_path / "good"))
+    done = etl.publish_if_valid(spark, str(tmp_path / "good"), target, "parquet", run_id="a")
+    assert (done["rows_extracted"], done["rows_loaded"]) == (3, 1) and all(r["success"] for r in done["results"])
+    assert [r.name for r in spark.read.parquet(target).collect()] == ["A"]
+    with _pytest.raises(FileExistsError):
+        etl.publish_if_valid(spark, str(tmp_path / "good"), target, "parquet", run_id="a")
+    bad = [(1, None, 1.0, "x"), (3, "2024-01-01", None, "y"), (4, "2024-01-01", None, "y")]
+    spark.createDataFrame(bad, "id int, event_date string, value double, name string").write.parquet(str(tmp_path / "bad"))
+    with _pytest.raises(ValueError, match="2 violation"):
+        etl.publish_if_valid(spark, str(tmp_path / "bad"), target, "parquet", run_id="b")
+    with _pytest.raises(ValueError, match="no column gone"):
+        etl.publish_if_valid(spark, str(tmp_path / "bad"), target, "parquet", ["gone"], run_id="c")
+    spark.createDataFrame([], "id int, event_date string, value double").write.parquet(str(tmp_path / "none"))
+    with _pytest.raises(ValueError, match="1 violation"):
+        etl.publish_if_valid(spark, str(tmp_path / "none"), target, "parquet", run_id="d")
+    assert spark.read.parquet(target).select("run_id").distinct().collect()[0][0] == "a" and spark.read.parquet(target).count() == 1
+
+
+def test_a_run_cut_off_before_publishing_shows_nothing(spark, tmp_path, monkeypatch):
+    from millrace.plans import etl
+
+    target = str(tmp_path / "t")
+    spark.createDataFrame([(1, "2024-01-01", 1.0)], "id int, event_date string, value double").write.parquet(str(tmp_path / "in"))
+    whole = etl.hadoop
+    calls = []
+
+    def cut(session, path):
+        calls.append(path)
+        if "_staged" in path:
+            raise KeyboardInterrupt
+        return whole(session, path)
+
+    monkeypatch.setattr(etl, "hadoop", cut)
+    try:
+        etl.publish_if_valid(spark, str(tmp_path / "in"), target, "parquet", run_id="a")
+    except KeyboardInterrupt:
+        pass
+    assert not (tmp_path / "t" / "run_id=a").exists() and (tmp_path / "t" / "_staged" / "run_id=a").exists()
+    monkeypatch.undo()
+    assert etl.publish_if_valid(spark, str(tmp_path / "in"), target, "parquet", run_id="a")["rows_loaded"] == 1
+    assert spark.read.parquet(target).count() == 1
