@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import iso_utc
 from millrace.operators import fhir, patients
-from millrace.plans.clinical import store_batch
+from millrace.plans.clinical import patient_counts, patient_table, store_batch
 from millrace.plans.scratch import scratch_path
 from millrace.queries.registry import query, spread_table, table
 from millrace.sources.files import read_resources
@@ -203,6 +203,19 @@ def fhir_store_compacted(spark, sf):
     return patients.current_patients(spark, f"{base}/patients").drop("sequence", "batch_id")
 
 
+@query(f"""
+SELECT patient_id, name || CASE WHEN gender = 'building' THEN ' v2' ELSE ' v1' END AS name, gender, birth_date, address
+FROM ({_PATIENTS})
+""")
+def fhir_store_buckets(spark, sf):
+    """A first batch, one of one segment's patients, and a replay of the first that must change nothing."""
+    base = scratch_path(spark, "clinical")
+    late = _patient_json(spark, sf, " v2").where(F.get_json_object("value", "$.gender") == "building")
+    for batch_id, rows in ((0, _patient_json(spark, sf, " v1")), (1, late), (0, _patient_json(spark, sf, " v1"))):
+        store_batch(rows, base, batch_id, sequence="c_custkey", buckets=16)
+    return patient_table(spark, base).read().drop("sequence", "batch_id")
+
+
 @query(_PATIENTS)
 def fhir_envelope(spark, sf):
     """JSON lines of request bodies."""
@@ -229,7 +242,7 @@ def patient_not_found(spark, sf):
     return patients.unknown_patients(_only(_patient_json(spark, sf), "patients"), ids)
 
 
-@query(f"""
+_VIEW = f"""
 WITH p AS ({_PATIENTS}),
      e AS (SELECT CAST(o_custkey AS VARCHAR) AS patient_id, count(*) AS n FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1),
      o AS (SELECT CAST(user_id AS VARCHAR) AS patient_id, count(*) AS n FROM events GROUP BY 1),
@@ -237,7 +250,10 @@ WITH p AS ({_PATIENTS}),
 SELECT p.patient_id, name, gender, birth_date, address, coalesce(e.n, 0) AS n_encounters, coalesce(o.n, 0) AS n_observations,
        coalesce(c.n, 0) AS n_conditions
 FROM p LEFT JOIN e USING (patient_id) LEFT JOIN o USING (patient_id) LEFT JOIN c USING (patient_id)
-""")
+"""
+
+
+@query(_VIEW)
 def fhir_patient_view(spark, sf):
     return patients.patient_view(
         _only(_patient_json(spark, sf), "patients"),
@@ -247,6 +263,19 @@ def fhir_patient_view(spark, sf):
     )
 
 
+@query(_VIEW)
+def fhir_patient_view_incremental(spark, sf):
+    """Facts in three batches by kind, the second replayed, the first two folded before the last comes."""
+    counts = patient_counts(spark, scratch_path(spark, "clinical"), 16)
+    kinds = {"encounters": _encounter_json, "observations": _observation_json, "conditions": _condition_json}
+    for batch_id, (name, resources) in enumerate(kinds.items()):
+        counts.add(batch_id, {name: _only(resources(spark, sf), name)})
+        if batch_id == 1:
+            counts.add(1, {name: _only(resources(spark, sf), name)})
+            counts.compact()
+    return counts.view(_only(_patient_json(spark, sf), "patients"))
+
+
 @query(f"""
 WITH p AS ({_PATIENTS})
 SELECT 'enc' || o_orderkey AS encounter_id, CAST(o_custkey AS VARCHAR) AS patient_id, o_orderstatus AS status, name, gender, birth_date
