@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import col
+from millrace.plans.scratch import materialize
 from millrace.plans.slices import range_slices
 
 HOT_KEY_ROWS = 5_000_000
+BROADCAST_KEYS = 100_000
+BROADCAST_BYTES = 64 << 20
 
 
 def as_of(
@@ -28,8 +31,8 @@ def as_of(
     types are compared in the wider one: a date is its midnight.
 
     Spine and features are merged and the last feature is carried forward per key: one shuffle.
-    Spine rows without key or time can match nothing and skip it. When some key holds more rows
-    than `hot_key_rows`, the work goes through range slices instead.
+    Spine rows without key or time can match nothing and skip it. Keys that hold more rows
+    than `hot_key_rows` go alone through range slices; all others keep the one shuffle.
     """
     names = list(values or [c for c in features.columns if c not in keys and c != feature_ts])
     clash = set(names) & set(spine.columns)
@@ -44,11 +47,29 @@ def as_of(
         F.struct(*[col(n) for n in names]).alias("_feature"),
     )
     known = known.where(reduce(lambda a, b: a & b, [F.col("_ts").isNotNull(), *[k.isNotNull() for k in on]]))
-    sizes = known.select(*on).unionAll(spine.select(*on)).groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
-    most = sizes.agg(F.max("n")).first()[0] or 0
-    if most > hot_key_rows:
-        return _through_slices(spine, known, keys, spine_ts, names)
+    sizes = known.select(*on).unionAll(spine.select(*on)).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    large = sizes.where((F.col("_n") > hot_key_rows) & reduce(lambda a, b: a & b, [k.isNotNull() for k in on]))
+    hot = materialize(large.select(*on), "hot-keys")
+    size = hot.agg(F.count(F.lit(1)).alias("n"), F.sum(sum((F.octet_length(k.cast("string")) for k in on), F.lit(16))).alias("bytes")).first()
+    if not size["n"]:
+        return _in_windows(spine, features, known, keys, spine_ts, names, wide)
+    hot = F.broadcast(hot) if size["n"] <= BROADCAST_KEYS and size["bytes"] <= BROADCAST_BYTES else hot
+    few = _in_windows(
+        spine.join(hot, list(keys), "left_anti").select(*[col(c) for c in spine.columns]),
+        features, known.join(hot, list(keys), "left_anti"), keys, spine_ts, names, wide,
+    )
+    many = _through_slices(
+        spine.join(hot, list(keys), "left_semi").select(*[col(c) for c in spine.columns]),
+        known.join(hot, list(keys), "left_semi"), keys, spine_ts, names,
+    )
+    return few.unionByName(many)
+
 
+def _in_windows(
+    spine: DataFrame, features: DataFrame, known: DataFrame, keys: Sequence[str], spine_ts: str, names: Sequence[str], wide
+) -> DataFrame:
+    """The lookup for keys that each fit one task."""
+    on = [col(k) for k in keys]
     complete = reduce(lambda a, b: a & b, [col(spine_ts).isNotNull(), *[k.isNotNull() for k in on]])
     rows = spine.where(complete).select(
         *on, col(spine_ts).cast(wide).alias("_ts"), F.struct(*[col(c) for c in spine.columns]).alias("_row")

@@ -38,6 +38,19 @@ def asof_split_keys(spark, sf):
     return as_of(table(spark, sf, "events").select("event_id", "user_id", "ts"), orders, ["user_id"], "ts", "odate", hot_key_rows=1)
 
 
+@query("""
+WITH e AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END AS k, event_type, ts, value FROM events),
+     f AS (SELECT k, ts AS seen, max(value) AS last_value FROM e WHERE event_type = 'click' GROUP BY 1, 2)
+SELECT e.event_id, e.k, e.ts, f.last_value FROM e ASOF LEFT JOIN f ON e.k = f.k AND e.ts >= f.seen
+""")
+def asof_one_hot_key(spark, sf):
+    """A third of all rows have one key: it is cut into slices, the other keys are not."""
+    events = table(spark, sf, "events").withColumn("k", F.expr("CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END"))
+    seen = events.where("event_type = 'click'").selectExpr("k", "ts AS seen", "value AS last_value")
+    tenth = table(spark, sf, "events").count() // 10
+    return as_of(events.select("event_id", "k", "ts"), seen, ["k"], "ts", "seen", hot_key_rows=tenth)
+
+
 _DATES = """
 WITH s AS (SELECT event_id, user_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day FROM events),
 f AS (SELECT user_id, ts AS seen, max(value) AS last_value FROM events GROUP BY 1, 2)

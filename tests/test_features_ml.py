@@ -42,7 +42,7 @@ def test_feature_store(spark, small, tmp_path):
     assert store.get_metadata("feats", 1)["num_rows"] == 1
 
 
-@pytest.mark.parametrize("hot", [10**6, 20])
+@pytest.mark.parametrize("hot", [10**6, 200, 20])
 def test_as_of_matches_brute_force(spark, hot):
     rnd = random.Random(3)
     key = lambda: rnd.choice(["hot"] * 5 + ["a", "b", "c", None])
@@ -60,6 +60,16 @@ def test_as_of_matches_brute_force(spark, hot):
         assert got[i] == (None if want == -1.0 else want)
 
 
+def test_only_the_hot_key_goes_through_slices(spark):
+    rows = spark.range(600).selectExpr("if(id % 3 = 0, -1, id % 50) AS k", "id AS t", "id AS f")
+    out = as_of(rows.select("k", F.col("t").alias("at")), rows, ["k"], "at", "t", hot_key_rows=100)
+    branches = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in branches and "LeftSemi" in branches and "_slice" in branches  # one branch each
+    assert out.where("f = at").count() == 600
+    rest = out.where("k <> -1")
+    assert rest.count() == 400
+
+
 @pytest.mark.parametrize("limit", [10, 50_000])
 def test_split_has_exact_shares(spark, limit):
     rows = [(i, "hot" if i % 3 else f"c{i % 2}") for i in range(900)] + [(1000, None)]
