@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.profile import statistics
+from millrace.operators.sketches import merged_profile, sketch
 
 CATALOG_SCHEMA = (
     "name string, version int, description string, tags array<string>, created_at string, "
@@ -52,10 +53,12 @@ class FeatureStore:
         description: str = "",
         tags: Sequence[str] | None = None,
         partition_by: Sequence[str] = (),
+        sketches: bool = False,
     ) -> str:
         """Write one version (an equal version is replaced) and return the path of its data.
 
-        Rows are counted while they are written; the statistics read the written columns.
+        Rows are counted while they are written; the statistics read the written columns. With `sketches` the version can
+        take part in `profile`.
         """
         data = f"{uuid.uuid4().hex}/features.parquet"
         path, metadata = f"{self._folder(name, version)}/{data}", self._metadata(name, version)
@@ -76,14 +79,35 @@ class FeatureStore:
             "dtypes": dict(df.dtypes),
             "statistics": statistics(self.spark.read.schema(df.schema).parquet(path)),
         }
+        if sketches:
+            written = sketch(self.spark.read.schema(df.schema).parquet(path))
+            written.write.parquet(f"{path.rsplit('/', 1)[0]}/sketches.parquet")
         staged = f"{path.rsplit('/', 1)[0]}/metadata.json"
         self.spark.createDataFrame([(json.dumps(document),)], "value string").coalesce(1).write.text(staged)
-        fs, final = self._hadoop(metadata)
-        fs.delete(final, True)
-        if not fs.rename(self._hadoop(staged)[1], final):
-            raise OSError(f"{staged} could not become {metadata}")
+        self._replace(staged, metadata)
         return path
 
+    def _replace(self, staged: str, final: str) -> None:
+        """Put the one text file of `staged` in the place of `final` by one rename, so that a reader finds the old or the new
+        document at any time."""
+        fs, pattern = self._hadoop(f"{staged}/part-*")
+        place = self._hadoop(final)[1]
+        if fs.exists(place) and fs.getFileStatus(place).isDirectory():  # of an earlier layout
+            fs.delete(place, True)
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        overwrite = self.spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+        overwrite[0] = hadoop.Options.Rename.OVERWRITE
+        context = hadoop.FileContext.getFileContext(place.toUri(), self.spark._jsc.hadoopConfiguration())
+        context.rename(fs.globStatus(pattern)[0].getPath(), fs.makeQualified(place), overwrite)
+
+    def profile(self, name: str, versions: Sequence[int] | None = None, top: int = 5) -> DataFrame:
+        """Profile over the rows of several versions (all complete ones by default), from the sketches saved with them."""
+        wanted = self.list_versions(name) if versions is None else versions
+        if not wanted:
+            raise FileNotFoundError(f"No complete version of {name} in {self.root}")
+        paths = [self._features(name, v).rsplit("/", 1)[0] + "/sketches.parquet" for v in wanted]
+        return merged_profile([self.spark.read.parquet(p) for p in paths], top)
+
     def vacuum(self, name: str, version: int) -> None:
         """Delete data of a version that its metadata does not name: replaced or never finished."""
         kept = {self.get_metadata(name, version)["data"].split("/")[0], "metadata.json"}

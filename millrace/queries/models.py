@@ -8,6 +8,7 @@ from millrace.functions.columns import decode
 from millrace.operators import attributions, boosting, metrics
 from millrace.operators.asof import as_of
 from millrace.operators.feature_store import FeatureStore
+from millrace.operators.sketches import DISTINCT_ERROR, RANK_ERROR
 from millrace.operators.split import stratified_split
 from millrace.plans.risk import explain_rows, run_risk
 from millrace.plans.scratch import scratch_path
@@ -97,6 +98,41 @@ def feature_incomplete(spark, sf):
     return store.load("customers").agg(F.count(F.lit(1)).alias("n_rows"), F.lit(latest).alias("latest"), F.lit(empty).cast("int").alias("n_empty"))
 
 
+@query("""
+WITH e AS (SELECT CAST(user_id AS DOUBLE) AS u, value AS v, event_type AS t FROM events)
+SELECT 'user_id' AS "column", count(*) AS n_rows, count(*) - count(u) AS n_missing, min(u) AS minimum, max(u) AS maximum,
+       TRUE AS distinct_close, TRUE AS quartiles_close, NULL::VARCHAR AS most_frequent FROM e
+UNION ALL SELECT 'value', count(*), count(*) - count(v), min(v), max(v), TRUE, TRUE, NULL FROM e
+UNION ALL SELECT 'event_type', count(*), count(*) - count(t), NULL, NULL, TRUE, TRUE,
+       (SELECT t FROM e GROUP BY t ORDER BY count(*) DESC, t LIMIT 1) FROM e
+""")
+def feature_profile_merged(spark, sf):
+    """Three versions with a third of the events each; their sketches together, held against the exact numbers of all events."""
+    events = table(spark, sf, "events").select("event_id", "user_id", "value", "event_type")
+    store = FeatureStore(spark, scratch_path(spark, "features"))
+    for version in (1, 2, 3):
+        store.save("events", events.where(F.col("event_id") % 3 == version - 1).drop("event_id"), version, sketches=True)
+    profile = store.profile("events")
+    found = {r["column"]: r for r in profile.collect()}
+    checks = []
+    for name in ("user_id", "value", "event_type"):
+        checks.append(F.countDistinct(name).alias(f"d_{name}"))
+        for p in ("p25", "p50", "p75") if name != "event_type" else ():
+            checks += [F.avg((F.col(name) < found[name][p]).cast("int")).alias(f"{p}_below_{name}"), F.avg((F.col(name) <= found[name][p]).cast("int")).alias(f"{p}_upto_{name}")]
+    exact = events.agg(*checks).first()
+
+    def ranks_close(name):
+        return name == "event_type" or all(
+            exact[f"p{q}_below_{name}"] - RANK_ERROR <= q / 100 <= exact[f"p{q}_upto_{name}"] + RANK_ERROR for q in (25, 50, 75)
+        )
+
+    close = [(n, abs(found[n]["n_distinct"] - exact[f"d_{n}"]) <= DISTINCT_ERROR * exact[f"d_{n}"], ranks_close(n)) for n in found]
+    verdict = spark.createDataFrame(close, "column string, distinct_close boolean, quartiles_close boolean")
+    return profile.join(verdict, "column").select(
+        "column", "n_rows", "n_missing", "minimum", "maximum", "distinct_close", "quartiles_close", F.get("frequent", 0)["item"].alias("most_frequent")
+    )
+
+
 def _saved(spark, sf):
     store = FeatureStore(spark, scratch_path(spark, "features"))
     customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
