@@ -69,7 +69,11 @@ def fit_encoder(
             F.array(*[F.struct(F.lit(n).alias("column"), _text(n, null_class).alias("value")) for n in names])
         ).alias("cell")
     ).select("cell.column", "cell.value")
-    values = materialize(cells.distinct(), "classes")
+    return encoder_of(materialize(cells.distinct(), "classes"), names, null_class, rank_limit)
+
+
+def encoder_of(values: DataFrame, names: Sequence[str], null_class: str = NULL_CLASS, rank_limit: int = RANK_LIMIT) -> LabelEncoder:
+    """Codes for stored distinct (column, value) rows."""
     measured = values.groupBy("column").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("value")).alias("bytes")
     ).collect()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -12,6 +13,7 @@ from millrace.operators import encoding, impute, outliers, scaling
 from millrace.operators.encoding import LabelEncoder
 from millrace.operators.fitted import Fitted
 from millrace.operators.impute import Imputer
+from millrace.plans.fused import FusedFit, fit_together
 from millrace.sources.files import read_document, write_document
 
 AUDIT_SCHEMA = "step string, column string, n_changed bigint, parameter string"
@@ -84,18 +86,45 @@ def preprocess(
     for_new_rows: bool = False,
 ) -> Preprocessed:
     """Every fit is a small aggregation, every transform a projection, so the four steps run as
-    one scan when the result is used. Columns that are not named are found by type; `exclude`
+    one scan when the result is used. Exact fits share their reads of the source (`plans.fused`). Columns that are not named are found by type; `exclude`
     keeps ids and targets out of all of them. Set `for_new_rows` when the result will `apply` to rows
     with holes in columns that are complete here."""
-    imputer = impute.fit_imputer(df, exclude=exclude, accuracy=accuracy, for_new_rows=for_new_rows)
-    filled = impute.impute(df, imputer)
-    fences = outliers.fit_fences(filled, outlier_columns or numeric_columns(filled, exclude), accuracy=accuracy)
+    numbers, strings = numeric_columns(df, exclude), string_columns(df, exclude)
+    fenced, texts = list(outlier_columns or numbers), list(encode_columns or strings)
+    plain = set(fenced) <= set(numeric_columns(df)) and set(texts) <= set(string_columns(df))
+    together = None
+    if accuracy is None and plain:
+        gated = [c for c in not_null or () if c in df.columns]
+        together = fit_together(df, numbers, strings, fenced, texts, gated, for_new_rows=for_new_rows)
+        imputer, fences = together.imputer, together.fences
+        filled = impute.impute(df, imputer)
+    else:
+        imputer = impute.fit_imputer(df, exclude=exclude, accuracy=accuracy, for_new_rows=for_new_rows)
+        filled = impute.impute(df, imputer)
+        fences = outliers.fit_fences(filled, outlier_columns or numeric_columns(filled, exclude), accuracy=accuracy)
     capped = outliers.cap(filled, fences)
     scaler = scaling.fit_scaler(capped, scale_columns or numeric_columns(capped, exclude), method)
     scaled = scaling.scale(capped, scaler)
-    texts = list(encode_columns or string_columns(scaled, exclude))
-    encoder = encoding.fit_encoder(scaled, texts) if texts else None
+    if together is not None:
+        encoder = together.encoder
+    else:
+        texts = list(encode_columns or string_columns(scaled, exclude))
+        encoder = encoding.fit_encoder(scaled, texts) if texts else None
     out = encoding.encode(scaled, encoder) if encoder else scaled
     if not_null:
-        impute.require_complete(out, not_null)
+        _gate(out, not_null, together, scaler, texts)
     return Preprocessed(imputer, fences, scaler, encoder, out, filled)
+
+
+def _gate(out: DataFrame, not_null: Sequence[str], together: FusedFit | None, scaler: Fitted, encoded: Sequence[str]) -> None:
+    """Raise when a critical column still misses values, told from the counts of the fit. Only scaling by what is not
+    finite can lose further values; then they are counted in the result."""
+    finite = all(v is None or math.isfinite(v) for p in scaler.values.values() for v in p.values())
+    if together is None or not finite:
+        impute.require_complete(out, not_null)
+        return
+    fills = {**together.imputer.numeric.values, **together.imputer.categorical.values}
+    whole = set(encoded) | {c for c, p in fills.items() if p["fill"] is not None}
+    failing = {c: together.n_missing[c] for c in not_null if c in out.columns and c not in whole and together.n_missing[c]}
+    if failing:
+        raise ValueError(f"Null values remain in critical columns after preprocessing: {failing}")

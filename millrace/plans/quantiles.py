@@ -214,7 +214,7 @@ def _read_off(counted: DataFrame, ranks: Sequence[Rank], by: Sequence[str]) -> D
 
 
 @dataclass
-class _Bracket:
+class Bracket:
     """Search for two neighbouring ranks of one column of a whole table."""
 
     x: str
@@ -229,7 +229,7 @@ class _Bracket:
     found: dict[int, float] | None = None
 
 
-def _count(rows: DataFrame, open_ones: Sequence[_Bracket]) -> None:
+def _count(rows: DataFrame, open_ones: Sequence[Bracket]) -> None:
     """Place the wanted ranks relative to the bracket ends, in one code-generated aggregation."""
     counts = rows.agg(
         *[
@@ -255,15 +255,15 @@ def _count(rows: DataFrame, open_ones: Sequence[_Bracket]) -> None:
                 b.found[k] = b.hi
 
 
-def _settled(b: _Bracket) -> bool:
+def _settled(b: Bracket) -> bool:
     return b.found is not None and {b.first, b.last} <= set(b.found)
 
 
-def _strictly_inside(b: _Bracket) -> Column:
+def _strictly_inside(b: Bracket) -> Column:
     return (F.col(b.x) > b.lo) & (F.col(b.x) < b.hi)
 
 
-def _refine(rows: DataFrame, wide: Sequence[_Bracket], accuracy: int) -> None:
+def _refine(rows: DataFrame, wide: Sequence[Bracket], accuracy: int) -> None:
     grids = rows.agg(
         *[
             F.percentile_approx(F.when(_strictly_inside(b), F.col(b.x)), [g / GRID for g in range(GRID + 1)], accuracy).alias(f"g{i}")
@@ -280,7 +280,7 @@ def _refine(rows: DataFrame, wide: Sequence[_Bracket], accuracy: int) -> None:
             b.hi = grids[f"g{i}"][up]
 
 
-def _gather(rows: DataFrame, narrow: Sequence[_Bracket]) -> None:
+def _gather(rows: DataFrame, narrow: Sequence[Bracket]) -> None:
     """Read the ranks off the few values inside each bracket."""
     near = rows.where(reduce(lambda a, b: a | b, [_strictly_inside(b) for b in narrow]))
     cells = near.select(
@@ -302,6 +302,19 @@ def _gather(rows: DataFrame, narrow: Sequence[_Bracket]) -> None:
             b.found.setdefault(k, v)
 
 
+def search(rows: DataFrame, searching: Sequence[Bracket], accuracy: int = ACCURACY, gather_limit: int = GATHER_LIMIT) -> None:
+    """Find every bracket's ranks; brackets that hold few values are read off, the others cut closer."""
+    while searching:
+        _count(rows, searching)
+        searching = [b for b in searching if not _settled(b)]
+        narrow = [b for b in searching if b.inside <= gather_limit]
+        if narrow:
+            _gather(rows, narrow)
+        searching = [b for b in searching if b.inside > gather_limit]
+        if searching:
+            _refine(rows, searching, accuracy)
+
+
 def _table_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int, gather_limit: int
 ) -> DataFrame:
@@ -314,7 +327,7 @@ def _table_quantiles(
     ).first()
 
     small = [c for c in columns if sketch[f"n{slot[c]}"] <= SMALL_FACTOR * gather_limit]
-    searches: dict[str, list[_Bracket]] = {}
+    searches: dict[str, list[Bracket]] = {}
     for c in columns:
         if c in small:
             continue
@@ -324,17 +337,8 @@ def _table_quantiles(
             place = p * (n - 1)
             lo = float("-inf") if p <= slack else q[2 * j]
             hi = float("inf") if p >= 1 - slack else q[2 * j + 1]
-            searches[c].append(_Bracket(slot[c], p, n, math.floor(place) + 1, math.ceil(place) + 1, lo, hi))
-    searching = [b for bs in searches.values() for b in bs]
-    while searching:
-        _count(rows, searching)
-        searching = [b for b in searching if not _settled(b)]
-        narrow = [b for b in searching if b.inside <= gather_limit]
-        if narrow:
-            _gather(rows, narrow)
-        searching = [b for b in searching if b.inside > gather_limit]
-        if searching:
-            _refine(rows, searching, accuracy)
+            searches[c].append(Bracket(slot[c], p, n, math.floor(place) + 1, math.ceil(place) + 1, lo, hi))
+    search(rows, [b for bs in searches.values() for b in bs], accuracy, gather_limit)
 
     values = {}
     if small:
