@@ -14,15 +14,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.llm.common import WORDS, bounded_batches, carried, map_batches, restored, texts, with_columns
+from millrace.llm.store import mapped, put
+from millrace.plans.scratch import scratch_path
 
 WINDOW = 13
-#: Bytes of item texts in one set of tables; more items are searched for in further passes.
+#: Twice the bytes of item texts that are aimed at for one set of tables.
 SHARD_BYTES = 8_000_000
+#: Sets of tables that a task holds at once.
+KEPT = 2
+#: Bytes of documents that wait for each set's turn where there are more.
+HELD_BYTES = 64 << 20
 TABLE_BITS = 20
 LANE = 2048
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -111,25 +118,74 @@ def _search(data: bytes, starts: np.ndarray, found: list[Searcher]) -> list[tupl
     return [(d, w, p.count(b" ") - 1, ids) for d, w, (_, p, ids) in zip(doc.tolist(), word.tolist(), hits)]
 
 
-def _spans(docs: DataFrame, shard: list[tuple[int | None, bytes]], size: int) -> DataFrame:
-    """Adds one shard's occurrences to the column `spans` of (doc_id, text, spans)."""
-    shared = docs.sparkSession.sparkContext.broadcast(shard)
-    ready: list[list[Searcher]] = []
+def _stored(items: DataFrame, item: str, text: str) -> list[str]:
+    """The distinct items dealt by hash to files of about SHARD_BYTES / 2 bytes of text, written by tasks."""
+    known = items.select(F.col(f"`{item}`").cast("long").alias("i"), F.col(f"`{text}`").cast("string").alias("t")).where("t is not null")
+    total = known.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    folder = scratch_path(items.sparkSession, "items")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not ready:
-            ready.append(searchers(shared.value, size))
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [batch for batch in batches if batch.num_rows]
+        if held:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, held[0].schema) as out:
+                for batch in held:
+                    out.write_batch(batch)
+            name = f"{folder}/{TaskContext.get().partitionId()}"
+            put(name, np.frombuffer(sink.getvalue(), np.uint8))
+            yield pa.RecordBatch.from_arrays([pa.array([name])], ["name"])
+
+    dealt = known.distinct().repartition(max(1, -(-2 * total // SHARD_BYTES)), F.xxhash64("i", "t"))
+    return sorted(r.name for r in dealt.mapInArrow(write, "name string").collect())
+
+
+class Shards:
+    """Tables of the stored items, a few shards at a time: at most KEPT are held, each is loaded when its turn comes."""
+
+    def __init__(self, names: list[str], size: int):
+        self.names, self.size, self.held = names, size, {}
+
+    def __iter__(self) -> Iterator[list[Searcher]]:
+        # Those in memory first, so that turning to the next documents loads one shard less.
+        for name in sorted(self.names, key=lambda n: n not in self.held):
+            if name not in self.held:
+                if len(self.held) >= KEPT:
+                    del self.held[next(iter(self.held))]
+                table = pa.ipc.open_stream(pa.py_buffer(np.asarray(mapped(name, "uint8")))).read_all()
+                self.held[name] = searchers(list(zip(table["i"].to_pylist(), texts(table["t"].combine_chunks()))), self.size)
+            yield self.held[name]
+
+
+def _spans(docs: DataFrame, names: list[str], size: int) -> DataFrame:
+    """Adds the column `spans` of all occurrences to (doc_id, text, ...)."""
+    shards = Shards(names, size)
+    kind = pa.list_(pa.struct([("first", pa.int64()), ("words", pa.int64()), ("item", pa.int64())]))
+
+    def searched(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready, spans = [], [[[] for _ in range(b.num_rows)] for b in batches]
         for batch in batches:
             parts = [spaced(t) for t in texts(batch.column("text"))]
-            starts = np.cumsum([0, *(len(p) + 1 for p in parts)])[:-1]
-            spans = [x or [] for x in batch.column("spans").to_pylist()]
             # A zero byte between documents stands in no window.
-            for d, first, words, ids in _search(b"\0".join(parts), starts, ready[0]):
-                spans[d].extend({"first": first, "words": words, "item": i} for i in ids)
-            kind = pa.list_(pa.struct([("first", pa.int64()), ("words", pa.int64()), ("item", pa.int64())]))
-            yield with_columns(batch, spans=pa.array(spans, kind))
+            ready.append((b"\0".join(parts), np.cumsum([0, *(len(p) + 1 for p in parts)])[:-1]))
+        for tables in shards:
+            for (data, starts), found in zip(ready, spans):
+                for d, first, words, ids in _search(data, starts, tables):
+                    found[d].extend({"first": first, "words": words, "item": i} for i in ids)
+        for batch, found in zip(batches, spans):
+            yield with_columns(batch, spans=pa.array(found, kind))
 
-    return docs.mapInArrow(run, docs.schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # While all tables fit in memory, batches go through one by one; else several wait for each shard's turn.
+        held, many = [], len(names) > KEPT
+        for batch in batches:
+            held.append(batch)
+            if not many or sum(b.nbytes for b in held) >= HELD_BYTES:
+                yield from searched(held)
+                held = []
+        if held:
+            yield from searched(held)
+
+    return docs.mapInArrow(run, StructType([*docs.schema, *StructType.fromDDL("spans array<struct<first:long,words:long,item:long>>")]))
 
 
 _VERDICT = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>"
@@ -157,27 +213,9 @@ def _judged(docs: DataFrame) -> DataFrame:
     return map_batches(docs, step, StructType([*docs.schema, *verdict]))
 
 
-def _shards(items: DataFrame, item: str, text: str) -> Iterator[list[tuple[int | None, bytes]]]:
-    """The items in sets of at most SHARD_BYTES bytes of text (or one item), fetched one partition at a time."""
-    shard: list[tuple[int | None, bytes]] = []
-    held = 0
-    for row in items.select(F.col(f"`{item}`").cast("long").alias("i"), F.col(f"`{text}`").cast("string").alias("t")).where("t is not null").toLocalIterator():
-        data = row.t.encode()
-        if shard and held + len(data) > SHARD_BYTES:
-            yield shard
-            shard, held = [], 0
-        shard.append((row.i, data))
-        held += len(data)
-    if shard:
-        yield shard
-
-
 def _searched(rows: DataFrame, items: DataFrame, item: str, item_text: str, size: int) -> DataFrame:
     bounded_batches(rows.sparkSession)
-    rows = rows.withColumn("spans", F.expr("cast(array() as array<struct<first:long,words:long,item:long>>)"))
-    for shard in _shards(items, item, item_text):
-        rows = _spans(rows, shard, size)
-    return _judged(rows)
+    return _judged(_spans(rows, _stored(items, item, item_text), size))
 
 
 def contamination(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", size: int = WINDOW) -> DataFrame:
@@ -188,8 +226,8 @@ def contamination(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: s
     and are clean. Items without words or with a null text match nothing; hits of an item with a null id count as
     hit words, but it is not listed. Repeated rows, of either table, give the same answer each. No items: all clean.
 
-    The tables of a shard of items are broadcast, so their size is bounded by `SHARD_BYTES`; larger
-    item tables take one pass over each batch of documents per shard, in the same stage.
+    Items are dealt to files in the shared folder, no item passes through the driver. A task holds the tables of `KEPT` shards
+    of about `SHARD_BYTES` / 2 bytes of text; where there are more, `HELD_BYTES` of documents at a time meet one shard after the other.
     """
     judged = _searched(carried(docs, id, text), items, item, item_text, size)
     return judged.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items")

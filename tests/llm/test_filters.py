@@ -84,6 +84,29 @@ def test_decontamination_short_items_and_shards(spark, odd, shard, monkeypatch):
     assert decontaminate.contamination(odd.limit(0), df).count() == 0
 
 
+def test_decontamination_of_many_shards(spark, monkeypatch):
+    """More shards than a task holds, documents that wait for them, a third of all items alike."""
+    for name, value in (("SHARD_BYTES", 4000), ("HELD_BYTES", 3000), ("KEPT", 2)):
+        monkeypatch.setattr(decontaminate, name, value)
+    rng = np.random.default_rng(2)
+    text = lambda n: " ".join(f"v{i}" for i in rng.integers(0, 300, n))
+    items = [(i, "same words of a test that many items hold " * 3 if i % 3 == 0 else text(int(rng.integers(1, 40)))) for i in range(120)]
+    docs = [(i, text(60) + (" " + items[int(rng.integers(0, 120))][1] if i % 2 else "")) for i in range(80)]
+    bank = spark.createDataFrame(items + items[:30], "item_id long, text string").repartition(3)
+    assert len(decontaminate._stored(bank, "item_id", "text")) > 2 * decontaminate.KEPT
+    got = rows(decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string").repartition(2), bank).drop("items"))
+    assert got == sorted([(i, *contaminated(t, items)) for i, t in docs], key=repr)
+
+
+def test_shards_are_held_in_bounds(spark):
+    bank = spark.createDataFrame([(i, f"item number {i}") for i in range(6)], "item_id long, text string")
+    names = [n for i in range(6) for n in decontaminate._stored(bank.where(f"item_id = {i}"), "item_id", "text")]
+    shards = decontaminate.Shards(names, 13)
+    for turn in range(2):
+        seen = [sorted(p for s in tables for p in s.patterns) for tables in shards]
+        assert len(shards.held) == decontaminate.KEPT and sorted(seen) == [[f" item number {i} ".encode()] for i in range(6)]
+
+
 def test_decontamination_very_long_word(spark):
     blob = "x" + "ab1" * 23_333
     docs = spark.createDataFrame([(1, f"see {blob} here"), (2, f"{blob} {blob[:-1]}c"), (3, blob + "d"), (4, f"a {blob[:40_000]} {blob} b")], "doc_id long, text string")
