@@ -39,7 +39,25 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-@query()
+#: The text with A-Z lowered, null as empty.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(
+    rf"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    m AS (SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+    i AS (SELECT DISTINCT item_id, size, said FROM (SELECT item_id, least(len(w), 13) AS size, unnest(list_transform(range(1, greatest(len(w) - 12, 1) + 1), lambda i: array_to_string(w[i:i + 12], ' '))) AS said FROM m WHERE len(w) > 0)),
+    z AS (SELECT DISTINCT size FROM i),
+    s AS (SELECT r, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS said, unnest(range(1, len(w) - size + 2)) AS start FROM d, z WHERE len(w) >= size),
+    f AS (SELECT r, start, s.size, item_id FROM s JOIN i ON s.size = i.size AND s.said = i.said),
+    h AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(start, start + size)) AS place FROM (SELECT DISTINCT r, start, size FROM f)) GROUP BY r),
+    n AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT r, item_id::VARCHAR AS item_id FROM f) GROUP BY r)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+    FROM d LEFT JOIN h USING (r) LEFT JOIN n USING (r)
+    """
+)
 def op2_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("items")
 
@@ -136,12 +154,57 @@ def op9_chat(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query()
+#: crc32 of the id's decimal digits, bit by bit.
+_CRC = "xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(len(k)), lambda i: ascii(k[i + 1]))), lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, j: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))))"
+
+
+def _discounts(counted: str, times: str) -> str:
+    """Modified Kneser-Ney discounts from how many rows of a table were seen 1, 2, 3 and 4 times."""
+    seen = ", ".join(f"greatest(count(*) FILTER ({times} = {k}), 1) AS n{k}" for k in (1, 2, 3, 4))
+    kept = ", ".join(f"least(greatest({k} - {k + 1} * y * n{k + 1} / n{k}, 0.1), {k - 0.1}::DOUBLE) AS d{k}" for k in (1, 2, 3))
+    return f"SELECT {seen}, n1 / (n1 + 2 * n2) AS y, {kept} FROM {counted}"
+
+
+@query(
+    rf"""
+    WITH k AS (SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id::VARCHAR, '') AS k, regexp_extract_all({_LOWER}, '[^ \x09-\x0D]+') AS w FROM documents),
+    d AS (SELECT r, doc_id, ({_CRC}) % 5 = 1 AS held_out, list_prepend(' ', w) AS a, list_append(w, '') AS b FROM k),
+    t AS (SELECT r, held_out, unnest(a) AS a, unnest(b) AS b FROM d),
+    g AS (SELECT a, b, count(*) AS n FROM t WHERE NOT held_out GROUP BY a, b),
+    w AS (SELECT b, sum(n)::BIGINT AS c, count(*) AS s FROM g GROUP BY b),
+    x AS (SELECT a, sum(n)::BIGINT AS total, count(*) FILTER (n = 1) AS f1, count(*) FILTER (n = 2) AS f2, count(*) FILTER (n > 2) AS f3 FROM g GROUP BY a),
+    dg AS ({_discounts("g", "n")}),
+    dw AS ({_discounts("w", "s")}),
+    u AS (SELECT coalesce(sum(c), 0)::BIGINT AS n, count(*) AS v, coalesce(sum(s), 0)::BIGINT AS pairs, coalesce(sum(CASE s WHEN 1 THEN d1 WHEN 2 THEN d2 ELSE d3 END) / sum(s), 1) AS rest FROM w, dw),
+    l AS (SELECT b, c, (s - CASE s WHEN 1 THEN d1 WHEN 2 THEN d2 ELSE d3 END) / pairs AS low FROM w, dw, u),
+    q AS (SELECT a, b, count(*) AS times, r FROM t GROUP BY r, a, b),
+    p AS (SELECT r, times, coalesce(l.c, 0) AS c, coalesce(low, 0) + rest / (v + 1) AS low, total, coalesce(g.n - CASE g.n WHEN 1 THEN dg.d1 WHEN 2 THEN dg.d2 ELSE dg.d3 END, 0) AS high,
+                 f1 * dg.d1 + f2 * dg.d2 + f3 * dg.d3 AS spare, u.n AS tokens, v
+          FROM q CROSS JOIN u CROSS JOIN dg LEFT JOIN l USING (b) LEFT JOIN x USING (a) LEFT JOIN g USING (a, b)),
+    o AS (SELECT r, sum(times)::BIGINT AS n_tokens, coalesce(sum(times) FILTER (c > 0), 0)::BIGINT AS n_known, any_value(tokens) AS train_tokens,
+                 round(kahan_sum(times * log10((c + 0.5::DOUBLE) / (tokens + 0.5::DOUBLE * (v + 1)))), 6) AS base_score,
+                 round(kahan_sum(times * log10(CASE WHEN total IS NULL THEN low ELSE (high + spare * low) / total END)), 6) AS score FROM p GROUP BY r)
+    SELECT doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score FROM d JOIN o USING (r)
+    """
+)
 def op10_language_scores(spark: SparkSession, sf: str) -> DataFrame:
-    return language_scores(table(spark, sf, "documents"))
+    """Scores to six decimals: what lies behind them depends on the order in which logarithms are added up."""
+    scored = language_scores(table(spark, sf, "documents"))
+    return scored.withColumns({c: F.round(c, 6) for c in ("base_score", "score")})
 
 
-@query()
+@query(
+    r"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^ \x09-\x0D]+') AS w FROM documents),
+    s AS (SELECT r, doc_id, unnest(list_transform(range(1, len(w) - 48), lambda i: md5(array_to_string(w[i:i + 49], ' ')))) AS said, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50),
+    f AS (SELECT said, min(doc_id) AS first FROM s GROUP BY said),
+    m AS (SELECT r, i FROM s JOIN f USING (said) WHERE first < doc_id),
+    c AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+    k AS (SELECT c.r, c.i, word, max(m.i) OVER (PARTITION BY c.r ORDER BY c.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) IS NULL AS kept FROM c LEFT JOIN m ON c.r = m.r AND c.i = m.i),
+    o AS (SELECT r, count(*) FILTER (NOT kept) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (kept) AS said FROM k GROUP BY r)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(said, '')) AS kept_sha256 FROM d LEFT JOIN o USING (r)
+    """
+)
 def op5_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return repeat_digests(table(spark, sf, "documents"))
 
@@ -172,10 +235,6 @@ def op11_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
     return fim_digests(table(spark, sf, "documents"))
 
 
-#: crc32 of the id's decimal digits, bit by bit.
-_CRC = "xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(len(k)), lambda i: ascii(k[i + 1]))), lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, j: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))))"
-
-
 @query(
     rf"""
     WITH k AS (SELECT doc_id, coalesce(doc_id::VARCHAR, '') AS k, regexp_extract_all(coalesce(text, ''), '[^ 	-
