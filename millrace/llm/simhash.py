@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from millrace.llm.common import carried, map_batches, restored, texts, with_columns
-from millrace.llm.components import components
+from millrace.llm.components import components, met
 from millrace.plans.scratch import materialize
 
 SHINGLE = 3
@@ -158,12 +158,16 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def _grouped(rows: DataFrame) -> DataFrame:
-    """Adds component_id and root, a name for the component, to stored rows (doc_id, bits)."""
-    ids = materialize(rows.groupBy("bits").agg(F.min("doc_id").alias("least")), "simhash-distinct")
+    """Adds component_id and root, a name for the component, to stored rows (doc_id, bits).
+
+    A fingerprint of very many rows and a component of very many fingerprints are not shuffled to one task (`met`).
+    """
+    ids = materialize(rows.groupBy("bits").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")), "simhash-distinct")
     roots = components(near_links(ids)).select(F.col("node").alias("bits"), "root")
-    placed = ids.join(roots, "bits", "left").withColumn("root", F.coalesce("root", "bits"))
-    least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.join(placed.join(least, "root").select("bits", "component_id", "root"), "bits")
+    placed = materialize(ids.join(roots, "bits", "left").withColumn("root", F.coalesce("root", "bits")), "simhash-placed")
+    tops = materialize(placed.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n")), "simhash-roots")
+    named = materialize(met(placed, tops, "root").select("bits", "component_id", "root", F.col("copies").alias("n")), "simhash-named")
+    return met(rows, named, "bits")
 
 
 def simhash_groups(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -178,11 +182,17 @@ def simhash_groups(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
 
 
 def drop_near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of `docs` for each component, all columns: a row with the smallest id."""
+    """One row of `docs` for each component, all columns: the row with the smallest id.
+
+    Where rows repeat that id, the one whose columns have the least SHA-256 as JSON stays, so reruns agree. Null and empty
+    texts are near copies of one another. A component of null ids only keeps one row too; an empty table gives no rows.
+    """
     stored = materialize(fingerprints(carried(docs, id, text, rest=True)), "simhash-rows")
     groups = _grouped(stored.select("doc_id", "bits"))
     first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.struct("doc_id", "bits").alias("k"), "root").distinct()
     kept = stored.withColumn("k", F.struct("doc_id", "bits")).join(first, "k")
     if not stored.groupBy("doc_id").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["root"])  # only where rows repeat an id
+        kept = kept.withColumn("pick", F.sha2(F.to_json(F.struct("text", "rest"), {"ignoreNullFields": "false"}), 256))
+        least = kept.groupBy("root").agg(F.min("pick").alias("pick"))
+        kept = kept.join(least, ["root", "pick"]).dropDuplicates(["root"])  # those left are equal in all columns
     return restored(kept, docs, text)

@@ -12,6 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from millrace.llm import components as components_of
 from millrace.llm import decontaminate, exact, mixing, simhash, toxicity
 from millrace.llm.components import components
 from millrace.llm.queries import QUERIES, SQL
@@ -224,6 +225,40 @@ def test_components_of_a_long_chain(spark):
     assert components(links.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("hot", [2, 10_000])
+def test_components_with_hubs(spark, hot, monkeypatch):
+    monkeypatch.setattr(components_of, "HOT_ROWS", hot)
+    # Two hubs, one with the least and one with the greatest id of its group, 30,000 neighbours each, and short chains.
+    n = 30_000
+    star = spark.range(1, n + 1).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b"))
+    upper = spark.range(n + 1, 2 * n + 1).select(F.col("id").alias("a"), F.lit(3 * n).cast("long").alias("b"))
+    chains = spark.range(0, 900).select((F.col("id") + 4 * n).alias("a"), (F.col("id") + F.when(F.col("id") % 3 == 2, 0).otherwise(1) + 4 * n).alias("b"))
+    found = {r.node: r.root for r in components(star.unionByName(upper).unionByName(chains)).collect()}
+    want = {i: 0 for i in range(n + 1)} | {i: n + 1 for i in [*range(n + 1, 2 * n + 1), 3 * n]}
+    assert found == want | {4 * n + i: 4 * n + i - i % 3 for i in range(900)}
+
+
+def test_hot_keys_are_not_shuffled(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(components_of, "HOT_ROWS", 100)
+    spark.range(0, 40_000, 1, 16).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("x")).write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    rows.groupBy("k").agg(F.count("*").alias("n"), F.min("x").alias("least")).write.parquet(f"{tmp_path}/table")
+    table = spark.read.parquet(f"{tmp_path}/table")
+    out = components_of.met(rows, table, "k")
+    assert sorted(out.columns) == ["k", "least", "x"]
+    assert out.where("k = -1").count() == 13_334 and out.count() == 40_000
+    assert out.where("least != CASE WHEN k = -1 THEN 0 ELSE x END").isEmpty()
+    shares = [r["count"] for r in out.where("k = -1").groupBy(F.spark_partition_id()).count().collect()]
+    assert len(shares) > 1 and max(shares) < 13_334 / 2
+    assert components_of.met(rows.limit(0), table.limit(0), "k").isEmpty()
+
+
+def test_near_copies_with_repeated_ids_are_chosen_by_content(spark):
+    docs = [(1, "same words here", "b"), (1, "same words here", "a"), (2, "same words here", "c"), (None, None, "x"), (None, "", "y"), (None, "", None)]
+    kept = [rows(simhash.drop_near_copies(spark.createDataFrame(d, "doc_id long, text string, rest string").repartition(n))) for d, n in ((docs, 1), (docs[::-1], 3))]
+    assert kept[0] == kept[1] and len(kept[0]) == 2
+
+
 def test_toxicity_on_held_out_labels(spark):
     folder = FOLDER.replace("0.001", "0.1")
     docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
