@@ -15,6 +15,7 @@ from millrace.sources.files import read_document, write_document
 
 NULL_CLASS = "nan"
 RANK_LIMIT = 1_000_000
+LAST_INT = (1 << 31) - 1
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 
@@ -73,7 +74,7 @@ def fit_encoder(
 
 
 def encoder_of(values: DataFrame, names: Sequence[str], null_class: str = NULL_CLASS, rank_limit: int = RANK_LIMIT) -> LabelEncoder:
-    """Codes for stored distinct (column, value) rows."""
+    """Codes for stored distinct (column, value) rows; bigint where a column has more classes than an int can name."""
     measured = values.groupBy("column").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("value")).alias("bytes")
     ).collect()
@@ -83,7 +84,8 @@ def encoder_of(values: DataFrame, names: Sequence[str], null_class: str = NULL_C
         entries = values.withColumn("code", F.row_number().over(order) - 1)
     else:
         entries = dense_position(values, ["value"], "code", by=["column"])
-    entries = entries.select("column", "value", F.col("code").cast("int").alias("code"))
+    kind = "int" if max(sizes.values(), default=0) <= LAST_INT else "bigint"
+    entries = entries.select("column", "value", F.col("code").cast(kind).alias("code"))
     return LabelEncoder(tuple(names), entries, sizes, {r["column"]: r["bytes"] for r in measured}, null_class)
 
 

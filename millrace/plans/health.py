@@ -6,9 +6,10 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.functions.columns import numeric_columns, string_columns
+from millrace.functions.columns import clip, numeric_columns, present, string_columns
 from millrace.operators import encoding, impute, outliers, scaling
 from millrace.operators.encoding import LabelEncoder
 from millrace.operators.fitted import Fitted
@@ -55,24 +56,39 @@ class Preprocessed(HealthModel):
     capped: DataFrame
 
     def audit(self) -> DataFrame:
-        """What each step changed: (step, column, n_changed, parameter)."""
+        """What each step changed: (step, column, n_changed, parameter).
+
+        Capping and scaling are counted in one pass; encoding replaces every value by its code, so it changes every row.
+        """
         spark = self.dataframe.sparkSession
         fills = {**self.imputer.numeric.values, **self.imputer.categorical.values}
         rows = [("impute", c, n, str(fills[c]["fill"])) for c, n in self.imputer.n_missing.items() if c in fills]
         fences = self.outlier_fences.values
-        counted = outliers.outlier_counts(self.capped, self.outlier_fences).collect() if fences else []
-        rows += [
-            ("cap", r["column"], r["n_capped"], f"[{fences[r['column']]['lower']}, {fences[r['column']]['upper']}]")
-            for r in counted
-        ]
-        rows += [
-            (self.scaler.kind, c, None, f"centre {p['centre']}, spread {p['spread']}")
-            for c, p in self.scaler.values.items()
-        ]
+        changed = self._changed()
+        rows += [("cap", c, changed["cap", c], f"[{p['lower']}, {p['upper']}]") for c, p in fences.items()]
+        rows += [(self.scaler.kind, c, changed["scale", c], f"centre {p['centre']}, spread {p['spread']}") for c, p in self.scaler.values.items()]
         if self.encoder is not None:
-            rows += [("encode", c, None, f"{n} classes") for c, n in self.encoder.sizes.items()]
+            rows += [("encode", c, changed["rows", ""], f"{n} classes") for c, n in self.encoder.sizes.items()]
         return spark.createDataFrame(rows, AUDIT_SCHEMA)
 
+    def _changed(self) -> dict[tuple[str, str], int]:
+        """Values outside their fences, capped values that scaling alters, and all rows."""
+        fences, scales = self.outlier_fences.values, self.scaler.values
+
+        def value(c: str) -> Column:
+            return present(self.capped, c).cast("double")
+
+        def ends(c: str) -> list[Column]:
+            return [F.lit(fences[c][p]).cast("double") for p in ("lower", "upper")]
+
+        def scaled(c: str) -> Column:
+            before = clip(value(c), *ends(c)) if c in fences else value(c)
+            return (before - F.lit(scales[c]["centre"]).cast("double")) / F.lit(scales[c]["spread"]).cast("double") != before
+
+        tests = {("cap", c): outliers.outside(value(c), *ends(c)) for c in fences} | {("scale", c): scaled(c) for c in scales}
+        counts = [F.count_if(test).alias(f"_n{i}") for i, test in enumerate(tests.values())]
+        return dict(zip([("rows", ""), *tests], self.capped.agg(F.count(F.lit(1)).alias("_n"), *counts).first()))
+
 
 def preprocess(
     df: DataFrame,
@@ -83,12 +99,13 @@ def preprocess(
     method: str = "standard",
     exclude: Sequence[str] = (),
     accuracy: int | None = None,
-    for_new_rows: bool = False,
+    for_new_rows: bool = True,
 ) -> Preprocessed:
     """Every fit is a small aggregation, every transform a projection, so the four steps run as
     one scan when the result is used. Exact fits share their reads of the source (`plans.fused`). Columns that are not named are found by type; `exclude`
-    keeps ids and targets out of all of them. Set `for_new_rows` when the result will `apply` to rows
-    with holes in columns that are complete here."""
+    keeps ids and targets out of all of them. Every column gets a fill value, so that the result also fills holes which only
+    the rows of a later `apply` have; without `for_new_rows` only columns that miss values here get one. A whole-number column
+    that is complete, and neither capped nor scaled, then turns to double where its median is fractional."""
     numbers, strings = numeric_columns(df, exclude), string_columns(df, exclude)
     fenced, texts = list(outlier_columns or numbers), list(encode_columns or strings)
     plain = set(fenced) <= set(numeric_columns(df)) and set(texts) <= set(string_columns(df))

@@ -268,7 +268,8 @@ def preprocess_saved_model(spark, sf):
 UNION ALL SELECT 'impute', 'kind', (SELECT count(*) - count(kind) FROM e)
 UNION ALL SELECT 'cap', 'value', (SELECT count(*) FROM i, f WHERE value > v3 + 1.5 * (v3 - v1) OR value < v1 - 1.5 * (v3 - v1))
 UNION ALL SELECT 'cap', 'k', (SELECT count(*) FROM i, f WHERE k > k3 + 1.5 * (k3 - k1) OR k < k1 - 1.5 * (k3 - k1))
-UNION ALL SELECT 'standard', 'value', NULL UNION ALL SELECT 'standard', 'k', NULL UNION ALL SELECT 'encode', 'kind', NULL
+UNION ALL SELECT 'standard', 'value', (SELECT count(*) FROM c, s WHERE (value - vm) / vd <> value)
+UNION ALL SELECT 'standard', 'k', (SELECT count(*) FROM c, s WHERE (k - km) / kd <> k) UNION ALL SELECT 'encode', 'kind', (SELECT count(*) FROM e)
 """
 )
 def preprocess_audit(spark, sf):

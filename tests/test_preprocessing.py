@@ -170,5 +170,17 @@ def test_fit_for_new_rows_fills_columns_that_were_complete(spark):
     fitted = impute.fit_imputer(known, for_new_rows=True)
     assert [tuple(r) for r in impute.impute(later, fitted).collect()] == [(2.0, "q"), (5.0, "p")]
     assert impute.impute(known, fitted).collect() == known.collect()
-    out = preprocess(known, for_new_rows=True).apply(later).collect()
-    assert len(out) == 2 and all(v is not None for r in out for v in r)
+    for out in (preprocess(known, for_new_rows=True).apply(later).collect(), preprocess(known).apply(later).collect()):
+        assert len(out) == 2 and all(v is not None for r in out for v in r)
+    hole = spark.createDataFrame([(None, "p")], "a double, t string")
+    assert preprocess(known, for_new_rows=False).apply(hole).first()["a"] is None
+
+
+def test_codes_beyond_an_int(spark, monkeypatch):
+    df = spark.createDataFrame([("p",), ("q",), (None,)], "t string")
+    assert dict(encoding.encode_labels(df)[0].dtypes) == {"t": "int"}
+    monkeypatch.setattr(encoding, "LAST_INT", 2)
+    codes, encoder = encoding.encode_labels(df)
+    assert dict(codes.dtypes) == {"t": "bigint"} and sorted(r.t for r in codes.collect()) == [0, 1, 2]
+    assert {r.t for r in encoding.decode_labels(codes, encoder).collect()} == {"p", "q", "nan"}
+    assert [r.t for r in encoding.encode(spark.createDataFrame([("z",)], "t string"), encoder, unseen="ignore").collect()] == [-1]

@@ -77,6 +77,10 @@ def test_preprocess(spark):
     assert {r["diagnosis"] for r in rows} == {0, 1, 2}
     assert sorted(map(tuple, done.apply(df).collect())) == sorted(map(tuple, rows))
     assert {(r["step"], r["column"]) for r in done.audit().collect()} >= {("impute", "age"), ("cap", "bmi"), ("standard", "age"), ("encode", "gender")}
+    assert {(r["step"], r["column"]): r["n_changed"] for r in done.audit().collect()} == {
+        ("impute", "age"): 1, ("impute", "bmi"): 1, ("impute", "diagnosis"): 1, ("cap", "age"): 0, ("cap", "bmi"): 0,
+        ("standard", "age"): 5, ("standard", "bmi"): 5, ("encode", "diagnosis"): 5, ("encode", "gender"): 5,
+    }
     empty = spark.createDataFrame([(None, 1.0), (None, 2.0), (None, 3.0)], "id double, val double")
     with pytest.raises(ValueError, match="Null values remain"):
         preprocess(empty, not_null=["id"], scale_columns=["val"])
