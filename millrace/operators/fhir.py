@@ -4,11 +4,19 @@ One strict parse per row feeds everything. Per field the type text of the parsed
 absent, null and wrongly typed apart, which a typed JSON read cannot. The work is laid out in
 projections that each use what the one before computed, and ends in a generator, so that a
 filter on the outcome reads a finished column and never repeats the parse.
+
+The outcome needs only whether a field is fine. What is wrong with it is looked up for rows that
+fail. Paths into the whole resource are slow, most of all where they lead nowhere, so the checks
+use members that were taken out before. A resource has one date or time at most, so one check
+serves all types: Spark's generated method for the checks must stay below the 8,000 bytecodes
+that the JVM compiles.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +53,10 @@ _STAMP = (
     r"^(\d{4}-\d{2}-\d{2})(?:[Tt _](\d{2}:\d{2})(?::(\d{2})(?:[.,](\d+))?)?"
     r"([Zz]|[+\-−](?:[01]\d|2[0-3]):?[0-5]\d)?)?$"
 )
+_MIDNIGHT = (
+    r"^\d{4}-\d{2}-\d{2}(?:[Tt _]00:00(?::00(?:[.,](?:0{6}\d*|0{1,5}))?)?"
+    r"([Zz]|[+\-−](?:[01]\d|2[0-3]):?[0-5]\d)?)?$"
+)
 _NUMBER = r"^[+-]?\d+(\.\d+)?$"
 _NUMERIC_KIND = "^(BIGINT|DOUBLE|FLOAT|DECIMAL)"
 
@@ -97,9 +109,6 @@ class _Moment:
             f"_instant_{self.name}": F.when(self.text.rlike(_NUMBER), _instant(self.text)),
         }
 
-    def readable(self) -> Column:
-        return self.local.try_cast("timestamp_ntz").isNotNull() | self.instant.isNotNull()
-
     def fraction(self) -> Column:
         """Six digits of the fraction, or empty when they are all zero."""
         digits = F.rpad(F.substring(self.parts[3], 1, 6), 6, "0")
@@ -115,12 +124,6 @@ class _Moment:
             .otherwise(signed)
         )
 
-    def midnight(self) -> Column:
-        local = self.local.endswith(" 00:00:00") & (self.fraction() == "")
-        return F.when(self.instant.isNull(), local).otherwise(
-            F.date_format(self.instant, "HH:mm:ss.SSSSSS") == "00:00:00.000000"
-        )
-
     def as_date(self) -> Column:
         """yyyy-MM-dd of a date, a midnight time or a whole number of days since the epoch."""
         return F.when(self.instant.isNull(), self.parts[0]).otherwise(F.date_format(self.instant, "yyyy-MM-dd"))
@@ -145,15 +148,59 @@ def _issue(loc: str | Column, kind: str | Column) -> Column:
 _NO_ISSUES = "array<struct<loc:string,type:string>>"
 
 
-def _moment_issue(found: Column, m: _Moment, kind: str) -> Column:
-    scalar = (found == "STRING") | found.rlike(_NUMERIC_KIND)
-    if kind == "datetime":
-        return F.when(~scalar, "datetime_type").when(~m.readable(), "datetime_from_date_parsing")
-    return (
-        F.when(~scalar, "date_type")
-        .when(~m.readable(), "date_from_datetime_parsing")
-        .when(~m.midnight(), "date_from_datetime_inexact")
+def _readable(text: Column) -> Column:
+    """Whether a text is a time; of one that matches the pattern, minutes and seconds are at fixed places."""
+    minute, second = F.substring(text, 12, 5), F.substring(text, 18, 2)
+    local = F.concat(
+        F.substring(text, 1, 10),
+        F.lit(" "),
+        F.when(minute == "", F.lit("00:00")).otherwise(minute),
+        F.lit(":"),
+        F.when(F.substring(text, 17, 1) == ":", second).otherwise(F.lit("00")),
     )
+    number = F.when(text.rlike(_NUMBER), _instant(text)).isNotNull()
+    return F.when(text.rlike(_STAMP), local.try_cast("timestamp_ntz").isNotNull()).otherwise(number)
+
+
+def _midnight(text: Column) -> Column:
+    """The same for a time that is a date."""
+    number = F.when(text.rlike(_NUMBER), F.date_format(_instant(text), "HH:mm:ss.SSSSSS") == "00:00:00.000000")
+    return text.rlike(_MIDNIGHT) | F.coalesce(number, F.lit(False))
+
+
+# What can be wrong with a date or time, and its name for either kind.
+_NO_MOMENT = {
+    "type": {"date": "date_type", "datetime": "datetime_type"},
+    "parsing": {"date": "date_from_datetime_parsing", "datetime": "datetime_from_date_parsing"},
+    "inexact": {"date": "date_from_datetime_inexact", "datetime": "datetime_from_date_inexact"},
+}
+
+
+def _moment_problem(found: Column, text: Column, dated: Column) -> Column:
+    """Key of _NO_MOMENT, NULL for a good date (`dated`) or time."""
+    scalar = (found == "STRING") | found.rlike(_NUMERIC_KIND)
+    return F.when(~scalar, "type").when(~_readable(text), "parsing").when(dated & ~_midnight(text), "inexact")
+
+
+def _fine(member: Column, field: str, declared: str) -> Column:
+    """Whether a field is as declared; never NULL."""
+    optional, kind = declared.endswith("?"), declared.rstrip("?")
+    found = F.schema_of_variant(member)
+    if kind == "string":
+        fine = found == "STRING"
+    elif kind == "dict":
+        fine = _members_of(member, field).isNotNull()
+    elif kind == "list":
+        fine = F.forall(F.try_variant_get(member, "$", "array<variant>"), _object_item)
+    else:
+        fine = F.col("_problem").isNull()
+    fine = F.coalesce(fine, F.lit(False))
+    return member.isNull() | fine | (found == "VOID") if optional else fine
+
+
+def _members_of(member: Column, field: str) -> Column:
+    """The object at a field, with its coding if it is a code; NULL when it is not an object."""
+    return F.col(f"_coded_{field}") if field in _CODED else F.try_variant_get(member, "$", "struct<_:boolean>")
 
 
 def _fault(v: Column, field: str, declared: str) -> Column:
@@ -166,7 +213,10 @@ def _fault(v: Column, field: str, declared: str) -> Column:
         name = name.when(found == "VOID", fine)
     typed_as = {"string": "STRING", "dict": "OBJECT", "list": "ARRAY"}
     if kind not in typed_as:
-        return name.otherwise(F.col(f"_problem_{field}"))
+        problem = fine
+        for key, named in _NO_MOMENT.items():
+            problem = F.when(F.col("_problem") == key, named[kind]).otherwise(problem)
+        return name.otherwise(problem)
     name = name.when(~found.startswith(typed_as[kind]), f"{kind}_type")
     if kind == "list":
         name = name.when(F.exists(_items(v, field), lambda x: ~_object_item(x)), _ITEMS)
@@ -215,29 +265,31 @@ def _empty(found: Column, v: Column, path: str) -> Column:
     )
 
 
-def _is_object(v: Column, path: str) -> Column:
-    return F.coalesce(_kind(v, path).startswith("OBJECT"), F.lit(False))
+_CODED = ("code", "clinicalStatus", "verificationStatus")
 
 
-def _code_breaks(v: Column) -> Column:
+def _code_breaks(coding: Column) -> Column:
     """A coding that is there but is not a list that starts with an object."""
-    return ~_empty(F.col("_kind_coding"), v, "$.code.coding") & ~_is_object(v, "$.code.coding[0]")
+    first = F.try_variant_get(coding, "$[0]", "struct<_:boolean>")
+    return coding.isNotNull() & first.isNull() & ~_empty(F.schema_of_variant(coding), coding, "$")
 
 
-def _status_breaks(v: Column, field: str) -> Column:
-    return _has(v, f"$.{field}.coding") & ~_has(v, f"$.{field}.coding[0].code")
+def _status_breaks(coding: Column) -> Column:
+    return coding.isNotNull() & ~_has(coding, "$[0].code")
 
 
-def _breaks(v: Column) -> dict[str, Column]:
-    no = F.lit(False)
-    return {
-        "Patient": no,
-        "Encounter": no,
-        "Observation": _code_breaks(v),
-        "Condition": _code_breaks(v)
-        | _status_breaks(v, "clinicalStatus")
-        | _status_breaks(v, "verificationStatus"),
-    }
+def _breaks(name: str) -> Column:
+    """Whether a valid resource cannot be normalised."""
+    coding = {f: F.col(f"_coded_{f}")["coding"] for f in _CODED}
+    if name == "Observation":
+        return _code_breaks(coding["code"])
+    if name == "Condition":
+        return (
+            _code_breaks(coding["code"])
+            | _status_breaks(coding["clinicalStatus"])
+            | _status_breaks(coding["verificationStatus"])
+        )
+    return F.lit(False)
 
 
 def _patient(v: Column) -> dict[str, Column]:
@@ -329,28 +381,35 @@ def _staged(df: DataFrame, column: str, envelope: bool, only: Sequence[str] | No
     known = F.coalesce(kind.isin(*names), F.lit(False)) & F.col("_named")
     if only is not None:
         rows = rows.withColumn("_wanted", F.explode(F.array(known))).where("_wanted").drop("_wanted")
+    moment, dated = F.lit(None).cast("variant"), F.lit(False)
+    for name in names:
+        for f, k in FIELDS[name].items():
+            if k.startswith("date"):
+                moment = F.when(kind == name, member[f]).otherwise(moment)
+                dated = F.when(kind == name, F.lit(k.startswith("date?"))).otherwise(dated)
     rows = rows.withColumns(
         {
-            **({"_kind_coding": _kind(member["code"], "$.coding")} if "code" in every else {}),
-            **{f"_kind_{f}": F.schema_of_variant(member[f]) for f in every},
+            **{f"_coded_{f}": F.try_variant_get(member[f], "$", "struct<coding:variant>") for f in _CODED if f in every},
             **{f"_text_{m.name}": _text(member[m.name], "$") for m, _ in moments},
+            "_moment": moment,
+            "_dated": dated,
         }
-    ).drop("_member")
-    rows = rows.withColumns({n: e for m, _ in moments for n, e in m.pieces().items()})
-    rows = rows.withColumns({n: e for m, _ in moments for n, e in m.times().items()})
+    )
+    rows = rows.withColumns({"_found": F.schema_of_variant("_moment"), "_text": _text(F.col("_moment"), "$")})
     rows = rows.withColumns(
         {
-            **{f"_problem_{m.name}": _moment_issue(F.col(f"_kind_{m.name}"), m, k) for m, k in moments},
-            **{f"_shown_{m.name}": m.as_datetime() for m, k in moments if k == "datetime"},
+            "_problem": _moment_problem(F.col("_found"), F.col("_text"), F.col("_dated")),
+            **{n: e for m, _ in moments for n, e in m.pieces().items()},
         }
     )
-    rows = rows.withColumns({f"_fault_{f}": _fault(v, f, k) for f, k in every.items()})
+    rows = rows.withColumns({n: e for m, _ in moments for n, e in m.times().items()})
+    rows = rows.withColumns({f"_shown_{m.name}": m.as_datetime() for m, k in moments if k == "datetime"})
+    rows = rows.withColumns({f"_fine_{f}": _fine(member[f], f, k) for f, k in every.items()})
     invalid, broken = F.lit(False), F.lit(False)
     for name in names:
-        breaks = _breaks(v)[name]
-        faults = [F.col(f"_fault_{f}") for f in FIELDS[name]]
-        invalid = F.when(kind == name, F.coalesce(*faults).isNotNull()).otherwise(invalid)
-        broken = F.when(kind == name, breaks).otherwise(broken)
+        fine = reduce(and_, [F.col(f"_fine_{f}") for f in FIELDS[name]])
+        invalid = F.when(kind == name, ~fine).otherwise(invalid)
+        broken = F.when(kind == name, _breaks(name)).otherwise(broken)
     rows = rows.withColumns({"_invalid": invalid, "_broken": broken})
     error = (
         F.when(~F.col("_object"), "Resource is not a JSON object")
@@ -365,6 +424,14 @@ def _staged(df: DataFrame, column: str, envelope: bool, only: Sequence[str] | No
     return rows.withColumn("outcome", F.explode(F.array(outcome)))
 
 
+def _with_faults(staged: DataFrame) -> DataFrame:
+    """Kind and fault of every field, looked up where the validation failed."""
+    v, failed = F.col("_resource"), F.col("error") == "Validation failed"
+    every = {f: k for fields in FIELDS.values() for f, k in fields.items()}
+    rows = staged.withColumns({f"_kind_{f}": F.when(failed, _kind(v, f"$.{f}")) for f in every})
+    return rows.withColumns({f"_fault_{f}": F.when(failed, _fault(v, f, k)) for f, k in every.items()})
+
+
 def _details() -> Column:
     """Issues of a failed validation in schema order; evaluated for failing rows only."""
     v, kind = F.col("_resource"), F.col("resource_type")
@@ -386,7 +453,7 @@ def classify(df: DataFrame, column: str = "value", envelope: bool = False) -> Da
 
     `envelope` unwraps a `{"resource": ...}` request body.
     """
-    staged = _staged(df, column, envelope)
+    staged = _with_faults(_staged(df, column, envelope))
     return staged.select(
         *[F.col(c) for c in df.columns],
         "outcome",
@@ -422,7 +489,7 @@ def ingest(
         if t in wanted
     }
     if ERRORS in wanted:
-        out[ERRORS] = _staged(df, column, envelope).where(F.col("outcome") == ERRORS).select(
+        out[ERRORS] = _with_faults(_staged(df, column, envelope).where(F.col("outcome") == ERRORS)).select(
             F.col(column).alias("raw"), "resource_type", "error", _details().alias("details")
         )
     return out

@@ -18,12 +18,35 @@ def _json(**fields):
     return F.to_json(F.struct(*[e.alias(n) for n, e in fields.items()])).alias("value")
 
 
+def _object(**members):
+    """JSON text of an object whose members are JSON texts, without those that are NULL: what `to_json` gives, at a
+    fraction of its cost on large tables."""
+    named = [F.concat(F.lit(f'"{n}":'), e) for n, e in members.items()]
+    return F.concat(F.lit("{"), F.concat_ws(",", *named), F.lit("}"))
+
+
+def _array(item):
+    return F.concat(F.lit("["), item, F.lit("]"))
+
+
+def _safe(text):
+    """JSON text of a string that needs no escapes."""
+    return F.concat(F.lit('"'), text, F.lit('"'))
+
+
+def _text(text):
+    """JSON text of any string; `to_json` where there may be something to escape."""
+    escaped = F.to_json(F.struct(text.alias("x")))
+    escaped = F.substring(escaped, F.lit(len('{"x":') + 1), F.length(escaped) - len('{"x":}'))
+    return F.when(text.rlike(r"^[ !#-\[\]-~]*\z"), _safe(text)).when(text.isNotNull(), escaped)
+
+
 def _coding(code):
-    return F.struct(F.array(F.struct(code.alias("code"))).alias("coding"))
+    return _object(coding=_array(_object(code=_text(code))))
 
 
 def _reference(key: str):
-    return F.struct(F.concat(F.lit("Patient/"), F.col(key).cast("string")).alias("reference"))
+    return _object(reference=_safe(F.concat(F.lit("Patient/"), F.col(key).cast("string"))))
 
 
 def _patient_json(spark, sf, version: str = ""):
@@ -51,49 +74,47 @@ _PATIENTS = """SELECT CAST(c_custkey AS VARCHAR) AS patient_id, c_name AS name,
 def _encounter_json(spark, sf):
     start = iso_utc(F.col("o_orderdate"))
     return spread_table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate").select(
-        _json(
-            resourceType=F.lit("Encounter"),
-            id=F.concat(F.lit("enc"), F.col("o_orderkey").cast("string")),
-            status=F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")),
-            **{"class": F.struct(F.col("o_orderpriority").alias("code"))},
+        _object(
+            resourceType=F.lit('"Encounter"'),
+            id=_safe(F.concat(F.lit("enc"), F.col("o_orderkey").cast("string"))),
+            status=F.when(F.col("o_orderstatus") != "P", _text(F.col("o_orderstatus"))),
+            **{"class": _object(code=_text(F.col("o_orderpriority")))},
             subject=_reference("o_custkey"),
-            period=F.struct(start.alias("start")),
-        )
+            period=_object(start=_safe(start)),
+        ).alias("value")
     )
 
 
 def _observation_json(spark, sf):
     seen = F.col("event_type") == "view"
     return spread_table(spark, sf, "events", "event_id", "event_type", "user_id", "ts", "value").select(
-        _json(
-            resourceType=F.lit("Observation"),
-            id=F.concat(F.lit("obs"), F.col("event_id").cast("string")),
-            status=F.lit("final"),
+        _object(
+            resourceType=F.lit('"Observation"'),
+            id=_safe(F.concat(F.lit("obs"), F.col("event_id").cast("string"))),
+            status=F.lit('"final"'),
             code=_coding(F.col("event_type")),
             subject=_reference("user_id"),
-            effectiveDateTime=iso_utc(F.col("ts")),
-            valueQuantity=F.when(~seen, F.struct(F.col("value").alias("value"))),
-            valueString=F.when(seen, F.lit("seen")),
-        )
+            effectiveDateTime=_safe(iso_utc(F.col("ts"))),
+            valueQuantity=F.when(~seen, F.to_json(F.struct("value"))),
+            valueString=F.when(seen, F.lit('"seen"')),
+        ).alias("value")
     )
 
 
 def _condition_json(spark, sf):
     """A line without discount has an empty status list and fails to normalise."""
-    status = F.when(F.col("l_discount") == 0, F.array().cast("array<struct<code:string>>")).otherwise(
-        F.array(F.struct(F.col("l_linestatus").alias("code")))
-    )
+    status = F.when(F.col("l_discount") == 0, F.lit("[]")).otherwise(_array(_object(code=_text(F.col("l_linestatus")))))
     return spread_table(
         spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag", "l_linestatus", "l_discount", "l_shipdate"
     ).select(
-        _json(
-            resourceType=F.lit("Condition"),
-            id=F.concat_ws("-", F.lit("cond"), F.col("l_orderkey"), F.col("l_linenumber")),
+        _object(
+            resourceType=F.lit('"Condition"'),
+            id=_safe(F.concat_ws("-", F.lit("cond"), F.col("l_orderkey"), F.col("l_linenumber"))),
             subject=_reference("l_suppkey"),
             code=_coding(F.col("l_returnflag")),
-            onsetDateTime=F.date_format("l_shipdate", "yyyy-MM-dd"),
-            clinicalStatus=F.struct(status.alias("coding")),
-        )
+            onsetDateTime=_safe(F.date_format("l_shipdate", "yyyy-MM-dd")),
+            clinicalStatus=_object(coding=status),
+        ).alias("value")
     )
 
 

@@ -189,3 +189,33 @@ def test_flag_is_replaced_not_repeated(spark):
     df = spark.createDataFrame([('{"event_id":"e7","processed":false,"n":1.50,"list":[1,"x"]}',), ('{"event_id":"e8"}',)], "value string")
     got = [json.loads(r[0]) for r in df.select(events.mark_processed(F.col("value"))).collect()]
     assert got == [{"event_id": "e7", "n": 1.5, "list": [1, "x"], "processed": True}, {"event_id": "e8", "processed": True}]
+
+
+def test_large_checks_are_compiled(spark):
+    """The JVM leaves methods over 8,000 bytecodes uncompiled."""
+    import re
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        errors = fhir.ingest(resources(spark, PATIENT), only=["errors"])["errors"].groupBy("error").count()
+        text = spark._jvm.PythonSQLUtils.explainString(errors._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8000
+
+
+def test_items_and_times_at_the_edge(spark):
+    docs = [{**PATIENT, "name": [None]}, {**PATIENT, "name": [{}, {"text": "b"}]}, {**PATIENT, "address": [1]}, {**PATIENT, "birthDate": "1980-01-01T00:00:00.0000001"},
+            {**PATIENT, "birthDate": "1980-01-01T00:00:00.000001"}, {**PATIENT, "birthDate": None}, {**COND, "onsetDateTime": "2022-01-01 00:00"}]
+    got = [(r["error"], [tuple(d) for d in r["details"] or []]) for r in fhir.classify(resources(spark, *docs)).select("error", "details").collect()]
+    failed = "Validation failed"
+    assert got == [(failed, [("name.0", "dict_type")]), (None, []), (failed, [("address.0", "dict_type")]), (None, []),
+                   (failed, [("birthDate", "date_from_datetime_inexact")]), (None, []), (failed, [("onsetDateTime", "datetime_from_date_parsing")])]
+
+
+def test_json_by_text_is_to_json(spark):
+    from millrace.queries import clinical
+    odd = [None, "", "a", 'q"q', "b\\s", "t\tn\n", "x\n", "é中", "\x7f\x01", "</>"]
+    df = spark.createDataFrame([(x,) for x in odd], "s string")
+    rows = df.select(F.to_json(F.struct(F.struct("s").alias("o"))).alias("want"), clinical._object(o=clinical._object(s=clinical._text(F.col("s")))).alias("got")).collect()
+    assert all(r["want"] == r["got"] for r in rows)
