@@ -366,7 +366,8 @@ def _staged(df: DataFrame, column: str, envelope: bool, only: Sequence[str] | No
     every = {f: k for n in names for f, k in FIELDS[n].items()}
     moments = [(_Moment(f), k.rstrip("?")) for f, k in every.items() if k.startswith("date")]
 
-    rows = df.withColumn("_resource", _at(parsed, "$.resource") if envelope else parsed)
+    # Out of a generator too: else a join's filter on a result's key moves to the scan and parses every row again there.
+    rows = df.withColumn("_resource", F.explode(F.array(_at(parsed, "$.resource") if envelope else parsed)))
     # One pass over the object takes out all fields: NULL when absent, a null variant for null.
     members = ", ".join(f"`{f}`: variant" for f in ("resourceType", *every))
     rows = rows.withColumn("_member", F.try_variant_get(v, "$", f"struct<{members}>"))

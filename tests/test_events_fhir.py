@@ -204,6 +204,17 @@ def test_large_checks_are_compiled(spark):
     assert sizes and max(sizes) < 8000
 
 
+def test_view_parses_once(spark, tmp_path):
+    """A join's filter on the key of its counts must not parse the resources a second time."""
+    path = str(tmp_path / "resources")
+    resources(spark, PATIENT, ENCOUNTER, OBS, COND).write.parquet(path)
+    out = fhir.ingest(spark.read.parquet(path))
+    view = patients.patient_view(out["patients"], out["encounters"], out["observations"], out["conditions"])
+    plan = view._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 4
+    assert (view.first()["n_encounters"], view.first()["n_conditions"]) == (1, 1)
+
+
 def test_items_and_times_at_the_edge(spark):
     docs = [{**PATIENT, "name": [None]}, {**PATIENT, "name": [{}, {"text": "b"}]}, {**PATIENT, "address": [1]}, {**PATIENT, "birthDate": "1980-01-01T00:00:00.0000001"},
             {**PATIENT, "birthDate": "1980-01-01T00:00:00.000001"}, {**PATIENT, "birthDate": None}, {**COND, "onsetDateTime": "2022-01-01 00:00"}]
